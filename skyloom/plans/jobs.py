@@ -94,11 +94,10 @@ def bronze_to_silver(
 def merge_silver(spark, new: DataFrame, silver_path: str) -> None:
     """Replace the day partitions ``new`` touches by its rows plus the rows already there for
     other (aircraft, time) keys. ``new`` must be staged."""
-    try:
-        old = lake.read_table(spark, silver_path, "silver")
-    except lake.NotEnoughData:
+    if not lake.exists(spark, silver_path):
         lake.write_partitioned(new, silver_path, SILVER_PARTITIONS)
         return
+    old = spark.read.schema(new.schema).parquet(silver_path)
     days = lake.broadcast_within(new.select(*SILVER_PARTITIONS).distinct(), MAX_DAYS)
     kept = old.join(days, SILVER_PARTITIONS, "left_semi").join(
         new.select("aircraft_id", "event_timestamp"), ["aircraft_id", "event_timestamp"], "left_anti"

@@ -213,7 +213,7 @@ oracle(
 
 def counts_sql(bucket):
     return f"""SELECT airport_code, airport_name, {bucket} AS event_timestamp, count(*) AS aircraft_count_50km,
-    count_if(vertical_rate < -1) AS arrivals_last_30m, count_if(vertical_rate > 1) AS departures_last_30m,
+    count(*) FILTER (WHERE vertical_rate < -1) AS arrivals_last_30m, count(*) FILTER (WHERE vertical_rate > 1) AS departures_last_30m,
     avg(baro_altitude) AS avg_altitude_50km FROM near GROUP BY ALL"""
 
 
@@ -251,9 +251,9 @@ oracle(
     f"""SELECT event_id, CASE WHEN longitude IS NOT NULL THEN round({_km("latitude", "longitude", "10", "20")}, 6) END AS dist_km,
     CASE WHEN length(callsign) >= 4 THEN substring(callsign, 1, 6) ELSE callsign END AS route_id,
     round(CASE WHEN velocity IS NOT NULL THEN greatest(0, least(1, (velocity - 50) / 100)) END, 6) AS clipped,
-    CAST(at AS DATE) AS event_date, strftime(at, '%Y/%m/%d') AS folder, CAST(hour(at) AS INTEGER) AS hour,
-    CAST(isodow(at) - 1 AS INTEGER) AS monday_first, date_trunc('hour', at) AS hour_start, CAST(on_ground AS INTEGER) AS is_on_ground
-    FROM (SELECT *, TIMESTAMP '1970-01-01' + to_seconds(last_contact) AS at FROM states)""",
+    CAST(t AS DATE) AS event_date, strftime(t, '%Y/%m/%d') AS folder, CAST(hour(t) AS INTEGER) AS hour,
+    CAST(isodow(t) - 1 AS INTEGER) AS monday_first, date_trunc('hour', t) AS hour_start, CAST(on_ground AS INTEGER) AS is_on_ground
+    FROM (SELECT *, TIMESTAMP '1970-01-01' + to_seconds(last_contact) AS t FROM states)""",
     "states",
 )
 
@@ -270,7 +270,7 @@ def _suite(table, columns, lacking=()):
         if name in lacking:
             rows.append(f"SELECT 'between', '{name}', NULL, NULL, false")
         else:
-            bad = f"count_if(NOT {name} BETWEEN {low} AND {high})"
+            bad = f"count(*) FILTER (WHERE NOT {name} BETWEEN {low} AND {high})"
             rows.append(
                 f"SELECT 'between', '{name}', count({name}), {bad}, count({name}) - {bad} >= CAST(0.99 AS DOUBLE) * count({name}) FROM {table}"
             )
@@ -353,23 +353,23 @@ oracle("materialize_all", LATEST.format(where=""), "flight_view")
 oracle("stream_latest", LATEST.format(where=""), "flight_view")
 oracle(
     "asof_join",
-    """SELECT o_orderkey, s.aircraft_id, at AS event_timestamp,
+    """SELECT o_orderkey, s.aircraft_id, t AS event_timestamp,
     CASE WHEN ok THEN f.event_timestamp END AS feature_event_timestamp, CASE WHEN ok THEN f.speed_ms END AS speed_ms,
     CASE WHEN ok THEN f.heading_deg END AS heading_deg
-    FROM (SELECT s.*, f.event_timestamp AS fts, f.event_timestamp >= at - INTERVAL 2 HOUR AS ok, f FROM
-      (SELECT o_orderkey, CAST(o_custkey % 150 AS VARCHAR) AS aircraft_id, TIMESTAMP '1970-01-01' + to_seconds(1704067200 + o_orderkey * 7919 % 2592000) AS at FROM orders) s
-      ASOF LEFT JOIN flight_view f ON s.aircraft_id = f.aircraft_id AND s.at >= f.event_timestamp) s""",
+    FROM (SELECT s.*, f.event_timestamp >= t - INTERVAL 2 HOUR AS ok, f FROM
+      (SELECT o_orderkey, CAST(o_custkey % 150 AS VARCHAR) AS aircraft_id, TIMESTAMP '1970-01-01' + to_seconds(1704067200 + o_orderkey * 7919 % 2592000) AS t FROM orders) s
+      ASOF LEFT JOIN flight_view f ON s.aircraft_id = f.aircraft_id AND s.t >= f.event_timestamp) s""",
     "flight_view",
 )
 oracle(
     "asof_airport",
-    """SELECT o_orderkey, s.airport_code, at AS event_timestamp,
+    """SELECT o_orderkey, s.airport_code, t AS event_timestamp,
     CASE WHEN ok THEN f.event_timestamp END AS feature_event_timestamp, CASE WHEN ok THEN f.aircraft_count_50km END AS aircraft_count_50km,
     CASE WHEN ok THEN f.congestion_score END AS congestion_score
-    FROM (SELECT s.*, f.event_timestamp >= at - INTERVAL 1 HOUR AS ok, f FROM
-      (SELECT o_orderkey, n_name AS airport_code, TIMESTAMP '1970-01-01' + to_seconds(1704067200 + (o_orderkey * 7919 % 2592000) // 600 * 600) AS at
+    FROM (SELECT s.*, f.event_timestamp >= t - INTERVAL 1 HOUR AS ok, f FROM
+      (SELECT o_orderkey, n_name AS airport_code, TIMESTAMP '1970-01-01' + to_seconds(1704067200 + (o_orderkey * 7919 % 2592000) // 600 * 600) AS t
        FROM orders JOIN nation ON o_custkey % 25 = n_nationkey) s
-      ASOF LEFT JOIN airport_view f ON s.airport_code = f.airport_code AND s.at >= f.event_timestamp) s""",
+      ASOF LEFT JOIN airport_view f ON s.airport_code = f.airport_code AND s.t >= f.event_timestamp) s""",
     "airport_view",
 )
 

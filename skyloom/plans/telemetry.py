@@ -19,9 +19,9 @@ STATE_SQL = {
     "origin_country": "concat('C', cast(user_id % 12 as string))",
     "time_position": "case when event_id % 103 = 0 then null else {epoch} end",
     "last_contact": "{epoch} + event_id % 7",
-    "longitude": "case when event_id % 97 = 0 then null else cast(-170 as double) + 13 * (user_id % 25) "
-    "+ cast(event_id * 53 % 101 - 50 as double) / 100 end",
-    "latitude": "cast(-60 as double) + 5 * (user_id % 25) + cast(event_id * 37 % 101 - 50 as double) / 100",
+    "longitude": "case when event_id % 97 = 0 then null "
+    "else cast(-17000 + 1300 * (user_id % 25) + event_id * 53 % 101 - 50 as double) / 100 end",
+    "latitude": "cast(-6000 + 500 * (user_id % 25) + event_id * 37 % 101 - 50 as double) / 100",
     "baro_altitude": "case when event_id % 89 = 0 then null else cast(event_id * 7919 % 16400 - 700 as double) end",
     "on_ground": "event_type = 'signup'",
     "velocity": "case when event_id % 83 = 0 then null else value end",

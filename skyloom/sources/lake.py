@@ -5,7 +5,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from skyloom.constants import AIRPORTS
 from skyloom.sources.schemas import AIRPORT_SCHEMA, SILVER_PARTITIONS
@@ -58,12 +57,16 @@ def airports(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(AIRPORTS, AIRPORT_SCHEMA)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_table(spark: SparkSession, path: str, name: str = "table") -> DataFrame:
     """Parquet directory; a missing or empty one is an error with the table's name."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as err:
-        raise NotEnoughData(f"no {name} files at {path}") from err
+    if not exists(spark, path):
+        raise NotEnoughData(f"no {name} files at {path}")
+    df = spark.read.parquet(path)
     if df.isEmpty():
         raise NotEnoughData(f"no {name} rows at {path}")
     return df

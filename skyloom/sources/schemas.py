@@ -1,8 +1,6 @@
 """Table schemas. Counters and times in raw JSON are read as doubles, because a
 report may carry ``1700000001.0`` where a long is meant, and cast afterwards."""
 
-from pyspark.sql import types as T
-
 # Field order of a raw state vector.
 STATE_FIELDS = [
     ("icao24", "string"),
@@ -29,7 +27,7 @@ WHOLE_NUMBERS = {name: kind for name, kind in STATE_FIELDS if kind in ("bigint",
 STATE_STRUCT = ", ".join(
     f"{name}: {'double' if name in WHOLE_NUMBERS else kind}" for name, kind in STATE_FIELDS
 )
-BRONZE_SCHEMA = T.StructType.fromDDL(
+BRONZE_SCHEMA = (
     "fetch_timestamp double, ingest_timestamp timestamp, aircraft_count int, "
     f"states array<struct<{STATE_STRUCT}>>"
 )
