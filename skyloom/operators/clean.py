@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.constants import SILVER_BOUNDS, SILVER_NOT_NULL
+from skyloom.operators.keyed import last_per_key
 from skyloom.sources.schemas import SILVER_COLUMNS, STATE_FIELDS, WHOLE_NUMBERS
 
 RENAMED = {"icao24": "aircraft_id", "true_track": "heading"}
@@ -54,15 +55,8 @@ def quarantine(states: DataFrame) -> DataFrame:
 
 
 def dedup(states: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """One row per (aircraft, position time): the latest contact. Remaining ties go to the
-    largest row, so the result does not depend on partitioning. The maximum combines on the
-    map side, so any number of copies of one key costs one row per task in the shuffle."""
-    keys = keys or ["aircraft_id", "time_position"]
-    rest = [c for c in states.columns if c not in keys and c != "last_contact"]
-    latest = F.max(F.struct("last_contact", *rest)).alias("latest")
-    return states.groupBy(*keys).agg(latest).select(
-        *[F.col(c) if c in keys else F.col(f"latest.{c}").alias(c) for c in states.columns]
-    )
+    """One row per (aircraft, position time): the latest contact."""
+    return last_per_key(states, keys or ["aircraft_id", "time_position"], ["last_contact"])
 
 
 def to_silver(states: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Per-aircraft window features over silver.
 
-Silver holds one row per aircraft and second. The windows run per (aircraft, time slice),
-so one busy aircraft is spread over its slices: a group holds at most one row per second
-of its slice, plus the last ROLLING_SECONDS of the slice before. What a slice needs from
-earlier is sent along as halo rows in the same shuffle: the rows within the rolling range
-of its start, or, across a longer gap, the last fix of the previous non-empty slice.
+Silver holds one row per aircraft and second. Most aircraft are one window group each. A
+busy one (more rows than a task should sort) is cut into time slices, each a group of its
+own: at most one row per second of the slice, plus the last ROLLING_SECONDS of the slice
+before. What a slice needs from earlier is sent along as halo rows in the same shuffle: the
+rows within the rolling range of its start, or, across a longer gap, the last fix of the
+previous non-empty slice.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 from skyloom import constants as C
 from skyloom.functions.flight import day_of_week, heading_change
 from skyloom.functions.geo import haversine_km
+from skyloom.operators.keyed import BUSY_ROWS, busy_keys
+from skyloom.sources.lake import broadcast_within
 
 SLICE_SECONDS = 6 * 3600
+MAX_BUSY = 1_000_000
 CARRIED = ["heading", "latitude", "longitude", "velocity"]
 
 
@@ -25,39 +29,44 @@ def airborne(silver: DataFrame) -> DataFrame:
     )
 
 
-def with_halo(
-    fixes: DataFrame, slice_seconds: int = SLICE_SECONDS, reach: int = C.ROLLING_SECONDS
+def sliced(
+    fixes: DataFrame,
+    busy: DataFrame,
+    slice_seconds: int = SLICE_SECONDS,
+    reach: int = C.ROLLING_SECONDS,
 ) -> DataFrame:
-    """``fixes`` plus ``second``, ``slice`` and halo rows (``is_halo``) for each slice."""
+    """``fixes`` with column ``second`` plus ``slice`` and, for the slices of the ``busy``
+    aircraft, halo rows (``is_halo``). Other aircraft are one slice."""
     if slice_seconds < reach:
         raise ValueError("a slice must be at least as long as the rolling range")
-    second = F.col("event_timestamp").cast("bigint")
-    timed = fixes.withColumn("second", second).withColumn(
-        "slice", F.floor(F.col("second") / slice_seconds)
-    )
+    listed = broadcast_within(busy.select("aircraft_id", F.lit(True).alias("is_busy")), MAX_BUSY)
+    number = F.floor(F.col("second") / slice_seconds)
     slice_end = (F.col("slice") + 1) * slice_seconds
     in_reach = F.col("second") >= slice_end - reach
+    marked = (
+        fixes.join(listed, "aircraft_id", "left")
+        .withColumn("is_busy", F.coalesce("is_busy", F.lit(False)))
+        .withColumn("slice", F.when(F.col("is_busy"), number).otherwise(F.lit(0)))
+    )
     own = F.struct(F.col("slice").alias("slice"), F.lit(False).alias("is_halo"))
     ahead = F.struct((F.col("slice") + 1).alias("slice"), F.lit(True).alias("is_halo"))
-    rows = (
-        timed.withColumn("home", F.explode(F.when(in_reach, F.array(own, ahead)).otherwise(F.array(own))))
-        .withColumn("slice", F.col("home.slice"))
-        .withColumn("is_halo", F.col("home.is_halo"))
-        .drop("home")
-    )
-    per_slice = timed.groupBy("aircraft_id", "slice").agg(
-        F.max(F.struct("second", "event_timestamp", *CARRIED)).alias("last")
+    homes = F.when(F.col("is_busy") & in_reach, F.array(own, ahead)).otherwise(F.array(own))
+    rows = marked.withColumn("home", F.explode(homes)).select(*fixes.columns, "home.*")
+    # One ordering for all of them, so the values come from one row.
+    per_slice = (
+        marked.filter("is_busy")
+        .groupBy("aircraft_id", "slice")
+        .agg(F.max("second").alias("second"), *[F.max_by(c, "second").alias(c) for c in CARRIED])
     )
     by_slice = Window.partitionBy("aircraft_id").orderBy("slice")
+    next_door = F.col("next_slice") == F.col("slice") + 1
     carried = (
         per_slice.withColumn("next_slice", F.lead("slice").over(by_slice))
-        .filter(
-            F.col("next_slice").isNotNull()
-            & ~((F.col("next_slice") == F.col("slice") + 1) & (F.col("last.second") >= slice_end - reach))
-        )
+        .filter(F.col("next_slice").isNotNull() & ~(next_door & in_reach))
         .select(
             "aircraft_id",
-            "last.*",
+            "second",
+            *CARRIED,
             F.col("next_slice").alias("slice"),
             F.lit(True).alias("is_halo"),
         )
@@ -69,20 +78,28 @@ def windowed(
     fixes: DataFrame,
     slice_seconds: int = SLICE_SECONDS,
     rolling_seconds: int = C.ROLLING_SECONDS,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Adds the previous heading and position and the rolling mean speed (both ends of the
-    range included). One shuffle and one sort serve all of them."""
-    by_time = Window.partitionBy("aircraft_id", "slice").orderBy("second")
+    range included). One shuffle and one sort serve all of them. Counts the rows per aircraft
+    first, so pass a stored or staged table."""
+    timed = fixes.withColumn("second", F.col("event_timestamp").cast("bigint"))
+    busy = busy_keys(fixes, "aircraft_id", busy_rows)
+    if busy.isEmpty():
+        rows, group = timed, ["aircraft_id"]
+    else:
+        rows, group = sliced(timed, busy, slice_seconds, rolling_seconds), ["aircraft_id", "slice"]
+    by_time = Window.partitionBy(*group).orderBy("second")
     recent = by_time.rangeBetween(-rolling_seconds, 0)
-    return (
-        with_halo(fixes, slice_seconds, rolling_seconds)
-        .withColumn("prev_heading", F.lag("heading").over(by_time))
+    features = (
+        rows.withColumn("prev_heading", F.lag("heading").over(by_time))
         .withColumn("prev_lat", F.lag("latitude").over(by_time))
         .withColumn("prev_lon", F.lag("longitude").over(by_time))
         .withColumn("avg_speed_15m", F.avg("velocity").over(recent))
-        .filter(~F.col("is_halo"))
-        .drop("second", "slice", "is_halo")
     )
+    if len(group) > 1:
+        features = features.filter(~F.col("is_halo")).drop("slice", "is_halo")
+    return features.drop("second")
 
 
 def describe_fixes(fixes: DataFrame, wrap_heading: bool = True, monday_first: bool = True) -> DataFrame:
@@ -116,7 +133,7 @@ def flight_features(
     slice_seconds: int = SLICE_SECONDS,
     wrap_heading: bool = True,
     monday_first: bool = True,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
-    return describe_fixes(
-        windowed(airborne(silver), slice_seconds), wrap_heading, monday_first
-    )
+    fixes = windowed(airborne(silver), slice_seconds, busy_rows=busy_rows)
+    return describe_fixes(fixes, wrap_heading, monday_first)

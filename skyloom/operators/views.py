@@ -5,6 +5,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.operators.keyed import BUSY_ROWS, busy_keys, last_per_key
+
 FLOAT, DOUBLE, LONG, STRING = "float", "double", "bigint", "string"
 
 
@@ -27,6 +29,10 @@ class FeatureView:
             *[F.col(c).cast(kind).alias(c) for c, kind in self.fields.items()],
         )
 
+    def order(self, rows: DataFrame) -> list[str]:
+        """What makes one row newer than another."""
+        return [c for c in (self.timestamp, self.created) if c in rows.columns]
+
 
 # View fields, types and lifetimes.
 FLIGHT_VIEW = FeatureView(
@@ -77,93 +83,97 @@ ROUTE_VIEW = FeatureView(
 VIEWS = [FLIGHT_VIEW, AIRPORT_VIEW, ROUTE_VIEW]
 
 
-def latest_per_key(rows: DataFrame, entity: str, order: list[str]) -> DataFrame:
-    """The last row of each entity; equal ``order`` values fall back to the largest row.
-    The maximum combines before the shuffle, however many rows one entity has."""
-    rest = [c for c in rows.columns if c != entity and c not in order]
-    return rows.groupBy(entity).agg(F.max(F.struct(*order, *rest)).alias("last")).select(
-        *[F.col(c) if c == entity else F.col(f"last.{c}").alias(c) for c in rows.columns]
-    )
-
-
 def materialise_latest(view: FeatureView, source: DataFrame, start, end) -> DataFrame:
     """Latest values per entity with event time in [start, end]; the interval reaches the
     parquet scan."""
     at = F.col(view.timestamp)
     rows = view.select(source.filter(at.between(F.lit(start), F.lit(end))))
-    return latest_per_key(rows, view.entity, _order(view, rows))
+    return last_per_key(rows, [view.entity], view.order(rows))
 
 
-def as_of(view: FeatureView, spine: DataFrame, source: DataFrame, entity_time: str = "event_timestamp") -> DataFrame:
+def as_of(
+    view: FeatureView,
+    spine: DataFrame,
+    source: DataFrame,
+    entity_time: str = "event_timestamp",
+    busy_rows: int = BUSY_ROWS,
+) -> DataFrame:
     """For every spine row (entity, time): the last features at or before that time and no
     older than the view's lifetime; nulls when there are none. The age limit is inclusive.
+    Feature columns that the spine has too come out as ``feature_<name>``.
 
-    Work is cut into (entity, slice) groups as long as the lifetime, so a value can only
-    come from its own slice or the one before; of the latter just the last row is sent
-    ahead. The windows see each distinct (entity, time) of the spine once, and the join
-    back is on that pair.
+    Spine and features are put on one time line per entity, so one shuffle does. When an
+    entity has too many rows for that, ``_as_of_sliced`` gives the same answer. Both sides
+    are counted first, so pass stored or staged tables.
     """
     features = view.select(source).dropna(subset=[view.entity, view.timestamp])
     names = [c for c in features.columns if c != view.entity]
-    order = _order(view, features)
-    payload = F.struct(*order, *[c for c in names if c not in order])
-    slice_of = lambda at: F.floor(F.unix_micros(at) / (view.ttl_seconds * 1_000_000))
-
-    known = latest_per_instant(features, view, payload).withColumn("slice", slice_of(F.col("at")))
-    ahead = (
-        known.groupBy(view.entity, "slice")
-        .agg(F.max(F.struct("at", "found")).alias("last"))
-        .select(view.entity, "last.at", "last.found", (F.col("slice") + 1).alias("slice"))
+    order = view.order(features)
+    found = F.struct(*order, *[c for c in names if c not in order])
+    values = features.select(
+        F.col(view.entity).alias("_entity"),
+        F.col(view.timestamp).cast("timestamp").alias("_at"),
+        found.alias("found"),
     )
-    asked = (
-        spine.select(F.col(view.entity), F.col(entity_time).cast("timestamp").alias("at"))
-        .dropna()
-        .distinct()
-        .withColumn("slice", slice_of(F.col("at")))
-        .withColumn("found", F.lit(None).cast(known.schema["found"].dataType))
-        .withColumn("is_spine", F.lit(1))
+    asked = spine.withColumns(
+        {"_entity": F.col(view.entity), "_at": F.col(entity_time).cast("timestamp")}
     )
-    timeline = (
-        known.withColumn("is_spine", F.lit(0))
-        .unionByName(ahead.withColumn("is_spine", F.lit(0)))
-        .unionByName(asked)
+    calm = (
+        busy_keys(values, "_entity", busy_rows).isEmpty()
+        and busy_keys(asked, "_entity", busy_rows).isEmpty()
     )
-    so_far = (
-        Window.partitionBy(view.entity, "slice")
-        .orderBy("at", "is_spine")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    answered = (
-        timeline.withColumn("found", F.last("found", ignorenulls=True).over(so_far))
-        .filter(F.col("is_spine") == 1)
-        .filter(
-            F.unix_micros("at") - F.unix_micros(F.col(f"found.{view.timestamp}").cast("timestamp"))
-            <= view.ttl_seconds * 1_000_000
-        )
-        .select(F.col(view.entity).alias("_entity"), F.col("at").alias("_at"), "found")
+    answered = (_as_of_window if calm else _as_of_sliced)(asked, values, view.ttl_seconds)
+    taken = set(spine.columns)
+    return answered.select(
+        *spine.columns,
+        *[F.col(f"found.{c}").alias(f"feature_{c}" if c in taken else c) for c in names],
     )
-    joined = spine.join(
-        answered,
-        (spine[view.entity] == F.col("_entity"))
-        & (spine[entity_time].cast("timestamp") == F.col("_at")),
-        "left",
+
+
+def _last_known(timeline: DataFrame, group: list[str], ttl_seconds: int) -> DataFrame:
+    """The spine rows of ``timeline`` with the last value before or at their time."""
+    # At equal times values come before questions, and the last created value last.
+    until_now = (
+        Window.partitionBy(*group)
+        .orderBy("_at", F.col("_asks").cast("int"), "found")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    taken = set(spine.columns)
-    return joined.select(
-        *[spine[c] for c in spine.columns],
-        *[
-            F.col(f"found.{c}").alias(f"feature_{c}" if c in taken else c)
-            for c in names
-        ],
+    last = F.last(F.when(~F.col("_asks"), F.struct("_at", "found")), ignorenulls=True)
+    age = F.unix_micros("_at") - F.unix_micros("_last._at")
+    return (
+        timeline.withColumn("_last", last.over(until_now))
+        .filter("_asks")
+        .withColumn("found", F.when(age <= ttl_seconds * 1_000_000, F.col("_last.found")))
+        .drop("_last", "_asks")
     )
 
 
-def latest_per_instant(features: DataFrame, view: FeatureView, payload) -> DataFrame:
-    """One row per (entity, time): the last created wins."""
-    return features.groupBy(
-        view.entity, F.col(view.timestamp).cast("timestamp").alias("at")
-    ).agg(F.max(payload).alias("found"))
+def _as_of_window(asked: DataFrame, values: DataFrame, ttl_seconds: int) -> DataFrame:
+    timeline = asked.withColumn("_asks", F.lit(True)).unionByName(
+        values.withColumn("_asks", F.lit(False)), allowMissingColumns=True
+    )
+    return _last_known(timeline, ["_entity"], ttl_seconds)
 
 
-def _order(view, rows):
-    return [c for c in (view.timestamp, view.created) if c in rows.columns]
+def _as_of_sliced(asked: DataFrame, values: DataFrame, ttl_seconds: int) -> DataFrame:
+    """Per (entity, slice) with slices as long as the lifetime: a value can only come from its
+    own slice or the one before, and of that only its last row is sent ahead. The windows see
+    each distinct (entity, time) once, on both sides; answers are joined back on that pair,
+    where adaptive execution can split a hot one."""
+    number = F.floor(F.unix_micros("_at") / (ttl_seconds * 1_000_000))
+    known = last_per_key(values, ["_entity", "_at"], ["found"]).withColumn("_slice", number)
+    ahead = (
+        known.groupBy("_entity", "_slice")
+        .agg(F.max(F.struct("_at", "found")).alias("_v"))
+        .select("_entity", "_v.*", (F.col("_slice") + 1).alias("_slice"))
+    )
+    times = asked.select("_entity", "_at").dropna().distinct().withColumn("_slice", number)
+    timeline = (
+        known.unionByName(ahead)
+        .withColumn("_asks", F.lit(False))
+        .unionByName(times.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+    )
+    answers = _last_known(timeline, ["_entity", "_slice"], ttl_seconds)
+    return asked.join(
+        answers.filter(F.col("found").isNotNull()).drop("_slice"), ["_entity", "_at"], "left"
+    )

@@ -179,7 +179,8 @@ cte(
     ).replace(", 0), 6) AS distance_10m_km", " END, 0), 6) AS distance_10m_km"),
     "windowed",
 )
-oracle("flight_features", "SELECT * FROM flights", "flights")
+for name in ("flight_features", "flight_features_sliced"):
+    oracle(name, "SELECT * FROM flights", "flights")
 oracle(
     "heading_change",
     """SELECT aircraft_id, event_timestamp,

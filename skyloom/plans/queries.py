@@ -139,15 +139,26 @@ def run_metrics(spark, sf):
 # ---- features
 
 
+def _silver(spark, sf):
+    """Silver as a table, which is what gold jobs read."""
+    return lake.staged(telemetry.silver(spark, sf), "silver")
+
+
 @query
 def flight_features(spark, sf):
-    return flights.flight_features(telemetry.silver(spark, sf))
+    return flights.flight_features(_silver(spark, sf))
+
+
+@query
+def flight_features_sliced(spark, sf):
+    """The same with every aircraft treated as too busy for one task."""
+    return flights.flight_features(_silver(spark, sf), busy_rows=0)
 
 
 @query
 def heading_change(spark, sf):
     """The turn with and without wrapping at 360 degrees."""
-    fixes = flights.windowed(flights.airborne(telemetry.silver(spark, sf)))
+    fixes = flights.windowed(flights.airborne(_silver(spark, sf)))
     now, before = F.col("heading"), F.col("prev_heading")
     return fixes.select(
         "aircraft_id",
@@ -161,7 +172,7 @@ def heading_change(spark, sf):
 @query
 def rolling_speed(spark, sf):
     """Mean speed over 15 minutes and over a day (which nearly every fix shares)."""
-    fixes = flights.airborne(telemetry.silver(spark, sf))
+    fixes = flights.airborne(_silver(spark, sf))
     short = flights.windowed(fixes).select("aircraft_id", "event_timestamp", "avg_speed_15m")
     day = flights.windowed(fixes, 86_400, 86_400).select(
         "aircraft_id", "event_timestamp", F.col("avg_speed_15m").alias("avg_speed_day")
@@ -292,7 +303,7 @@ def _created(df):
 
 def _flight_source(spark, sf):
     """Gold flights with six places, so that narrow types agree to the bit."""
-    return _created(_rounded(flights.flight_features(telemetry.silver(spark, sf))))
+    return _created(_rounded(flights.flight_features(_silver(spark, sf))))
 
 
 def _airport_source(spark, sf):
@@ -348,7 +359,8 @@ def asof_join(spark, sf):
         "cast(o_custkey % 150 as string) as aircraft_id",
         "timestamp_seconds(1704067200 + o_orderkey * 7919 % 2592000) as event_timestamp",
     )
-    found = views.as_of(views.FLIGHT_VIEW, spine, _flight_source(spark, sf))
+    source = lake.staged(_flight_source(spark, sf), "flight_features")
+    found = views.as_of(views.FLIGHT_VIEW, spine, source)
     return found.select(
         "o_orderkey", "aircraft_id", "event_timestamp", "feature_event_timestamp", "speed_ms", "heading_deg"
     )
@@ -356,7 +368,8 @@ def asof_join(spark, sf):
 
 @query
 def asof_airport(spark, sf):
-    """The airport view (hourly values, one hour of lifetime) as of each order."""
+    """The airport view (hourly values, one hour of lifetime) as of each order, every airport
+    treated as too busy for one task."""
     spine = spark.read.parquet(f"{sf}/orders.parquet").join(
         F.broadcast(spark.read.parquet(f"{sf}/nation.parquet")), F.expr("o_custkey % 25 = n_nationkey")
     ).selectExpr(
@@ -364,7 +377,8 @@ def asof_airport(spark, sf):
         "n_name as airport_code",
         "timestamp_seconds(1704067200 + cast(floor(o_orderkey * 7919 % 2592000 / 600) as bigint) * 600) as event_timestamp",
     )
-    found = views.as_of(views.AIRPORT_VIEW, spine, _airport_source(spark, sf))
+    source = lake.staged(_airport_source(spark, sf), "airport_features")
+    found = views.as_of(views.AIRPORT_VIEW, spine, source, busy_rows=0)
     return found.select(
         "o_orderkey", "airport_code", "event_timestamp", "feature_event_timestamp", "aircraft_count_50km", "congestion_score"
     )
@@ -374,7 +388,7 @@ def asof_airport(spark, sf):
 
 
 def _gold(spark, sf):
-    silver = lake.staged(telemetry.silver(spark, sf), "silver")
+    silver = _silver(spark, sf)
     hubs = telemetry.hubs(spark, sf)
     return (
         flights.flight_features(silver),
@@ -632,7 +646,7 @@ def drift_decision(spark, sf):
 
 @query
 def anomaly_rules(spark, sf):
-    return drift.anomaly_rules(flights.flight_features(telemetry.silver(spark, sf))).select(
+    return drift.anomaly_rules(flights.flight_features(_silver(spark, sf))).select(
         "aircraft_id", "event_timestamp", "heading_jump", "odd_speed", "odd_climb", "stalled", "signals"
     )
 
@@ -671,7 +685,7 @@ def congestion_scores(spark, sf):
 
 def _anomaly_frame(spark, sf):
     frame = labels.training_frame(
-        flights.flight_features(telemetry.silver(spark, sf)), C.ANOMALY_FEATURES, keep=KEYS
+        flights.flight_features(_silver(spark, sf)), C.ANOMALY_FEATURES, keep=KEYS
     )
     frame = lake.staged(frame, "anomaly_frame")
     return sampling.standardise(frame, C.ANOMALY_FEATURES)

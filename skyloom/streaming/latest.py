@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame
 
-from skyloom.operators.views import FeatureView, _order, latest_per_key
+from skyloom.operators.keyed import last_per_key
+from skyloom.operators.views import FeatureView
 
 
 class LatestTable:
@@ -25,7 +26,7 @@ class LatestTable:
         rows = self.view.select(batch)
         if batch_id:
             rows = rows.unionByName(self.read(batch.sparkSession, batch_id - 1))
-        latest_per_key(rows, self.view.entity, _order(self.view, rows)).write.mode(
+        last_per_key(rows, [self.view.entity], self.view.order(rows)).write.mode(
             "overwrite"
         ).parquet(f"{self.root}/batch_id={batch_id}")
 
