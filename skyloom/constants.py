@@ -114,6 +114,7 @@ TEST_SIZE = 0.15
 CV_FOLDS = 3
 TRIALS = 10
 SAMPLE_ROWS = 50_000
+MIN_TRAIN_ROWS = 500
 DELAY_MAX_ROWS = 500_000
 CONGESTION_MAX_ROWS = 200_000
 CONTAMINATION = 0.05

@@ -20,7 +20,7 @@ def auc(
     totals (at most RANGES rows per group) are put in order last.
     """
     by = by or []
-    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
     counts = known.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).cast("double").alias("pos"),
         F.count_if(F.col(label) == 0).cast("double").alias("neg"),

@@ -67,6 +67,13 @@ def bronze_suite() -> list[Expectation]:
     ]
 
 
+def validation_frame(states: DataFrame) -> DataFrame:
+    """Landed states as the suite sees them: ``timestamp`` is the last contact if absent."""
+    if "timestamp" in states.columns:
+        return states
+    return states.withColumn("timestamp", F.col("last_contact"))
+
+
 def run_suite(df: DataFrame, suite: list[Expectation], name: str = "bronze_suite") -> DataFrame:
     """One row per expectation, from a single pass over ``df``."""
     results = df.agg(

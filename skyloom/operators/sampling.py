@@ -9,64 +9,51 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.functions.flight import key_hash
-from skyloom.sources.lake import broadcast_within, staged
+from skyloom.sources.lake import broadcast_within, fits, staged
 
 PREFIX = 4  # hex digits of the histogram: 65,536 buckets
 MAX_STRATA = 10_000
 
 
-def hash_cutoffs(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per stratum the hash of its ``wanted``-th smallest row (columns stratum, cutoff).
-
-    A histogram over hash prefixes finds the bucket in which that row lies; only this bucket,
-    1/65,536 of the stratum, is then sorted.
-    """
-    keyed = keyed.select("stratum", "h")
-    histogram = keyed.groupBy("stratum", F.substring("h", 1, PREFIX).alias("prefix")).agg(
-        F.count("*").alias("n")
-    )
-    upward = Window.partitionBy("stratum").orderBy("prefix")
-    edge = (
-        histogram.withColumn("upto", F.sum("n").over(upward))
-        .join(F.broadcast(wanted), "stratum")
-        .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select(
-            F.col("stratum").alias("s"),
-            "prefix",
-            (F.col("wanted") - (F.col("upto") - F.col("n"))).alias("rank"),
-        )
-    )
-    edge_rows = keyed.join(
-        F.broadcast(edge), F.col("stratum").eqNullSafe(F.col("s")) & (F.substring("h", 1, PREFIX) == F.col("prefix"))
-    )
-    by_hash = Window.partitionBy("stratum").orderBy("h")
-    return (
-        edge_rows.withColumn("position", F.row_number().over(by_hash))
-        .filter(F.col("position") == F.col("rank"))
-        .select("stratum", F.col("h").alias("cutoff"))
-    )
-
-
 def mark_smallest(
     df: DataFrame, keys: list[str], wanted_of, seed: int = C.SEED, strata: str | None = None
 ) -> DataFrame:
     """``df`` plus boolean ``picked``: the rows with the smallest hashes of each stratum, as
-    many as ``wanted_of(count column)`` says."""
-    stratum = F.col(strata).cast("string") if strata else F.lit("all")
-    keyed = df.withColumn("stratum", F.coalesce(stratum, F.lit(""))).withColumn(
-        "h", key_hash(keys, seed)
+    many as ``wanted_of(count column)`` says.
+
+    A histogram over hash prefixes finds the bucket of the last row wanted. Only that bucket,
+    1/65,536 of its stratum, is sorted to find the exact hash to cut at. ``df`` is read three
+    times, so pass a stored or staged table.
+    """
+    stratum = F.coalesce(F.col(strata).cast("string"), F.lit("")) if strata else F.lit("")
+    keyed = df.withColumns({"_stratum": stratum, "_hash": key_hash(keys, seed)})
+    prefix = F.substring("_hash", 1, PREFIX).alias("_prefix")
+    histogram = staged(
+        keyed.groupBy("_stratum", prefix).agg(F.count("*").alias("_n")), "hash_histogram"
     )
-    counts = staged(keyed.groupBy("stratum").agg(F.count("*").alias("total")), "strata")
-    if strata and counts.limit(MAX_STRATA + 1).count() > MAX_STRATA:
+    if strata and not fits(histogram.select("_stratum").distinct(), MAX_STRATA):
         raise ValueError(f"more than {MAX_STRATA} strata in {strata}")
-    wanted = counts.select(
-        "stratum", F.least(F.col("total"), wanted_of(F.col("total"))).cast("bigint").alias("wanted")
+    whole = Window.partitionBy("_stratum")
+    total = F.sum("_n").over(whole)
+    wanted = F.least(total, wanted_of(total)).cast("bigint")
+    upto = F.sum("_n").over(whole.orderBy("_prefix"))
+    edge = (
+        histogram.withColumns({"_wanted": wanted, "_upto": upto})
+        .filter((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted")))
+        .select("_stratum", "_prefix", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_place"))
+    )
+    cutoffs = (
+        keyed.select("_stratum", "_hash", prefix)
+        .join(F.broadcast(edge), ["_stratum", "_prefix"])
+        .withColumn("_rank", F.row_number().over(whole.orderBy("_hash")))
+        .filter(F.col("_rank") == F.col("_place"))
+        .select("_stratum", F.col("_hash").alias("_cutoff"))
     )
-    cutoffs = hash_cutoffs(keyed, wanted)
+    # Both broadcasts hold one row per stratum.
     return (
-        keyed.join(F.broadcast(cutoffs), "stratum", "left")
-        .withColumn("picked", F.coalesce(F.col("h") <= F.col("cutoff"), F.lit(False)))
-        .drop("stratum", "h", "cutoff")
+        keyed.join(F.broadcast(cutoffs), "_stratum", "left")
+        .withColumn("picked", F.coalesce(F.col("_hash") <= F.col("_cutoff"), F.lit(False)))
+        .drop("_stratum", "_hash", "_cutoff")
     )
 
 

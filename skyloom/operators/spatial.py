@@ -8,6 +8,7 @@ from skyloom.functions.geo import cell_lat, cell_lon, cover_columns, cover_rows,
 from skyloom.sources.lake import fits
 
 CELL = ["cell_row", "cell_column"]
+MAX_CELLS = 200_000
 
 
 def place_cells(places: DataFrame, lat: str, lon: str, radius_km: float) -> DataFrame:
@@ -21,7 +22,7 @@ def within_radius(
     points: DataFrame,
     places: DataFrame,
     radius_km: float = AIRPORT_RADIUS_KM,
-    max_broadcast_places: int = 10_000,
+    max_broadcast_cells: int = MAX_CELLS,
     salts: int = 64,
     place_lat: str = "airport_lat",
     place_lon: str = "airport_lon",
@@ -37,7 +38,7 @@ def within_radius(
         "cell_column", cell_lon(F.col("longitude"))
     )
     cells = place_cells(places, place_lat, place_lon, radius_km)
-    if fits(places, max_broadcast_places):
+    if fits(cells, max_broadcast_cells):
         joined = keyed.join(F.broadcast(cells), CELL)
     else:
         spread = F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int")
@@ -60,16 +61,17 @@ def nearest_place(
     radius_km: float = AIRPORT_RADIUS_KM,
     place_lat: str = "airport_lat",
     place_lon: str = "airport_lon",
-    max_broadcast_places: int = 10_000,
+    max_broadcast_cells: int = MAX_CELLS,
 ) -> DataFrame:
     """``points`` plus the nearest place's key and ``dist_km``; null when none is in range.
 
     The places of a cell form one array, so each point meets one row and nothing is
     shuffled. Place tables too large to broadcast are refused.
     """
-    if not fits(places, max_broadcast_places):
-        raise ValueError(f"nearest_place needs at most {max_broadcast_places} places")
-    per_cell = place_cells(places, place_lat, place_lon, radius_km).groupBy(*CELL).agg(
+    cells = place_cells(places, place_lat, place_lon, radius_km)
+    if not fits(cells, max_broadcast_cells):
+        raise ValueError(f"the places cover more than {max_broadcast_cells} cells")
+    per_cell = cells.groupBy(*CELL).agg(
         F.array_agg(F.struct(place_lat, place_lon, key)).alias("candidates")
     )
     keyed = points.withColumn("cell_row", cell_lat(F.col("latitude"))).withColumn(

@@ -148,13 +148,16 @@ def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=No
     return _gold(spark, "route_features", run_id, metrics_path, path, build)
 
 
-def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=None) -> dict:
+def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=None, airports=None) -> dict:
+    """Labelled flights, with the load of the nearest airport as further model inputs."""
     with stage(spark, "labels", run_id, metrics_path) as record:
-        gold = lake.read_table(spark, flights_path, "flight feature")
+        gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp")
         load = lake.read_table(spark, congestion_path, "congestion feature")
+        places = lake.airports(spark) if airports is None else airports
         hourly = lake.staged(labels.hourly_congestion(load), "hourly")
         labelled, seen = observed(
-            labels.delay_labels(gold, hourly), f"labels_{run_id}",
+            labels.delay_labels(labels.with_nearest_congestion(gold, places, load), hourly),
+            f"labels_{run_id}",
             F.count(F.lit(1)).alias("total_rows"),
             F.sum("delay_risk").alias("delay_risk_count"),
             F.avg("delay_risk").alias("delay_risk_rate"),
@@ -193,5 +196,5 @@ def refresh(spark, bronze_path: str, root: str, run_id: str, airports: DataFrame
     flights_job(spark, paths["silver"], paths["flights"], run_id, metrics_path)
     congestion_job(spark, paths["silver"], paths["congestion"], run_id, metrics_path, airports)
     routes_job(spark, paths["silver"], paths["routes"], run_id, metrics_path)
-    labels_job(spark, paths["flights"], paths["congestion"], paths["labels"], run_id, metrics_path)
+    labels_job(spark, paths["flights"], paths["congestion"], paths["labels"], run_id, metrics_path, airports)
     return {**paths, "run_metrics": metrics_path}

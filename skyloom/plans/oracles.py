@@ -200,7 +200,8 @@ cte(
     WHERE dist_km <= 50""",
     "silver", "hubs",
 )
-oracle("congestion_join", f"SELECT aircraft_id, event_timestamp, airport_code, {r('dist_km')} FROM near", "near")
+for name in ("congestion_join", "congestion_join_shuffled"):
+    oracle(name, f"SELECT aircraft_id, event_timestamp, airport_code, {r('dist_km')} FROM near", "near")
 PLACES = ", ".join(f"('{code}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for code, _, lat, lon in C.AIRPORTS)
 oracle(
     "airport_matches",
@@ -284,7 +285,7 @@ def _suite(table, columns, lacking=()):
 
 
 cte("suite", _suite("states", 1 + len(STATE_NAMES)), "states")
-oracle("dq_bronze", "SELECT * FROM suite", "suite")
+oracle("dq_bronze", "SELECT * REPLACE (CAST(column_count + 1 AS INTEGER) AS column_count) FROM suite", "suite")
 oracle(
     "dq_summary",
     """SELECT suite_name, count(*) AS evaluated_expectations, CAST(count_if(success) AS BIGINT) AS successful_expectations,
@@ -642,6 +643,7 @@ oracle(
 # ---- streaming
 
 oracle("stream_silver", f"SELECT aircraft_id, event_timestamp, {DATES} FROM silver", "silver")
+oracle("stream_dedup", "SELECT aircraft_id, event_timestamp FROM silver", "silver")
 oracle(
     "stream_congestion",
     f"""SELECT {', '.join(COUNTS)} FROM counts

@@ -10,7 +10,7 @@ from skyloom import constants as C
 from skyloom.functions import flight as fx
 from skyloom.functions.geo import haversine_km
 from skyloom.operators import (
-    clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
+    anomaly, clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
     neighbours, quality, routes, sampling, spatial, trials, views,
 )
 from skyloom.plans import jobs, telemetry
@@ -187,6 +187,15 @@ def congestion_join(spark, sf):
     return near.select("aircraft_id", "event_timestamp", "airport_code", "dist_km")
 
 
+@query
+def congestion_join_shuffled(spark, sf):
+    """The same with the hubs taken as too many to broadcast: salted cells, shuffled."""
+    near = spatial.within_radius(
+        telemetry.silver(spark, sf), telemetry.hubs(spark, sf), max_broadcast_cells=0, salts=4
+    )
+    return near.select("aircraft_id", "event_timestamp", "airport_code", "dist_km")
+
+
 @query
 def airport_matches(spark, sf):
     """States near the built-in airports, over positions spread across the globe."""
@@ -259,7 +268,8 @@ def scalar_functions(spark, sf):
 
 @query
 def dq_bronze(spark, sf):
-    return quality.run_suite(telemetry.states(spark, sf), quality.bronze_suite())
+    states = quality.validation_frame(telemetry.states(spark, sf))
+    return quality.run_suite(states, quality.bronze_suite())
 
 
 @query
@@ -660,7 +670,8 @@ KEYS = ["aircraft_id", "event_timestamp"]
 @query
 def delay_scores(spark, sf):
     """Fit on the stratified training part, score the held-out part."""
-    parts = lake.staged(sampling.split(_delay_frame(spark, sf), KEYS, stratify="delay_risk"), "delay_parts")
+    frame = lake.staged(_delay_frame(spark, sf), "delay_frame")
+    parts = lake.staged(sampling.split(frame, KEYS, stratify="delay_risk"), "delay_parts")
     model = models.fit_classifier(
         parts.filter("not is_test"), C.DELAY_FEATURES, params={"maxIter": 5, "maxDepth": 4}
     )
@@ -673,7 +684,8 @@ def delay_scores(spark, sf):
 @query
 def congestion_scores(spark, sf):
     keys = ["airport_code", "event_timestamp"]
-    parts = lake.staged(sampling.split(congestion_training_frame(spark, sf), keys), "load_parts")
+    frame = lake.staged(congestion_training_frame(spark, sf), "load_frame")
+    parts = lake.staged(sampling.split(frame, keys), "load_parts")
     model = models.fit_regressor(
         parts.filter("not is_test"), C.CONGESTION_FEATURES, params={"maxIter": 5, "maxDepth": 4}
     )
@@ -704,8 +716,8 @@ def anomaly_scores(spark, sf):
 def lof(spark, sf):
     """Local outlier factor of every embedding."""
     return neighbours.local_outlier_factor(
-        spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id", "embedding", k=5
-    )
+        spark.read.parquet(f"{sf}/embeddings.parquet"), ["vec_id"], "embedding", k=5
+    ).select("vec_id", "lof")
 
 
 @query
@@ -720,23 +732,33 @@ def trial_table(spark, sf):
     )
 
 
+@query
+def congestion_trials(spark, sf):
+    keys = ["airport_code", "event_timestamp"]
+    frame = sampling.folds(congestion_training_frame(spark, sf), keys, 2)
+    settings, scored = models.search(
+        frame, C.CONGESTION_FEATURES, "congestion_score", "regressor",
+        ["lgbm", "random_forest"], trials=2, effort=0.01,
+    )
+    return trials.regression_trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
+        "trial", "algorithm", "score", F.map_keys("params").alias("settings")
+    )
+
+
+@query
+def flight_lof(spark, sf):
+    """Local outlier factor of flight fixes in feature space."""
+    frame = _anomaly_frame(spark, sf).select(*KEYS, F.array(*C.ANOMALY_FEATURES).alias("x"))
+    return neighbours.local_outlier_factor(frame, KEYS, "x", reference_rows=1000).drop("x")
+
+
 @query
 def anomaly_trials(spark, sf):
-    """Forest settings by the spread of their scores, and by how far the flagged rows stand
-    apart in units of that spread (the raw spread depends on a detector's scale)."""
+    """A small search over both detectors."""
     frame = _anomaly_frame(spark, sf)
-    rows = None
-    for number, (trees, sample) in enumerate([(20, 64), (20, 256)]):
-        forest = isolation.fit_forest(frame, KEYS, C.ANOMALY_FEATURES, trees, sample)
-        part = isolation.flag_anomalies(isolation.forest_scores(frame, forest)).select(
-            F.lit(number).alias("trial"), "anomaly_score", "is_anomaly"
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    per_trial = metrics.anomaly(rows, by=["trial"])
-    flagged = rows.filter("is_anomaly").groupBy("trial").agg(F.avg("anomaly_score").alias("flagged_mean"))
-    return per_trial.join(flagged, "trial", "left").select(
-        "trial", "anomaly_count", "anomaly_rate", "score_spread",
-        F.try_divide(F.col("mean_score") - F.col("flagged_mean"), "score_spread").alias("separation"),
+    settings, scored = anomaly.search(frame, KEYS, C.ANOMALY_FEATURES, trials=2, effort=0.1, reference_rows=1000)
+    return anomaly.trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
+        "trial", "algorithm", "anomaly_count", "anomaly_rate", "score_spread", "separation"
     )
 
 
@@ -783,6 +805,19 @@ def stream_silver(spark, sf):
     return spark.read.parquet(f"{root}/silver").select("aircraft_id", "event_timestamp", "year", "month", "day")
 
 
+@query
+def stream_dedup(spark, sf):
+    """Three polls of every state, streamed: each (aircraft, time) once."""
+    path = lake.fresh_path(spark, "polls")
+    rows = telemetry.silver(spark, sf).select("aircraft_id", "event_timestamp")
+    rows.withColumn("poll", F.explode(F.array(*[F.lit(i) for i in range(3)]))).write.parquet(path)
+    root = lake.fresh_path(spark, "stream_dedup")
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    once = ingest.dedup_stream(source)
+    ingest.write_stream(once, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("aircraft_id", "event_timestamp")
+
+
 @query
 def stream_congestion(spark, sf):
     root = lake.fresh_path(spark, "stream_congestion")

@@ -84,9 +84,12 @@ def read_days(spark: SparkSession, path: str, first: str | None, last: str | Non
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replace exactly the partitions present in ``df``; rerunning a batch is harmless."""
+    """Replace exactly the partitions present in ``df``; rerunning a batch is harmless. Rows
+    are gathered by partition first, and adaptive execution splits a large one over tasks, so
+    that neither tiny files nor one giant task come of it."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -94,7 +97,8 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 
 def append_partitioned(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
-    df.write.mode("append").partitionBy(*(partitions or SILVER_PARTITIONS)).parquet(path)
+    partitions = partitions or SILVER_PARTITIONS
+    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
