@@ -127,8 +127,7 @@ def fit_classifier(
         train, weight = balanced_weights(train, label), "weight"
     else:
         weight = None
-    model = estimator(CLASSIFIERS, algorithm, label, params or {}, weight)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), model]).fit(train)
+    return _fit(train, features, estimator(CLASSIFIERS, algorithm, label, params or {}, weight))
 
 
 def fit_regressor(
@@ -138,8 +137,19 @@ def fit_regressor(
     algorithm: str = "lgbm",
     params: dict | None = None,
 ) -> PipelineModel:
-    model = estimator(REGRESSORS, algorithm, target, params or {})
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), model]).fit(train)
+    return _fit(train, features, estimator(REGRESSORS, algorithm, target, params or {}))
+
+
+def _fit(train, features, model) -> PipelineModel:
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), model])
+    fitted = pipeline.fit(train)
+    if not getattr(fitted.stages[-1], "hasSummary", False):
+        return fitted
+    # A training summary holds the session, which cannot travel to the executors once the
+    # session has observed metrics. A saved model has none.
+    path = fresh_path(train.sparkSession, "model")
+    fitted.write().save(path)
+    return PipelineModel.load(path)
 
 
 def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
