@@ -84,10 +84,13 @@ VIEWS = [FLIGHT_VIEW, AIRPORT_VIEW, ROUTE_VIEW]
 
 
 def materialise_latest(view: FeatureView, source: DataFrame, start, end) -> DataFrame:
-    """Latest values per entity with event time in [start, end]; the interval reaches the
-    parquet scan."""
-    at = F.col(view.timestamp)
-    rows = view.select(source.filter(at.between(F.lit(start), F.lit(end))))
+    """Latest values per entity with event time in [start, end]. The interval reaches the
+    parquet scan, and skips whole days of a table partitioned by ``event_date``."""
+    low, high = (F.lit(t).cast("timestamp") for t in (start, end))
+    inside = F.col(view.timestamp).between(low, high)
+    if "event_date" in source.columns:
+        inside &= F.col("event_date").between(F.to_date(low), F.to_date(high))
+    rows = view.select(source.filter(inside))
     return last_per_key(rows, [view.entity], view.order(rows))
 
 

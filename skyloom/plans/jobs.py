@@ -2,13 +2,14 @@
 
 import time
 from contextlib import contextmanager
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators import clean, congestion, flights, labels, quality, routes, views
+from skyloom.operators.keyed import last_per_key
 from skyloom.sources import bronze, lake
 from skyloom.sources.schemas import SILVER_PARTITIONS
 
@@ -117,20 +118,33 @@ def _gold(spark, name, run_id, metrics_path, path, build) -> dict:
 
 
 def flights_job(spark, silver_path, path, run_id, metrics_path=None, first_day=None, last_day=None) -> dict:
-    """Flight features of the whole of silver, or of a range of days. For a range, the day
-    before it is read as well, so windows reach back; an aircraft silent for that long starts
-    anew."""
-
-    def build():
-        if not first_day:
-            return flights.flight_features(lake.read_days(spark, silver_path, None, last_day))
-        day_before = (
-            spark.range(1).select(F.date_sub(F.lit(first_day).cast("date"), 1).cast("string")).first()[0]
+    """Flight features by day, for the whole of silver or a range of days; only the days
+    computed are replaced. For a range, the windows reach back over the day before it and,
+    for aircraft silent since then, to their last fix."""
+    with stage(spark, "flight_features", run_id, metrics_path) as record:
+        if first_day:
+            day_before, two_before = (str(date.fromisoformat(first_day) - timedelta(n)) for n in (1, 2))
+            recent = flights.airborne(lake.read_days(spark, silver_path, day_before, last_day))
+            older = flights.airborne(lake.read_days(spark, silver_path, None, two_before))
+            rows = lake.staged(
+                recent.unionByName(last_per_key(older, ["aircraft_id"], ["event_timestamp"])), "range_fixes"
+            )
+            gold = flights.flight_features(rows).filter(
+                F.col("event_timestamp") >= F.lit(first_day).cast("timestamp")
+            )
+        else:
+            gold = flights.flight_features(lake.read_days(spark, silver_path, None, last_day))
+        gold, seen = observed(
+            gold.withColumn("created_timestamp", F.current_timestamp()).withColumn(
+                "event_date", F.to_date("event_timestamp")
+            ),
+            f"flight_features_{run_id}",
+            F.count(F.lit(1)).alias("rows_written"),
         )
-        rows = lake.read_days(spark, silver_path, day_before, last_day)
-        return flights.flight_features(rows).filter(F.col("event_timestamp") >= F.lit(first_day).cast("timestamp"))
-
-    return _gold(spark, "flight_features", run_id, metrics_path, path, build)
+        lake.write_partitioned(gold, path, ["event_date"])
+        record["metrics"].update(seen.get)
+        record["artifacts"]["path"] = path
+    return record
 
 
 def congestion_job(spark, silver_path, path, run_id, metrics_path=None, airports=None, first_day=None, last_day=None) -> dict:
@@ -151,7 +165,7 @@ def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=No
 def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=None, airports=None) -> dict:
     """Labelled flights, with the load of the nearest airport as further model inputs."""
     with stage(spark, "labels", run_id, metrics_path) as record:
-        gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp")
+        gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp", "event_date")
         load = lake.read_table(spark, congestion_path, "congestion feature")
         places = lake.airports(spark) if airports is None else airports
         hourly = lake.staged(labels.hourly_congestion(load), "hourly")

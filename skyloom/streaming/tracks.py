@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.flights import airborne, describe_fixes, windowed
-from skyloom.sources.lake import staged
+from skyloom.sources.lake import broadcast_within, staged
+
+MAX_AIRCRAFT = 1_000_000
 
 
 class TrackFeatures:
@@ -41,7 +43,7 @@ class TrackFeatures:
             open_fixes = spark.createDataFrame([], fixes.schema)
         last_seen = open_fixes.groupBy("aircraft_id").agg(F.max("event_timestamp").alias("last_seen"))
         marked = staged(
-            fixes.join(last_seen, "aircraft_id", "left").withColumn(
+            fixes.join(broadcast_within(last_seen, MAX_AIRCRAFT), "aircraft_id", "left").withColumn(
                 "is_late", F.coalesce(F.col("event_timestamp") <= F.col("last_seen"), F.lit(False))
             ),
             "track_batch",
@@ -62,8 +64,10 @@ class TrackFeatures:
             f"{self.root}/features/batch_id={batch_id}"
         )
         together = known.drop("is_new")
-        newest = together.groupBy("aircraft_id").agg(F.max("event_timestamp").alias("newest"))
+        newest = staged(
+            together.groupBy("aircraft_id").agg(F.max("event_timestamp").alias("newest")), "newest"
+        )
         age = F.col("newest").cast("bigint") - F.col("event_timestamp").cast("bigint")
-        together.join(newest, "aircraft_id").filter(age <= C.ROLLING_SECONDS).select(
+        together.join(broadcast_within(newest, MAX_AIRCRAFT), "aircraft_id").filter(age <= C.ROLLING_SECONDS).select(
             *fixes.columns
         ).write.mode("overwrite").parquet(f"{self.root}/open/batch_id={batch_id}")

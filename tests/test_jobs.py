@@ -49,6 +49,7 @@ def test_stages_are_recorded(spark, tables):
         ["bronze_to_silver", "flight_features", "airport_congestion_features", "route_features", "labels"], "success"
     )
     gold = spark.read.parquet(tables["flights"])
+    assert gold.filter("event_date = '2024-01-10'").count() > 0
     assert recorded["flight_features"].metrics["rows_written"] == gold.count() > 0
     assert recorded["labels"].metrics["total_rows"] == gold.count()
     assert "created_timestamp" in gold.columns
@@ -74,13 +75,22 @@ def test_ingest_gate(spark, tmp_path):
 
 
 def test_a_range_of_days_equals_the_whole(spark, tables, tmp_path):
-    jobs.flights_job(spark, tables["silver"], str(tmp_path / "f"), "r", first_day="2024-01-12", last_day="2024-01-14")
-    part = spark.read.parquet(str(tmp_path / "f")).drop("created_timestamp")
-    whole = spark.read.parquet(tables["flights"]).drop("created_timestamp")
-    days = whole.filter((F.col("event_timestamp") >= "2024-01-12") & (F.col("event_timestamp") < "2024-01-15"))
-    speeds = ["aircraft_id", "event_timestamp", "avg_speed_15m", "speed_ms"]
-    assert part.count() == days.count() > 0
-    assert part.select(*speeds).exceptAll(days.select(*speeds)).count() == 0
+    """Days replaced one range at a time end up as the whole table, long gaps included."""
+    path = str(tmp_path / "f")
+    jobs.flights_job(spark, tables["silver"], path, "r", last_day="2024-01-11")
+    jobs.flights_job(spark, tables["silver"], path, "r", first_day="2024-01-12", last_day="2024-01-12")
+    jobs.flights_job(spark, tables["silver"], path, "r", first_day="2024-01-12", last_day="2024-01-20")
+    jobs.flights_job(spark, tables["silver"], path, "r", first_day="2024-01-21")
+    parts = spark.read.parquet(path).drop("created_timestamp")
+    whole = spark.read.parquet(tables["flights"]).drop("created_timestamp").select(*parts.columns)
+    assert parts.count() == whole.count()
+    assert parts.exceptAll(whole).count() == 0
+
+
+def test_materialise_skips_days(spark, tables):
+    latest = views.materialise_latest(views.FLIGHT_VIEW, spark.read.parquet(tables["flights"]), "2024-01-14 22:00:00", "2024-01-15 00:00:00")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "PushedFilters: [IsNotNull(event_timestamp)" in plan
 
 
 def test_partition_pruning(spark, tables):
