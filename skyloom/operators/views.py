@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.operators.keyed import BUSY_ROWS, busy_keys, last_per_key
+from skyloom.sources.lake import read_table
 
 FLOAT, DOUBLE, LONG, STRING = "float", "double", "bigint", "string"
 
@@ -20,6 +21,11 @@ class FeatureView:
     fields: dict[str, str] = field(default_factory=dict)
     timestamp: str = "event_timestamp"
     created: str = "created_timestamp"
+    folder: str = ""
+
+    def read(self, spark, root: str) -> DataFrame:
+        """The view's columns from its gold table under ``root``."""
+        return self.select(read_table(spark, f"{root}/{self.folder or self.name}", self.name))
 
     def select(self, source: DataFrame) -> DataFrame:
         return source.select(
@@ -55,6 +61,7 @@ FLIGHT_VIEW = FeatureView(
         "callsign": STRING,
         "origin_country": STRING,
     },
+    folder="flights",
 )
 AIRPORT_VIEW = FeatureView(
     "airport_congestion_features",
@@ -68,6 +75,7 @@ AIRPORT_VIEW = FeatureView(
         "congestion_score": FLOAT,
         "airport_name": STRING,
     },
+    folder="congestion",
 )
 ROUTE_VIEW = FeatureView(
     "route_features",
@@ -79,6 +87,7 @@ ROUTE_VIEW = FeatureView(
         "historical_avg_delay_proxy": FLOAT,
         "unique_aircraft_count": LONG,
     },
+    folder="routes",
 )
 VIEWS = [FLIGHT_VIEW, AIRPORT_VIEW, ROUTE_VIEW]
 

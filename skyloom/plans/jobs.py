@@ -12,6 +12,7 @@ from skyloom.operators import clean, congestion, flights, labels, quality, route
 from skyloom.operators.keyed import last_per_key
 from skyloom.sources import bronze, lake
 from skyloom.sources.schemas import SILVER_PARTITIONS
+from skyloom.streaming.ingest import late_rows
 
 RUN_METRICS = (
     "stage string, run_id string, status string, started_at timestamp, seconds double, "
@@ -67,11 +68,12 @@ def ingest(spark, raw: DataFrame, path: str, run_id: str, metrics_path: str | No
 
 
 def bronze_to_silver(
-    spark, bronze_path: str, silver_path: str, run_id: str, metrics_path: str | None = None, multi_line: bool = False
+    spark, bronze_path: str, silver_path: str, run_id: str, metrics_path: str | None = None,
+    multi_line: bool = False, quarantine_path: str | None = None,
 ) -> dict:
     """Clean all landed batches and merge them into silver. One pass parses, counts and
     writes; the gates look at the counts before anything is published; rerunning changes
-    nothing."""
+    nothing. Rejected rows go to ``quarantine_path``, if given, with the reason."""
     with stage(spark, "bronze_to_silver", run_id, metrics_path) as record:
         raw, seen_raw = observed(
             clean.explode_states(bronze.read_bronze(spark, bronze_path, multi_line)),
@@ -89,6 +91,10 @@ def bronze_to_silver(
         quality.check_silver(new.columns, found)
         merge_silver(spark, new, silver_path)
         record["artifacts"]["silver"] = silver_path
+        if quarantine_path:
+            states = clean.explode_states(bronze.read_bronze(spark, bronze_path, multi_line))
+            lake.write_table(clean.quarantine(states), quarantine_path)
+            record["artifacts"]["quarantine"] = quarantine_path
     return record
 
 
@@ -182,6 +188,16 @@ def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=
     return record
 
 
+def record_stream(spark, query, name: str, run_id: str, metrics_path: str) -> dict:
+    """Record what a finished or running streaming query took in and dropped as late."""
+    with stage(spark, name, run_id, metrics_path) as record:
+        record["metrics"]["rows_read"] = sum(p["numInputRows"] for p in query.recentProgress)
+        record["metrics"]["late_rows"] = late_rows(query)
+        if query.exception():
+            raise query.exception()
+    return record
+
+
 def materialise_job(spark, sources: dict[str, str], root: str, start, end, run_id, metrics_path=None) -> dict:
     """Latest values of every view whose source path is given. A view that fails is recorded
     and does not stop the others."""

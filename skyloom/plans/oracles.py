@@ -605,6 +605,21 @@ oracle(
       FROM ({PSI_BINS}) GROUP BY feature, bin) GROUP BY feature""",
     "flat",
 )
+QUANTILE_BINS = " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, list_sum(list_transform(cuts, lambda c: CAST({f} >= c AS INTEGER))) AS bin, last_contact >= 1705276800 AS is_new
+    FROM flat, (SELECT quantile_disc({f}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM flat WHERE last_contact < 1705276800) WHERE {f} IS NOT NULL"""
+    for f in ("velocity", "baro_altitude", "heading")
+)
+oracle(
+    "drift_decision",
+    f"""SELECT count(*) AS features, CAST(count_if(drifted) AS BIGINT) AS drifted_features, avg(CAST(drifted AS INTEGER)) AS drifted_share,
+    avg(CAST(drifted AS INTEGER)) > 0.3 AS retrain FROM (
+    SELECT feature, sum((p - q) * ln(p / q)) > 0.2 AS drifted FROM (
+      SELECT feature, greatest(count_if(is_new) / sum(count_if(is_new)) OVER (PARTITION BY feature), 0.0001) AS p,
+        greatest(count_if(NOT is_new) / sum(count_if(NOT is_new)) OVER (PARTITION BY feature), 0.0001) AS q
+      FROM ({QUANTILE_BINS}) GROUP BY feature, bin) GROUP BY feature)""",
+    "flat",
+)
 oracle(
     "anomaly_rules",
     """SELECT *, CAST(heading_jump AS INTEGER) + CAST(odd_speed AS INTEGER) + CAST(odd_climb AS INTEGER) + CAST(stalled AS INTEGER) AS signals FROM (
@@ -640,9 +655,44 @@ oracle(
     "density",
 )
 
+SCALED = ", ".join(f"({f} - avg({f}) OVER ()) / (stddev_pop({f}) OVER ()) AS x{i}" for i, f in enumerate(C.ANOMALY_FEATURES))
+APART = " + ".join(f"pow(a.x{i} - b.x{i}, 2)" for i in range(len(C.ANOMALY_FEATURES)))
+FIX = "md5(concat_ws('|', aircraft_id, CAST(event_timestamp AS VARCHAR), '42'))"
+cte(
+    "fixes",
+    f"""SELECT aircraft_id, event_timestamp, {SCALED}, row_number() OVER (ORDER BY {FIX}) AS n
+    FROM flights WHERE {" AND ".join(f"{f} IS NOT NULL" for f in C.ANOMALY_FEATURES)}""",
+    "flights",
+)
+cte(
+    "fix_knn",
+    f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY d, o) AS rn FROM (
+      SELECT a.n AS p, b.n AS o, sqrt({APART}) AS d FROM fixes a JOIN fixes b ON b.n <= 1000 AND a.n <> b.n)) WHERE rn <= 20""",
+    "fixes",
+)
+cte(
+    "fix_density",
+    """SELECT k.p, 1 / (avg(greatest(k.d, far.d)) + 1e-10) AS lrd FROM fix_knn k
+    JOIN (SELECT p, max(d) AS d FROM fix_knn GROUP BY p) far ON far.p = k.o GROUP BY k.p""",
+    "fix_knn",
+)
+oracle(
+    "flight_lof",
+    """SELECT aircraft_id, event_timestamp, lof FROM fixes JOIN (
+      SELECT k.p, round(avg(other.lrd) / max(own.lrd), 6) AS lof FROM fix_knn k
+      JOIN fix_density other ON other.p = k.o JOIN fix_density own ON own.p = k.p GROUP BY k.p) ON p = n""",
+    "fix_density",
+)
+
 # ---- streaming
 
 oracle("stream_silver", f"SELECT aircraft_id, event_timestamp, {DATES} FROM silver", "silver")
+oracle(
+    "stream_late_rows",
+    """SELECT 'stream_dedup' AS stage, 'success' AS status, 'rows_read' AS metric, CAST(count(*) AS DOUBLE) AS value FROM silver
+    UNION ALL SELECT 'stream_dedup', 'success', 'late_rows', 0""",
+    "silver",
+)
 oracle("stream_dedup", "SELECT aircraft_id, event_timestamp FROM silver", "silver")
 oracle(
     "stream_congestion",

@@ -697,7 +697,7 @@ def congestion_scores(spark, sf):
 
 def _anomaly_frame(spark, sf):
     frame = labels.training_frame(
-        flights.flight_features(_silver(spark, sf)), C.ANOMALY_FEATURES, keep=KEYS
+        _rounded(flights.flight_features(_silver(spark, sf))), C.ANOMALY_FEATURES, keep=KEYS
     )
     frame = lake.staged(frame, "anomaly_frame")
     return sampling.standardise(frame, C.ANOMALY_FEATURES)
@@ -818,6 +818,19 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(f"{root}/out").select("aircraft_id", "event_timestamp")
 
 
+@query
+def stream_late_rows(spark, sf):
+    """What a deduplicating stream records about itself; nothing is late in a single batch."""
+    root = lake.fresh_path(spark, "stream_late")
+    query = ingest.write_stream(
+        ingest.dedup_stream(_land_stream(spark, sf, "stream_in")), f"{root}/out", f"{root}/checkpoint"
+    )
+    query.awaitTermination()
+    jobs.record_stream(spark, query, "stream_dedup", "run", f"{root}/metrics")
+    recorded = spark.read.parquet(f"{root}/metrics")
+    return recorded.select("stage", "status", F.explode("metrics").alias("metric", "value"))
+
+
 @query
 def stream_congestion(spark, sf):
     root = lake.fresh_path(spark, "stream_congestion")
