@@ -63,7 +63,8 @@ def to_silver(states: DataFrame) -> DataFrame:
     """Event time, date and partition columns; no other columns than silver's."""
     at = F.col("event_timestamp")
     return (
-        states.withColumn("event_timestamp", F.timestamp_seconds("time_position"))
+        # a cast saturates where timestamp_seconds would fail the job on one absurd value
+        states.withColumn("event_timestamp", F.col("time_position").cast("timestamp"))
         .withColumn("event_date", F.to_date(at))
         .withColumn("year", F.year(at))
         .withColumn("month", F.month(at))

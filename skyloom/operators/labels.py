@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.spatial import nearest_place
-from skyloom.sources.lake import broadcast_within
+from skyloom.sources.lake import broadcast_within, fits
 
 # A century of hours; a larger lookup is joined by shuffle instead.
 MAX_LOOKUP_HOURS = 1_000_000
@@ -44,18 +44,28 @@ def with_nearest_congestion(flights: DataFrame, airports: DataFrame, congestion:
         "snapshot_hour", F.date_trunc("hour", "event_timestamp")
     )
     load = congestion.select(
-        "airport_code",
-        F.date_trunc("hour", "event_timestamp").alias("snapshot_hour"),
+        F.col("airport_code").alias("_airport"),
+        F.date_trunc("hour", "event_timestamp").alias("_hour"),
         "aircraft_count_50km",
         "congestion_score",
     )
-    return (
-        placed.join(
-            broadcast_within(load, MAX_LOOKUP_HOURS), ["airport_code", "snapshot_hour"], "left"
-        )
-        .withColumn("aircraft_count_50km", F.coalesce("aircraft_count_50km", F.lit(0)))
-        .withColumn("congestion_score", F.coalesce("congestion_score", F.lit(0.0)))
-        .select(*flights.columns, "airport_code", "dist_km", "aircraft_count_50km", "congestion_score")
+    small = fits(load, MAX_LOOKUP_HOURS)
+    airport = F.col("airport_code")
+    if not small:
+        # Flights far from any airport match nothing; keep them from meeting in one partition.
+        spread = F.concat(F.lit("~"), F.pmod(F.xxhash64(*flights.columns), F.lit(4096)))
+        airport = F.coalesce(airport, spread)
+    joined = placed.withColumn("_key", airport).join(
+        F.broadcast(load) if small else load,
+        (F.col("_key") == F.col("_airport")) & (F.col("snapshot_hour") == F.col("_hour")),
+        "left",
+    )
+    return joined.select(
+        *flights.columns,
+        "airport_code",
+        "dist_km",
+        F.coalesce("aircraft_count_50km", F.lit(0)).alias("aircraft_count_50km"),
+        F.coalesce("congestion_score", F.lit(0.0)).alias("congestion_score"),
     )
 
 

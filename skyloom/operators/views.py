@@ -186,6 +186,9 @@ def _as_of_sliced(asked: DataFrame, values: DataFrame, ttl_seconds: int) -> Data
         .unionByName(times.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
     )
     answers = _last_known(timeline, ["_entity", "_slice"], ttl_seconds)
-    return asked.join(
+    complete = F.col("_entity").isNotNull() & F.col("_at").isNotNull()
+    found = asked.filter(complete).join(
         answers.filter(F.col("found").isNotNull()).drop("_slice"), ["_entity", "_at"], "left"
     )
+    # Rows without a key have no answer; joining them would gather them in one partition.
+    return found.unionByName(asked.filter(~complete), allowMissingColumns=True)

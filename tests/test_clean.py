@@ -66,3 +66,8 @@ def test_silver_columns(spark):
     ).withColumn("position_source", F.lit(0))
     (row,) = clean.to_silver(df).collect()
     assert (row.year, row.month, row.day) == (2024, 6, 6) and str(row.event_timestamp) == "2024-06-06 12:10:00"
+
+
+def test_an_absurd_time_does_not_fail_the_job(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000_000,)], "time_position bigint")
+    assert df.select(F.col("time_position").cast("timestamp").cast("bigint")).first()[0] > 4e9

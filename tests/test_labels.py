@@ -52,3 +52,16 @@ def test_clock_features_start_on_monday(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 7),)], "event_timestamp timestamp")
     row = labels.congestion_training_columns(df).first()
     assert (row.hour_of_day, row.day_of_week) == (7, 0)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_nearest_load_by_broadcast_and_by_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(labels, "MAX_LOOKUP_HOURS", limit)
+    rows = [("a", H, 10.0, 10.1), ("b", H, 50.0, 50.0), ("c", H.replace(hour=9), 10.0, 10.0), ("d", H, None, None)]
+    fixes = spark.createDataFrame(rows, "aircraft_id string, event_timestamp timestamp, latitude double, longitude double")
+    places = spark.createDataFrame([("A", 10.0, 10.0)], "airport_code string, airport_lat double, airport_lon double")
+    load = spark.createDataFrame([("A", H, 7, 0.5)], "airport_code string, event_timestamp timestamp, aircraft_count_50km bigint, congestion_score double")
+    out = labels.with_nearest_congestion(fixes, places, load).orderBy("aircraft_id").collect()
+    assert [(r.airport_code, r.aircraft_count_50km, r.congestion_score) for r in out] == [
+        ("A", 7, 0.5), (None, 0, 0.0), ("A", 0, 0.0), (None, 0, 0.0),
+    ]
