@@ -11,14 +11,13 @@ from skyloom import constants as C
 from skyloom.operators import clean, congestion, flights, labels, quality, routes, views
 from skyloom.operators.keyed import last_per_key
 from skyloom.sources import bronze, lake
-from skyloom.sources.schemas import SILVER_PARTITIONS
+from skyloom.sources.schemas import SILVER_KEY, SILVER_PARTITIONS
 from skyloom.streaming.ingest import late_rows
 
 RUN_METRICS = (
     "stage string, run_id string, status string, started_at timestamp, seconds double, "
     "metrics map<string,double>, artifacts map<string,string>, error string"
 )
-MAX_DAYS = 100_000
 
 
 @contextmanager
@@ -89,7 +88,7 @@ def bronze_to_silver(
         found = {**seen_raw.get, **seen.get}
         record["metrics"].update(found, rows_dropped=found["states_read"] - found["silver_rows"])
         quality.check_silver(new.columns, found)
-        merge_silver(spark, new, silver_path)
+        lake.merge_partitioned(new, silver_path, SILVER_PARTITIONS, SILVER_KEY)
         record["artifacts"]["silver"] = silver_path
         if quarantine_path:
             states = clean.explode_states(bronze.read_bronze(spark, bronze_path, multi_line))
@@ -98,21 +97,6 @@ def bronze_to_silver(
     return record
 
 
-def merge_silver(spark, new: DataFrame, silver_path: str) -> None:
-    """Replace the day partitions ``new`` touches by its rows plus the rows already there for
-    other (aircraft, time) keys. ``new`` must be staged."""
-    if not lake.exists(spark, silver_path):
-        lake.write_partitioned(new, silver_path, SILVER_PARTITIONS)
-        return
-    old = spark.read.schema(new.schema).parquet(silver_path)
-    days = lake.broadcast_within(new.select(*SILVER_PARTITIONS).distinct(), MAX_DAYS)
-    kept = old.join(days, SILVER_PARTITIONS, "left_semi").join(
-        new.select("aircraft_id", "event_timestamp"), ["aircraft_id", "event_timestamp"], "left_anti"
-    )
-    merged = lake.staged(new.unionByName(kept.select(*new.columns)), "silver_merge")
-    lake.write_partitioned(merged, silver_path, SILVER_PARTITIONS)
-
-
 def _gold(spark, name, run_id, metrics_path, path, build) -> dict:
     with stage(spark, name, run_id, metrics_path) as record:
         table = build().withColumn("created_timestamp", F.current_timestamp())

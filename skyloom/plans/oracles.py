@@ -125,18 +125,18 @@ oracle(
     "clean",
 )
 DATES = "CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month, CAST(day(event_timestamp) AS INTEGER) AS day"
-oracle(
-    "silver_table",
-    f"""SELECT aircraft_id, callsign, origin_country, event_timestamp, CAST(event_timestamp AS DATE) AS event_date,
-    latitude, longitude, baro_altitude, geo_altitude, on_ground, velocity, heading, vertical_rate, squawk,
-    position_source, {DATES} FROM silver""",
-    "silver",
-)
+for name in ("silver_table", "stream_merge"):
+    oracle(
+        name,
+        f"""SELECT aircraft_id, callsign, origin_country, event_timestamp, CAST(event_timestamp AS DATE) AS event_date,
+        latitude, longitude, baro_altitude, geo_altitude, on_ground, velocity, heading, vertical_rate, squawk,
+        position_source, {DATES} FROM silver""",
+        "silver",
+    )
 oracle(
     "silver_write_readback",
     f"""SELECT year, month, day, count(*) AS n, count(DISTINCT aircraft_id) AS aircraft
-    FROM (SELECT aircraft_id, {DATES} FROM silver WHERE event_timestamp >= TIMESTAMP '2024-01-10' AND event_timestamp < TIMESTAMP '2024-01-21')
-    GROUP BY ALL""",
+    FROM (SELECT aircraft_id, {DATES} FROM silver) GROUP BY ALL""",
     "silver",
 )
 oracle(
@@ -666,8 +666,9 @@ cte(
 )
 cte(
     "fix_knn",
-    f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY d, o) AS rn FROM (
-      SELECT a.n AS p, b.n AS o, sqrt({APART}) AS d FROM fixes a JOIN fixes b ON b.n <= 1000 AND a.n <> b.n)) WHERE rn <= 20""",
+    f"""SELECT p, near.o AS o, near.d AS d FROM (
+      SELECT a.n AS p, unnest(min({{'d': sqrt({APART}), 'o': b.n}}, {C.LOF_NEIGHBOURS})) AS near
+      FROM fixes a JOIN fixes b ON b.n <= {C.SAMPLE_ROWS} AND a.n <> b.n GROUP BY a.n)""",
     "fixes",
 )
 cte(

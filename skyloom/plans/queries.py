@@ -15,7 +15,7 @@ from skyloom.operators import (
 )
 from skyloom.plans import jobs, telemetry
 from skyloom.sources import bronze, lake
-from skyloom.sources.schemas import SILVER_PARTITIONS
+from skyloom.sources.schemas import SILVER_COLUMNS, SILVER_KEY, SILVER_PARTITIONS
 from skyloom.streaming import ingest
 from skyloom.streaming.congestion import hourly_counts
 from skyloom.streaming.latest import LatestTable
@@ -115,12 +115,12 @@ def silver_table(spark, sf):
 
 @query
 def silver_write_readback(spark, sf):
-    """Publish silver twice (the second run must change nothing), read it by day."""
+    """Publish silver twice (the second run must change nothing), count what is there by day."""
     path = lake.fresh_path(spark, "silver")
     new = lake.staged(telemetry.silver(spark, sf), "silver_new")
-    jobs.merge_silver(spark, new, path)
-    jobs.merge_silver(spark, new, path)
-    table = lake.read_days(spark, path, "2024-01-10", "2024-01-20")
+    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
+    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
+    table = lake.read_days(spark, path, None, None)
     return table.groupBy(*SILVER_PARTITIONS).agg(
         F.count("*").alias("n"), F.countDistinct("aircraft_id").alias("aircraft")
     )
@@ -749,14 +749,14 @@ def congestion_trials(spark, sf):
 def flight_lof(spark, sf):
     """Local outlier factor of flight fixes in feature space."""
     frame = _anomaly_frame(spark, sf).select(*KEYS, F.array(*C.ANOMALY_FEATURES).alias("x"))
-    return neighbours.local_outlier_factor(frame, KEYS, "x", reference_rows=1000).drop("x")
+    return neighbours.local_outlier_factor(frame, KEYS, "x").drop("x")
 
 
 @query
 def anomaly_trials(spark, sf):
     """A small search over both detectors."""
     frame = _anomaly_frame(spark, sf)
-    settings, scored = anomaly.search(frame, KEYS, C.ANOMALY_FEATURES, trials=2, effort=0.1, reference_rows=1000)
+    settings, scored = anomaly.search(frame, KEYS, C.ANOMALY_FEATURES, trials=2, effort=0.1)
     return anomaly.trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
         "trial", "algorithm", "anomaly_count", "anomaly_rate", "score_spread", "separation"
     )
@@ -805,6 +805,16 @@ def stream_silver(spark, sf):
     return spark.read.parquet(f"{root}/silver").select("aircraft_id", "event_timestamp", "year", "month", "day")
 
 
+@query
+def stream_merge(spark, sf):
+    """Landed JSON -> silver, each batch merged into the days it touches."""
+    root = lake.fresh_path(spark, "stream_merge")
+    bronze.land_bronze(telemetry.bronze(spark, sf), f"{root}/bronze")
+    merge = ingest.SilverMerge(f"{root}/silver")
+    merge.start(bronze.stream_bronze(spark, f"{root}/bronze", 100_000), f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(merge.path).select(*SILVER_COLUMNS)
+
+
 @query
 def stream_dedup(spark, sf):
     """Three polls of every state, streamed: each (aircraft, time) once."""

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from skyloom.constants import AIRPORTS
 from skyloom.sources.schemas import AIRPORT_SCHEMA, SILVER_PARTITIONS
 
+MAX_PARTITIONS = 100_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -101,6 +103,20 @@ def append_partitioned(df: DataFrame, path: str, partitions: list[str] | None =
     df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
+def merge_partitioned(new: DataFrame, path: str, partitions: list[str], keys: list[str]) -> None:
+    """Replace the partitions that ``new`` touches by its rows plus the rows already there
+    under other keys. ``new`` must be staged; merging it again changes nothing."""
+    spark = new.sparkSession
+    if not exists(spark, path):
+        write_partitioned(new, path, partitions)
+        return
+    old = spark.read.schema(new.schema).parquet(path)
+    touched = broadcast_within(new.select(*partitions).distinct(), MAX_PARTITIONS)
+    kept = old.join(touched, partitions, "left_semi").join(new.select(*keys), keys, "left_anti")
+    merged = staged(new.unionByName(kept.select(*new.columns)), "merge")
+    write_partitioned(merged, path, partitions)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Overwrite a gold table. Adaptive execution sizes the output files."""
     df.write.mode("overwrite").parquet(path)

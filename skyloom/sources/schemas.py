@@ -37,6 +37,7 @@ SILVER_COLUMNS = [
     "latitude", "longitude", "baro_altitude", "geo_altitude", "on_ground", "velocity",
     "heading", "vertical_rate", "squawk", "position_source", "year", "month", "day",
 ]
+SILVER_KEY = ["aircraft_id", "event_timestamp"]
 SILVER_PARTITIONS = ["year", "month", "day"]
 
 AIRPORT_SCHEMA = "airport_code string, airport_name string, airport_lat double, airport_lon double"

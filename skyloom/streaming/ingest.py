@@ -1,9 +1,15 @@
-"""Incremental bronze to silver."""
+"""Incremental bronze to silver.
+
+``silver_stream`` appends within the lateness it allows, and suits short batches.
+``SilverMerge`` rewrites the days a batch touches: nothing is too late for it, a later batch
+corrects an earlier one, and copies combine before they are shuffled.
+"""
 
 from pyspark.sql import DataFrame
 
-from skyloom.operators.clean import clean, explode_states, to_silver
-from skyloom.sources.schemas import SILVER_PARTITIONS
+from skyloom.operators.clean import bronze_to_silver, clean, explode_states, to_silver
+from skyloom.sources.lake import merge_partitioned, staged
+from skyloom.sources.schemas import SILVER_KEY, SILVER_PARTITIONS
 
 LATENESS = "2 hours"
 
@@ -22,6 +28,26 @@ def dedup_stream(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
+class SilverMerge:
+    """``foreachBatch`` body that merges each batch of bronze into the silver table. A
+    repeated batch changes nothing."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def start(self, bronze: DataFrame, checkpoint: str, **trigger):
+        return (
+            bronze.writeStream.foreachBatch(self)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        new = staged(bronze_to_silver(batch), "silver_batch")
+        merge_partitioned(new, self.path, SILVER_PARTITIONS, SILVER_KEY)
+
+
 def write_stream(
     df: DataFrame, path: str, checkpoint: str, partitions: list[str] | None = None, **trigger
 ):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyloom.operators import clean, quality, views
 from skyloom.plans import jobs, retrain, telemetry
 from skyloom.sources import bronze, lake
+from skyloom.sources.schemas import SILVER_KEY, SILVER_PARTITIONS
 
 
 @pytest.fixture(scope="module")
@@ -36,9 +37,10 @@ def test_new_reports_merge_into_touched_days(spark, tables, tmp_path):
     path = str(tmp_path / "silver")
     silver = lake.staged(telemetry.silver(spark, SF_DIR), "silver")
     day = silver.filter("day = 10")
-    jobs.merge_silver(spark, silver, path)
+    merge = lambda new: lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
+    merge(silver)
     changed = lake.staged(day.limit(3).withColumn("velocity", F.lit(-1.0)), "changed")
-    jobs.merge_silver(spark, changed, path)
+    merge(changed)
     out = spark.read.parquet(path)
     assert out.count() == silver.count() and out.filter("velocity = -1").count() == 3
 

@@ -108,6 +108,20 @@ def test_dedup_drops_copies_across_batches_and_counts_late_rows(spark, tmp_path)
     assert ingest.late_rows(query) == 1
 
 
+def test_merging_batches_in_any_order_equals_batch(spark, tmp_path):
+    """Copies across batches, old reports arriving last, one batch repeated."""
+    source = telemetry.bronze(spark, SF_DIR)
+    repeated = source.withColumn("fetch_timestamp", F.col("fetch_timestamp") + 10)
+    merge = ingest.SilverMerge(str(tmp_path / "silver"))
+    merge(repeated.filter("event_id % 3 > 0"), 0)
+    merge(source.filter("event_id % 3 > 1"), 1)
+    merge(source.filter("event_id % 3 = 0"), 2)
+    merge(source.filter("event_id % 3 = 0"), 2)
+    got = spark.read.parquet(merge.path)
+    want = telemetry.silver(spark, SF_DIR)
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
 def test_latest_table_over_batches(spark, parts, tmp_path):
     view = views.FeatureView("v", "aircraft_id", 60, {"velocity": "float"})
     table = LatestTable(view, str(tmp_path / "t"))
