@@ -9,6 +9,7 @@ from skyloom.sources.lake import broadcast_within, fits
 
 # A century of hours; a larger lookup is joined by shuffle instead.
 MAX_LOOKUP_HOURS = 1_000_000
+FLIGHT_KEY = ["aircraft_id", "event_timestamp"]
 
 
 def hourly_congestion(congestion: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def delay_labels(flights: DataFrame, hourly: DataFrame) -> DataFrame:
 def with_nearest_congestion(flights: DataFrame, airports: DataFrame, congestion: DataFrame) -> DataFrame:
     """Adds the load of the nearest airport in range in the same hour, 0 when there is none:
     the two delay-model inputs that labels alone do not carry."""
-    placed = nearest_place(flights, airports).withColumn(
+    placed = nearest_place(flights, airports, FLIGHT_KEY).withColumn(
         "snapshot_hour", F.date_trunc("hour", "event_timestamp")
     )
     load = congestion.select(

@@ -31,8 +31,9 @@ def mark_smallest(
     histogram = staged(
         keyed.groupBy("_stratum", prefix).agg(F.count("*").alias("_n")), "hash_histogram"
     )
-    if strata and not fits(histogram.select("_stratum").distinct(), MAX_STRATA):
-        raise ValueError(f"more than {MAX_STRATA} strata in {strata}")
+    # What is joined back below has one row per stratum.
+    few = not strata or fits(histogram.select("_stratum").distinct(), MAX_STRATA)
+    small = F.broadcast if few else (lambda table: table)
     whole = Window.partitionBy("_stratum")
     total = F.sum("_n").over(whole)
     wanted = F.least(total, wanted_of(total)).cast("bigint")
@@ -44,14 +45,13 @@ def mark_smallest(
     )
     cutoffs = (
         keyed.select("_stratum", "_hash", prefix)
-        .join(F.broadcast(edge), ["_stratum", "_prefix"])
+        .join(small(edge), ["_stratum", "_prefix"])
         .withColumn("_rank", F.row_number().over(whole.orderBy("_hash")))
         .filter(F.col("_rank") == F.col("_place"))
         .select("_stratum", F.col("_hash").alias("_cutoff"))
     )
-    # Both broadcasts hold one row per stratum.
     return (
-        keyed.join(F.broadcast(cutoffs), "_stratum", "left")
+        keyed.join(small(cutoffs), "_stratum", "left")
         .withColumn("picked", F.coalesce(F.col("_hash") <= F.col("_cutoff"), F.lit(False)))
         .drop("_stratum", "_hash", "_cutoff")
     )

@@ -1,6 +1,6 @@
 """Points within a radius of places, as an equi-join on one-degree cells."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.constants import AIRPORT_RADIUS_KM
@@ -57,22 +57,36 @@ def within_radius(
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
-    key: str = "airport_code",
+    keys: list[str],
+    place: str = "airport_code",
     radius_km: float = AIRPORT_RADIUS_KM,
     place_lat: str = "airport_lat",
     place_lon: str = "airport_lon",
     max_broadcast_cells: int = MAX_CELLS,
 ) -> DataFrame:
-    """``points`` plus the nearest place's key and ``dist_km``; null when none is in range.
+    """``points`` (identified by ``keys``) plus the nearest place's code and ``dist_km``; nulls
+    when none is in range. Of equally near places the first code is taken.
 
-    The places of a cell form one array, so each point meets one row and nothing is
-    shuffled. Place tables too large to broadcast are refused.
+    The places of a cell form one array, so each point meets one row and nothing is shuffled.
+    Place tables too large for that go through ``within_radius``, the nearest of each point's
+    places is picked by rank and joined back.
     """
     cells = place_cells(places, place_lat, place_lon, radius_km)
     if not fits(cells, max_broadcast_cells):
-        raise ValueError(f"the places cover more than {max_broadcast_cells} cells")
+        located = points.select(*keys, "latitude", "longitude")
+        pairs = within_radius(
+            located, places, radius_km, max_broadcast_cells,
+            place_lat=place_lat, place_lon=place_lon,
+        ).select(*keys, place, "dist_km")
+        by_key = Window.partitionBy(*keys).orderBy("dist_km", place)
+        first = (
+            pairs.withColumn("_rank", F.row_number().over(by_key))
+            .filter("_rank = 1")
+            .drop("_rank")
+        )
+        return points.join(first, keys, "left").select(*points.columns, place, "dist_km")
     per_cell = cells.groupBy(*CELL).agg(
-        F.array_agg(F.struct(place_lat, place_lon, key)).alias("candidates")
+        F.array_agg(F.struct(place_lat, place_lon, place)).alias("candidates")
     )
     keyed = points.withColumn("cell_row", cell_lat(F.col("latitude"))).withColumn(
         "cell_column", cell_lon(F.col("longitude"))
@@ -83,12 +97,12 @@ def nearest_place(
             haversine_km(
                 F.col("latitude"), F.col("longitude"), p[place_lat], p[place_lon]
             ).alias("dist_km"),
-            p[key].alias(key),
+            p[place].alias(place),
         ),
     )
     near = F.array_min(F.filter(measured, lambda p: p["dist_km"] <= radius_km))
     return (
         keyed.join(F.broadcast(per_cell), CELL, "left")
         .withColumn("near", near)
-        .select(*points.columns, F.col(f"near.{key}").alias(key), "near.dist_km")
+        .select(*points.columns, F.col(f"near.{place}").alias(place), "near.dist_km")
     )

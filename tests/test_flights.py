@@ -83,3 +83,13 @@ def test_one_shuffle_one_sort_no_python(spark, tmp_path):
 def test_slice_must_cover_range(spark):
     with pytest.raises(ValueError):
         flights.windowed(silver(spark, ("a", 0, 1.0, 0.0)), 60, busy_rows=0)
+
+
+def test_a_busy_aircraft_is_spread_over_bounded_groups(spark):
+    rows = [("busy", t, 1.0, 0.0) for t in range(0, 20_000, 2)] + [("calm", 50 * t, 1.0, 0.0) for t in range(20)]
+    timed = silver(spark, *rows).withColumn("second", F.col("event_timestamp").cast("bigint"))
+    busy = spark.createDataFrame([("busy",)], "aircraft_id string")
+    out = flights.sliced(timed, busy, 1800)
+    sizes = {(r.aircraft_id, r.slice): r["count"] for r in out.groupBy("aircraft_id", "slice").count().collect()}
+    assert max(sizes.values()) <= (1800 + 900) / 2 and sizes[("calm", 0)] == 20
+    assert out.filter("not is_halo").count() == len(rows)
