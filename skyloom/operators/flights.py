@@ -85,7 +85,7 @@ def windowed(
     first, so pass a stored or staged table."""
     timed = fixes.withColumn("second", F.col("event_timestamp").cast("bigint"))
     busy = busy_keys(fixes, "aircraft_id", busy_rows)
-    if busy.isEmpty():
+    if busy is None:
         rows, group = timed, ["aircraft_id"]
     else:
         rows, group = sliced(timed, busy, slice_seconds, rolling_seconds), ["aircraft_id", "slice"]

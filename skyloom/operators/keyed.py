@@ -22,8 +22,9 @@ def last_per_key(df: DataFrame, keys: list[str | Column], order: list[str]) -> D
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def busy_keys(df: DataFrame, key: str, limit: int = BUSY_ROWS) -> DataFrame:
-    """Keys with more than ``limit`` rows, staged: at most rows / limit of them. The count
-    combines before its shuffle and reads nothing but the key."""
+def busy_keys(df: DataFrame, key: str, limit: int = BUSY_ROWS) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, staged (at most rows / limit of them), or None. The
+    count combines before its shuffle and reads nothing but the key."""
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    return staged(counts.filter(F.col("_rows") > limit).select(key), "busy")
+    busy = counts.filter(F.col("_rows") > limit).select(key)
+    return None if busy.isEmpty() else staged(busy, "busy")

@@ -131,8 +131,8 @@ def as_of(
         {"_entity": F.col(view.entity), "_at": F.col(entity_time).cast("timestamp")}
     )
     calm = (
-        busy_keys(values, "_entity", busy_rows).isEmpty()
-        and busy_keys(asked, "_entity", busy_rows).isEmpty()
+        busy_keys(values, "_entity", busy_rows) is None
+        and busy_keys(asked, "_entity", busy_rows) is None
     )
     answered = (_as_of_window if calm else _as_of_sliced)(asked, values, view.ttl_seconds)
     taken = set(spine.columns)

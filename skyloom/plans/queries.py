@@ -400,22 +400,18 @@ def asof_airport(spark, sf):
 def _gold(spark, sf):
     silver = _silver(spark, sf)
     hubs = telemetry.hubs(spark, sf)
-    return (
-        flights.flight_features(silver),
-        lake.staged(congestion.congestion_features(silver, hubs), "congestion"),
-        hubs,
-    )
+    return flights.flight_features(silver), congestion.congestion_features(silver, hubs), hubs
 
 
 def _labels(spark, sf):
     gold, load, _ = _gold(spark, sf)
-    return labels.delay_labels(gold, lake.staged(labels.hourly_congestion(load), "hourly"))
+    return labels.delay_labels(gold, labels.hourly_congestion(load))
 
 
 def _delay_frame(spark, sf):
     gold, load, hubs = _gold(spark, sf)
     enriched = labels.with_nearest_congestion(gold, hubs, load)
-    labelled = labels.delay_labels(enriched, lake.staged(labels.hourly_congestion(load), "hourly"))
+    labelled = labels.delay_labels(enriched, labels.hourly_congestion(load))
     return labels.training_frame(
         labelled, C.DELAY_FEATURES, "delay_risk", ["aircraft_id", "event_timestamp"]
     )
