@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from skyloom.llm import simhash  # noqa: F401
+from skyloom.llm import simhash, substrings  # noqa: F401
 from skyloom.llm.common import QUERIES  # noqa: F401
 
-ORACLES = {}
+ORACLES = {"op8_substring_dedup": substrings.OP8_SQL}
