@@ -1,6 +1,10 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from skyloom.llm import bloom_lm, pivots, simhash, substrings  # noqa: F401
+from skyloom.llm import bloom_lm, decontaminate, packing, pivots, simhash, substrings  # noqa: F401
 from skyloom.llm.common import QUERIES  # noqa: F401
 
-ORACLES = {"op7_pivot_index": pivots.OP7_SQL, "op8_substring_dedup": substrings.OP8_SQL}
+ORACLES = {
+    "op4_decontaminate": decontaminate.OP4_SQL,
+    "op7_pivot_index": pivots.OP7_SQL,
+    "op8_substring_dedup": substrings.OP8_SQL,
+}
