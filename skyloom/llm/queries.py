@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from skyloom.llm import bloom_lm, decontaminate, packing, pivots, simhash, substrings  # noqa: F401
+from skyloom.llm import bloom_lm, decontaminate, languages, packing, pivots, simhash, substrings, toxicity  # noqa: F401
 from skyloom.llm.common import QUERIES  # noqa: F401
 
 ORACLES = {
