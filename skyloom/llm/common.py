@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local(df: DataFrame) -> pd.DataFrame:
+    """A result of bounded size, in Arrow batches."""
+    return df.toArrow().to_pandas()
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import fold, query, table
+from skyloom.llm.common import fold, local, query, table
 
 FOLDS, HELD_OUT = 4, 2
 ROWS_PER_LANGUAGE = 1_000
@@ -58,7 +58,7 @@ def learnt(docs: DataFrame, learn: Column, rows_per_language: int) -> tuple[list
     sample = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(ids), "doc_id", "left_semi")
     counts = sample.select("lang", "text").mapInPandas(count, "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.orderBy(F.desc("n"), "gram", "lang").limit(GRAMS).toPandas()
+    counts = local(counts.orderBy(F.desc("n"), "gram", "lang").limit(GRAMS))
     wide = counts.pivot(index="gram", columns="lang", values="n").fillna(0.0)
     langs = sorted(wide.columns)
     table_ = wide[langs].to_numpy(float) if langs else np.zeros((0, 0))

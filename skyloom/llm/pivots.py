@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import query, table
+from skyloom.llm.common import local, query, table
 from skyloom.llm.components import components
 from skyloom.llm.simhash import block_pairs, forest
 from skyloom.sources.lake import staged
@@ -60,7 +60,7 @@ def links_of(vectors: DataFrame, dim: int, kind: str, cosine: float, nearest: in
     of its tree. ``vectors``: stored (vid, vector, many), all of ``dim`` components."""
     total = vectors.count()
     points = int(min(MOST, max(FEWEST, np.sqrt(total)), total))
-    sample = vectors.orderBy(F.xxhash64("vid"), "vid").limit(points).toPandas()
+    sample = local(vectors.orderBy(F.xxhash64("vid"), "vid").limit(points))
     pivots = unit(widened(sample["vector"], kind), dim)
     nearest = min(nearest, points)
     shared = min(shared, nearest)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import numbered, query, table, words
+from skyloom.llm.common import local, numbered, query, table, words
 from skyloom.llm.components import components
 from skyloom.sources.lake import staged
 
@@ -136,7 +136,7 @@ def fingerprint_links(reps: DataFrame, radius: int = RADIUS, leaf: int = LEAF, s
     """Spanning links (a, b) between the ids of stored ``reps`` (fp, rep) whose fingerprints
     differ in at most ``radius`` bits."""
     total = reps.count()
-    sample = reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toPandas()["fp"]
+    sample = local(reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows))["fp"]
     depth = max(0, int(np.ceil(np.log2(max(1, total) / leaf))))
     tree = grow(sample.to_numpy().view(np.uint64), depth, np.random.default_rng(SEED))
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import Hashes, buckets, chunks, flat, mixed, query, raw_words, table
+from skyloom.llm.common import Hashes, buckets, chunks, flat, local, mixed, query, raw_words, table
 
 WINDOW = 20
 ROUNDS = 4
@@ -107,7 +107,7 @@ def repeated_names(docs: DataFrame, window: int, rounds: int, bitmap_bytes: int)
         return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
 
     counted = docs.select("text").mapInPandas(count, "bucket int, names binary")
-    rows = counted.groupBy("bucket").applyInPandas(shared, "bucket int, bits binary").toPandas()
+    rows = local(counted.groupBy("bucket").applyInPandas(shared, "bucket int, bits binary"))
     bitmap = np.zeros((parts, slots // 8), np.uint8)
     for b, bits in zip(rows["bucket"], rows["bits"]):
         bitmap[b] = np.frombuffer(bits, np.uint8)

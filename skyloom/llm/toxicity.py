@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import fold, query, table
+from skyloom.llm.common import fold, local, query, table
 from skyloom.sources.lake import staged
 
 FOLDS = 5
@@ -234,7 +234,7 @@ def learnt_stems(sample: DataFrame) -> dict[str, float]:
     rest = F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - base))).otherwise(0.0)
     counts = counts.withColumn("ratio", F.col("bad") * F.log(share / base) + rest)
     counts = counts.filter((F.col("bad") > 0) & (share >= LEAST_PRECISION) & (F.col("ratio") >= LEAST_RATIO))
-    best = counts.orderBy(F.desc("ratio"), F.desc(F.length("stem")), "stem").limit(STEMS).toPandas()
+    best = local(counts.orderBy(F.desc("ratio"), F.desc(F.length("stem")), "stem").limit(STEMS))
     chosen: dict[str, float] = {}
     for row in best.itertuples():
         if not any(row.stem.startswith(c) or c.startswith(row.stem) for c in chosen):
@@ -263,7 +263,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, sample_row
             rows = [matches(t, lexicon, machine) for t in batch["text"]]
             yield pd.DataFrame({"toxic": batch["toxic"], "counts": rows})
 
-    seen = sample.mapInPandas(counted, "toxic int, counts array<double>").toPandas()
+    seen = local(sample.mapInPandas(counted, "toxic int, counts array<double>"))
     weights = UNTAUGHT
     if seen["toxic"].nunique() == 2:
         weights = fitted(features(np.stack(seen["counts"].to_list())), seen["toxic"].to_numpy(float))
