@@ -1,7 +1,8 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
 from skyloom.llm import (  # noqa: F401
-    bloom_lm, decontaminate, languages, packing, pivots, secrets, simhash, substrings, toxicity,
+    bloom_lm, decontaminate, languages, packing, pivots, pseudonyms, secrets, simhash, substrings,
+    toxicity,
 )
 from skyloom.llm.common import QUERIES  # noqa: F401
 
