@@ -1,10 +1,55 @@
-"""Corpus pipeline: documents in, packed training sequences out."""
+"""Corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes all rows its predecessor wrote and is written and read again, so a lost executor
+costs at most the stage it is lost in.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skyloom.llm import decontaminate, languages, packing, secrets, simhash
 from skyloom.sources.lake import staged
 
-STAGES = []
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language go on, with its name where they had none; those without a letter
+    go. Learns from all labels there are."""
+    found = languages.identify(docs, F.lit(True)).filter(F.col("lang_pred") != "und")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies goes on."""
+    return simhash.distinct_documents(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item go on."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents go on, the values of secrets replaced and lengths brought up to date."""
+    found = secrets.scan(docs)
+    found = found.withColumn("n_chars", F.when(F.size("findings") > 0, F.length("redacted")).otherwise(F.col("n_chars")))
+    return found.withColumn("text", F.col("redacted")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences with their token ids."""
+    from public_tokenizers import path
+
+    return packing.pack(docs, path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("packing", pack_sequences),
+]
+#: Two stages learn models, which SQL cannot; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
 
 

@@ -287,11 +287,11 @@ def pack(
                     part = ids[piece["start"] : piece["start"] + piece["length"]]
                     places = (piece["start"], piece["length"], zlib.crc32(part.tobytes()), row.n)
                     line = (row.doc_id, *places, piece["sequence_id"], piece["offset"])
-                    out.append((*line, part.astype(np.int64)) if with_ids else line)
+                    out.append((*line, part.astype(np.int32)) if with_ids else line)
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    schema += ", ids array<long>" * with_ids
+    schema += ", ids array<int>" * with_ids
     columns = [c.split()[0] for c in schema.split(", ")]
     return tokens.join(lists.hint("shuffle_hash"), "row_id").drop("row_id").mapInPandas(cut, schema)
 

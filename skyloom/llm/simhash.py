@@ -190,3 +190,21 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of stored ``docs`` (doc_id, text, others) that stay when each near-duplicate
+    group keeps its least doc_id, all columns as they are.
+
+    A row without an id gets one from its text, greater than any below 2^62. Rows that share an
+    id are one document, of which the least row stays."""
+    text_id = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
+    node = F.coalesce(F.col("doc_id").cast("bigint"), text_id)
+    found = staged(near_duplicates(docs.select(node.alias("doc_id"), "text"), shingle, radius), "near")
+    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    marked = docs.withColumn("_node", node)
+    once = marked.join(kept.filter("n = 1").select(F.col("doc_id").alias("_node")), "_node", "left_semi")
+    several = marked.join(kept.filter("n > 1").select(F.col("doc_id").alias("_node")), "_node", "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = several.groupBy("_node").agg(F.min(row).alias("row")).select("row.*")
+    return once.select(*docs.columns).unionByName(several)
