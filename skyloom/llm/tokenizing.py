@@ -5,10 +5,12 @@ white-space-separated words in turn. A word of plain characters is split by the
 pattern and given to its merge model directly; any other goes through the whole tokenizer.
 """
 
+from array import array
+
 import numpy as np
 import regex
 
-CACHED = 300_000
+CACHED = 400_000
 # The pattern and the printable bytes of the tokenizer file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
@@ -39,8 +41,9 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         found = self.of_piece.get(piece)
         if found is None:
-            named = piece.encode().decode("latin-1").translate(self.names)
-            found = np.array([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
+            plain = piece.isascii() and piece.isalpha()  # these bytes stand for themselves
+            named = piece if plain else piece.encode().decode("latin-1").translate(self.names)
+            found = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
             self.of_piece[piece] = found
         return found
 
@@ -49,6 +52,19 @@ class Encoder:
             return b"".join(map(self.piece, self.pieces.findall(word.lower())))
         return self.whole(word)
 
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of new words. Where all are plain they are lowered together, and one
+        of letters only is a single piece."""
+        together = "\n".join(words)
+        if any(s in together for s in self.special) or not (together.isascii() or max(together) < PLAIN_END):
+            self.of_word.update((w, self.word(w)) for w in words)
+            return
+        for word, lowered in zip(words, together.lower().split("\n")):
+            if lowered.isalpha():
+                self.of_word[word] = self.piece(lowered)
+            else:
+                self.of_word[word] = b"".join(map(self.piece, self.pieces.findall(lowered)))
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the text, without special tokens added."""
         if not text:
@@ -59,8 +75,7 @@ class Encoder:
             self.of_piece.clear()
         if len(self.of_word) > CACHED:
             self.of_word.clear()
-        words, known = text.split(), self.of_word
-        for word in set(words):
-            if word not in known:
-                known[word] = self.word(word)
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+        words = text.split()
+        if new := [w for w in set(words) if w not in self.of_word]:
+            self.learn(new)
+        return np.frombuffer(b"".join(map(self.of_word.__getitem__, words)), "<u4")
