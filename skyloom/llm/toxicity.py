@@ -126,9 +126,6 @@ class Lexicon(dict):
         self.fixed = {w: c for c, ws in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS)) for w in ws}
 
     def __missing__(self, word: str) -> int:
-        if len(self) > CACHED:
-            self.clear()
-            self.weights.clear()
         kind, node = self.fixed.get(word), self.trie
         for letter in word if kind is None else "":
             if "" in node or letter not in node:
@@ -142,12 +139,19 @@ class Lexicon(dict):
         return kind
 
 
+    def shrink(self) -> None:
+        if len(self) > CACHED:
+            self.clear()
+            self.weights.clear()
+
+
 def matches(text: str | None, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
     """Clauses of the text by their kind of match (a clause counts once for each kind), and last
     the weight of the words matched."""
     counts = np.zeros(len(MATCHES) + 1)
     if not text:
         return counts
+    lexicon.shrink()
     for clause in CLAUSE.split(text.lower()):
         words = WORDS.findall(clause)
         classes = list(map(lexicon.__getitem__, words))
