@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES = {}
-CHUNK_WORDS = 400_000
-CACHED_WORDS = 400_000
+CHUNK_WORDS = 250_000
+CACHED_WORDS = 250_000
 
 
 def query(fn):
