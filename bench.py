@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "parse_states", "silver_table", "silver_dedup", "flight_features", "flight_features_sliced",
-    "congestion_features", "congestion_join", "route_features", "route_features_joined",
+    "congestion_features", "congestion_join", "route_features",
     "dq_bronze", "dq_null_ratio", "materialize_all", "asof_join", "delay_labels",
     "nearest_congestion", "hash_sample", "split_stratified", "standardize", "metric_auc",
     "metric_regression", "drift_psi", "gate", "lof", "anomaly_scores", "delay_scores",

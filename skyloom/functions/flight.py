@@ -55,5 +55,10 @@ def is_anomaly(prediction: Column) -> Column:
 
 
 def key_hash(keys: list[str], seed: int) -> Column:
-    """32 hex digits, the same in any engine and under any partitioning."""
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    """32 hex digits, the same in any engine and under any partitioning. Every value goes in
+    with its length, and null as a mark of its own, so different keys differ."""
+    parts = []
+    for key in keys:
+        text = F.col(key).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))

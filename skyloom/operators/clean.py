@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skyloom.constants import SILVER_BOUNDS, SILVER_NOT_NULL
 from skyloom.operators.keyed import last_per_key
+from skyloom.sources.lake import in_utc
 from skyloom.sources.schemas import SILVER_COLUMNS, STATE_FIELDS, WHOLE_NUMBERS
 
 RENAMED = {"icao24": "aircraft_id", "true_track": "heading"}
@@ -59,6 +60,7 @@ def dedup(states: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return last_per_key(states, keys or ["aircraft_id", "time_position"], ["last_contact"])
 
 
+@in_utc
 def to_silver(states: DataFrame) -> DataFrame:
     """Event time, date and partition columns; no other columns than silver's."""
     at = F.col("event_timestamp")

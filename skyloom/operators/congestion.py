@@ -1,15 +1,16 @@
 """Airport load per hour, from states within the airport radius."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.spatial import within_radius
-from skyloom.sources.lake import staged
+from skyloom.sources.lake import in_utc, read_table, staged
 
 KEYS = ["airport_code", "airport_name", "event_timestamp"]
 
 
+@in_utc
 def airport_counts(
     silver: DataFrame, airports: DataFrame, radius_km: float = C.AIRPORT_RADIUS_KM, bucket: str = "hour"
 ) -> DataFrame:
@@ -36,6 +37,7 @@ def airport_counts(
     )
 
 
+@in_utc
 def unique_aircraft(
     silver: DataFrame, airports: DataFrame, radius_km: float = C.AIRPORT_RADIUS_KM
 ) -> DataFrame:
@@ -68,3 +70,8 @@ def congestion_features(
 ) -> DataFrame:
     """The counts are staged (one row per airport and hour), so silver is scanned once."""
     return normalise(staged(airport_counts(silver, airports, radius_km), "airport_counts"))
+
+
+def read_scored(spark: SparkSession, path: str) -> DataFrame:
+    """The stored counts of all days with their scores: over the largest count stored."""
+    return normalise(read_table(spark, path, "congestion feature"))

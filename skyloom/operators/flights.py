@@ -15,7 +15,7 @@ from skyloom import constants as C
 from skyloom.functions.flight import day_of_week, heading_change
 from skyloom.functions.geo import haversine_km
 from skyloom.operators.keyed import BUSY_ROWS, busy_keys
-from skyloom.sources.lake import broadcast_within
+from skyloom.sources.lake import broadcast_within, in_utc
 
 SLICE_SECONDS = 6 * 3600
 MAX_BUSY = 1_000_000
@@ -102,6 +102,7 @@ def windowed(
     return features.drop("second")
 
 
+@in_utc
 def describe_fixes(fixes: DataFrame, wrap_heading: bool = True, monday_first: bool = True) -> DataFrame:
     """Gold flight columns from windowed fixes."""
     moved = haversine_km(

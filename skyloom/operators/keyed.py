@@ -3,8 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.sources.lake import staged
-
 # Rows of one key that a single task may sort.
 BUSY_ROWS = 1_000_000
 
@@ -25,6 +23,8 @@ def last_per_key(df: DataFrame, keys: list[str | Column], order: list[str]) -> D
 def busy_keys(df: DataFrame, key: str, limit: int = BUSY_ROWS) -> DataFrame | None:
     """Keys with more than ``limit`` rows, staged (at most rows / limit of them), or None. The
     count combines before its shuffle and reads nothing but the key."""
+    from skyloom.sources.lake import staged
+
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    busy = counts.filter(F.col("_rows") > limit).select(key)
-    return None if busy.isEmpty() else staged(busy, "busy")
+    busy = staged(counts.filter(F.col("_rows") > limit).select(key), "busy")
+    return None if busy.isEmpty() else busy

@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.spatial import nearest_place
-from skyloom.sources.lake import broadcast_within, fits
+from skyloom.sources.lake import broadcast_within, fits, in_utc
 
 # A century of hours; a larger lookup is joined by shuffle instead.
 MAX_LOOKUP_HOURS = 1_000_000
-FLIGHT_KEY = ["aircraft_id", "event_timestamp"]
 
 
+@in_utc
 def hourly_congestion(congestion: DataFrame) -> DataFrame:
     """Worst score over all airports per hour."""
     return congestion.groupBy(
@@ -19,6 +19,7 @@ def hourly_congestion(congestion: DataFrame) -> DataFrame:
     ).agg(F.max("congestion_score").alias("max_congestion_score"))
 
 
+@in_utc
 def delay_labels(flights: DataFrame, hourly: DataFrame) -> DataFrame:
     """``delay_risk`` is 1 for slow flight at height, or any flight in an hour whose worst
     airport is above the high mark. Hours without a score count as 0. ``hourly`` is counted
@@ -38,10 +39,11 @@ def delay_labels(flights: DataFrame, hourly: DataFrame) -> DataFrame:
     )
 
 
+@in_utc
 def with_nearest_congestion(flights: DataFrame, airports: DataFrame, congestion: DataFrame) -> DataFrame:
     """Adds the load of the nearest airport in range in the same hour, 0 when there is none:
     the two delay-model inputs that labels alone do not carry."""
-    placed = nearest_place(flights, airports, FLIGHT_KEY).withColumn(
+    placed = nearest_place(flights, airports).withColumn(
         "snapshot_hour", F.date_trunc("hour", "event_timestamp")
     )
     load = congestion.select(
@@ -100,6 +102,7 @@ def missing_features(df: DataFrame, features: list[str]) -> list[str]:
     return [c for c in features if c not in df.columns]
 
 
+@in_utc
 def congestion_training_columns(congestion: DataFrame) -> DataFrame:
     """Adds the clock features of the congestion model (0 = Monday)."""
     return congestion.withColumn("hour_of_day", F.hour("event_timestamp")).withColumn(

@@ -77,8 +77,8 @@ BALANCED = {"lgbm", "catboost", "random_forest", "hgb"}
 
 
 def draw_params(algorithm: str, rng: random.Random, effort: float = 1.0) -> dict:
-    """One random setting. ``effort`` scales the numbers of rounds and trees, and caps the
-    depth, because distributed boosting runs its rounds one after another."""
+    """One random setting. ``effort`` scales the numbers of rounds and trees, because distributed
+    boosting runs its rounds one after another."""
     params = {}
     for name, bounds in SEARCH_SPACE[algorithm].items():
         if isinstance(bounds, list):
@@ -96,8 +96,6 @@ def draw_params(algorithm: str, rng: random.Random, effort: float = 1.0) -> dict
             params[name] = str(round(rng.uniform(low, high), 3))
         else:
             params[name] = rng.uniform(low, high)
-    if effort < 1.0:
-        params["maxDepth"] = min(params["maxDepth"], 5)
     return params
 
 
@@ -183,7 +181,7 @@ def search(
     effort: float = 1.0,
     parallelism: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
-    """Random settings over all families, each fitted once per fold of ``frame``'s column
+    """Random settings, every family having its turn before one comes up again, each fitted once per fold of ``frame``'s column
     ``fold``. Gives (settings, scored): every held-out row scored once per trial, with
     columns trial, algorithm, fold and label/score or target/prediction.
 
@@ -197,7 +195,7 @@ def search(
     names = algorithms or list(FAMILIES)
     settings = []
     for number in range(trials):
-        algorithm = rng.choice(names)
+        algorithm = names[number % len(names)]
         settings.append((number, algorithm, draw_params(algorithm, rng, effort)))
     root = fresh_path(spark, "trial_scores")
 

@@ -4,7 +4,7 @@ The hash does not depend on partitioning or on what else is in the table, so a r
 retried task makes the same choice. Keys must identify rows.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom import constants as C
@@ -25,7 +25,7 @@ def mark_smallest(
     1/65,536 of its stratum, is sorted to find the exact hash to cut at. ``df`` is read three
     times, so pass a stored or staged table.
     """
-    stratum = F.coalesce(F.col(strata).cast("string"), F.lit("")) if strata else F.lit("")
+    stratum = stratum_of(strata) if strata else F.lit("")
     keyed = df.withColumns({"_stratum": stratum, "_hash": key_hash(keys, seed)})
     prefix = F.substring("_hash", 1, PREFIX).alias("_prefix")
     histogram = staged(
@@ -84,10 +84,30 @@ def split_by_time(df: DataFrame, at: str, first_test_day: str) -> DataFrame:
     return df.withColumn("is_test", F.col(at) >= F.lit(first_test_day).cast("timestamp"))
 
 
-def folds(df: DataFrame, keys: list[str], k: int = C.CV_FOLDS, seed: int = C.SEED) -> DataFrame:
-    """``df`` plus ``fold`` in 0..k-1, each row by its own hash."""
-    number = F.conv(F.substring(key_hash(keys, seed), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn("fold", F.pmod(number, F.lit(k)).cast("int"))
+def folds(
+    df: DataFrame, keys: list[str], k: int = C.CV_FOLDS, seed: int = C.SEED, stratify: str | None = None
+) -> DataFrame:
+    """``df`` plus ``fold`` in 0..k-1. Plain folds go by each row's own hash. With ``stratify``
+    the sizes of a class (null is one) differ by one row at most: rows take turns in the order
+    of their hashes. A class is ordered bucket by bucket, and only bucket totals are added up."""
+    if stratify is None:
+        number = F.conv(F.substring(key_hash(keys, seed), 1, 8), 16, 10).cast("bigint")
+        return df.withColumn("fold", F.pmod(number, F.lit(k)).cast("int"))
+    rows = df.withColumns({"_stratum": stratum_of(stratify), "_hash": key_hash(keys, seed)})
+    rows = rows.withColumn("_bucket", F.substring("_hash", 1, PREFIX))
+    sizes = staged(rows.groupBy("_stratum", "_bucket").agg(F.count("*").alias("_n")), "fold_buckets")
+    before = Window.partitionBy("_stratum").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_stratum", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_stratum", "_bucket").orderBy("_hash")) - 1
+    numbered = rows.withColumn("_place", place).join(starts, ["_stratum", "_bucket"])
+    return numbered.withColumn("fold", F.pmod(F.col("_start") + F.col("_place"), F.lit(k)).cast("int")).select(
+        *df.columns, "fold"
+    )
+
+
+def stratum_of(column: str) -> Column:
+    """A class as text; null is a class of its own, told apart from every text."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
 def fold_count(positives: int, wanted: int = C.CV_FOLDS) -> int:
@@ -117,12 +137,12 @@ def standardise(df: DataFrame, columns: list[str], stats: DataFrame | None = Non
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
-    """Adds ``weight`` = rows / (classes * rows of the class)."""
-    counts = staged(df.groupBy(label).agg(F.count("*").alias("class_rows")), "class_counts")
+    """Adds ``weight`` = rows / (classes * rows of the class). Null is a class of its own."""
+    counts = staged(df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("class_rows")), "class_counts")
     total = counts.agg(F.sum("class_rows")).scalar()
     classes = counts.agg(F.count("*")).scalar()
     return (
-        df.join(broadcast_within(counts, MAX_STRATA), label)
+        df.join(broadcast_within(counts, MAX_STRATA), F.col(label).eqNullSafe(F.col("_label")))
         .withColumn("weight", total / (classes * F.col("class_rows")))
-        .drop("class_rows")
+        .drop("class_rows", "_label")
     )

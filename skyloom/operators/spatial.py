@@ -57,34 +57,38 @@ def within_radius(
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
-    keys: list[str],
     place: str = "airport_code",
     radius_km: float = AIRPORT_RADIUS_KM,
     place_lat: str = "airport_lat",
     place_lon: str = "airport_lon",
     max_broadcast_cells: int = MAX_CELLS,
 ) -> DataFrame:
-    """``points`` (identified by ``keys``) plus the nearest place's code and ``dist_km``; nulls
+    """``points`` plus the nearest place's code and ``dist_km``; nulls
     when none is in range. Of equally near places the first code is taken.
 
     The places of a cell form one array, so each point meets one row and nothing is shuffled.
-    Place tables too large for that go through ``within_radius``, the nearest of each point's
-    places is picked by rank and joined back.
+    Place tables too large for that are joined to the points by cell, and the nearest of each
+    point's places is an aggregate of that join.
     """
     cells = place_cells(places, place_lat, place_lon, radius_km)
     if not fits(cells, max_broadcast_cells):
-        located = points.select(*keys, "latitude", "longitude")
-        pairs = within_radius(
-            located, places, radius_km, max_broadcast_cells,
-            place_lat=place_lat, place_lon=place_lon,
-        ).select(*keys, place, "dist_km")
-        by_key = Window.partitionBy(*keys).orderBy("dist_km", place)
-        first = (
-            pairs.withColumn("_rank", F.row_number().over(by_key))
-            .filter("_rank = 1")
-            .drop("_rank")
+        # Points are numbered, so that equal rows and rows without a key keep their own place.
+        numbered = points.withColumns(
+            {
+                "_row": F.monotonically_increasing_id(),
+                "cell_row": cell_lat(F.col("latitude")),
+                "cell_column": cell_lon(F.col("longitude")),
+            }
         )
-        return points.join(first, keys, "left").select(*points.columns, place, "dist_km")
+        away = haversine_km(F.col("latitude"), F.col("longitude"), F.col(place_lat), F.col(place_lon))
+        pair = F.struct(F.col("dist_km"), F.col(place))
+        found = (
+            numbered.join(cells.select(*CELL, place_lat, place_lon, place), CELL, "left")
+            .withColumn("dist_km", away)
+            .groupBy("_row", *points.columns)
+            .agg(F.min(F.when(F.col("dist_km") <= radius_km, pair)).alias("near"))
+        )
+        return found.select(*points.columns, F.col(f"near.{place}").alias(place), "near.dist_km")
     per_cell = cells.groupBy(*CELL).agg(
         F.array_agg(F.struct(place_lat, place_lon, place)).alias("candidates")
     )

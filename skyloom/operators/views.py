@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.operators.keyed import BUSY_ROWS, busy_keys, last_per_key
-from skyloom.sources.lake import read_table
+from skyloom.sources.lake import in_utc, read_table
 
 FLOAT, DOUBLE, LONG, STRING = "float", "double", "bigint", "string"
 
@@ -92,6 +92,7 @@ ROUTE_VIEW = FeatureView(
 VIEWS = [FLIGHT_VIEW, AIRPORT_VIEW, ROUTE_VIEW]
 
 
+@in_utc
 def materialise_latest(view: FeatureView, source: DataFrame, start, end) -> DataFrame:
     """Latest values per entity with event time in [start, end]. The interval reaches the
     parquet scan, and skips whole days of a table partitioned by ``event_date``."""
@@ -103,6 +104,7 @@ def materialise_latest(view: FeatureView, source: DataFrame, start, end) -> Data
     return last_per_key(rows, [view.entity], view.order(rows))
 
 
+@in_utc
 def as_of(
     view: FeatureView,
     spine: DataFrame,

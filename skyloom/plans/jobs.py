@@ -1,7 +1,7 @@
 """Whole jobs: read, transform, check, write, and record what happened."""
 
 import time
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,8 +11,8 @@ from skyloom import constants as C
 from skyloom.operators import clean, congestion, flights, labels, quality, routes, views
 from skyloom.operators.keyed import last_per_key
 from skyloom.sources import bronze, lake
-from skyloom.sources.schemas import SILVER_KEY, SILVER_PARTITIONS
-from skyloom.streaming.ingest import late_rows
+from skyloom.sources.schemas import SILVER_KEY, SILVER_ORDER, SILVER_PARTITIONS
+from skyloom.streaming.ingest import StreamCounts
 
 RUN_METRICS = (
     "stage string, run_id string, status string, started_at timestamp, seconds double, "
@@ -21,21 +21,23 @@ RUN_METRICS = (
 
 
 @contextmanager
-def stage(spark: SparkSession, name: str, run_id: str, metrics_path: str | None):
+def stage(spark: SparkSession, name: str, run_id: str, metrics_path: str | None, keep_staged: bool = False):
     """Collects a stage's ``metrics`` and ``artifacts`` and appends one row about it, whether
-    it succeeds or fails."""
-    record = {"metrics": {}, "artifacts": {}}
+    it succeeds or fails; a stage may set its own ``status``. Days are UTC inside, and what it
+    staged is deleted at the end unless it gives a table back."""
+    record = {"metrics": {}, "artifacts": {}, "status": "success"}
     started, clock = datetime.now(timezone.utc), time.monotonic()
-    status, error = "success", None
+    error = None
     try:
-        yield record
+        with lake.utc(spark), nullcontext() if keep_staged else lake.scratch(spark):
+            yield record
     except Exception as err:
-        status, error = "failed", str(err)
+        record["status"], error = "failed", str(err)
         raise
     finally:
         if metrics_path:
             row = (
-                name, run_id, status, started, round(time.monotonic() - clock, 3),
+                name, run_id, record["status"], started, round(time.monotonic() - clock, 3),
                 {k: float(v) for k, v in record["metrics"].items() if v is not None},
                 record["artifacts"], error,
             )
@@ -49,35 +51,37 @@ def observed(df: DataFrame, name: str, *aggregates) -> tuple[DataFrame, Observat
 
 
 def ingest(spark, raw: DataFrame, path: str, run_id: str, metrics_path: str | None = None, body: str = "value", run_time: str = "run_time") -> dict:
-    """Raw responses -> landed bronze batches, gated on the number of states of each."""
+    """Raw responses -> landed bronze batches. The gate on the number of states of each looks
+    at the staged batches, so a poll that fails it is not landed."""
     with stage(spark, "ingest", run_id, metrics_path) as record:
-        batches, seen = observed(
-            bronze.parse_batches(raw, body, run_time), f"ingest_{run_id}",
+        batches = lake.staged(bronze.parse_batches(raw, body, run_time), "batches")
+        found = batches.agg(
             F.count(F.lit(1)).alias("batches"),
             F.sum("aircraft_count").alias("states"),
+            F.sum("dropped_count").alias("states_dropped"),
             F.min("aircraft_count").alias("smallest_batch"),
-        )
+        ).first().asDict()
+        record["metrics"].update(found)
+        if found["smallest_batch"] is None or found["smallest_batch"] < C.MIN_STATES_PER_POLL:
+            raise quality.QualityError(f"a poll has {found['smallest_batch']} states, fewer than {C.MIN_STATES_PER_POLL}")
         bronze.land_bronze(batches, path)
-        record["metrics"].update(seen.get)
         record["artifacts"]["bronze"] = path
-        smallest = seen.get["smallest_batch"]
-        if smallest is None or smallest < C.MIN_STATES_PER_POLL:
-            raise quality.QualityError(f"a poll has {smallest} states, fewer than {C.MIN_STATES_PER_POLL}")
     return record
 
 
 def bronze_to_silver(
     spark, bronze_path: str, silver_path: str, run_id: str, metrics_path: str | None = None,
     multi_line: bool = False, quarantine_path: str | None = None,
+    first_ingest_day: str | None = None, last_ingest_day: str | None = None,
 ) -> dict:
-    """Clean all landed batches and merge them into silver. One pass parses, counts and
-    writes; the gates look at the counts before anything is published; rerunning changes
-    nothing. Rejected rows go to ``quarantine_path``, if given, with the reason."""
+    """Clean the batches landed on a range of ingest days (all, by default) and merge them into
+    silver. One pass parses, counts and writes; the gates look at the counts before anything is
+    published; rerunning changes nothing. Rejected rows go to ``quarantine_path``, if given,
+    with the reason."""
     with stage(spark, "bronze_to_silver", run_id, metrics_path) as record:
+        landed = bronze.read_bronze(spark, bronze_path, multi_line, first_ingest_day, last_ingest_day)
         raw, seen_raw = observed(
-            clean.explode_states(bronze.read_bronze(spark, bronze_path, multi_line)),
-            f"raw_{run_id}",
-            F.count(F.lit(1)).alias("states_read"),
+            clean.explode_states(landed), f"raw_{run_id}", F.count(F.lit(1)).alias("states_read")
         )
         silver, seen = observed(
             clean.to_silver(clean.dedup(clean.clean(raw))),
@@ -88,37 +92,61 @@ def bronze_to_silver(
         found = {**seen_raw.get, **seen.get}
         record["metrics"].update(found, rows_dropped=found["states_read"] - found["silver_rows"])
         quality.check_silver(new.columns, found)
-        lake.merge_partitioned(new, silver_path, SILVER_PARTITIONS, SILVER_KEY)
+        lake.merge_partitioned(new, silver_path, SILVER_PARTITIONS, SILVER_KEY, SILVER_ORDER)
         record["artifacts"]["silver"] = silver_path
         if quarantine_path:
-            states = clean.explode_states(bronze.read_bronze(spark, bronze_path, multi_line))
-            lake.write_table(clean.quarantine(states), quarantine_path)
+            lake.write_table(clean.quarantine(clean.explode_states(landed)), quarantine_path)
             record["artifacts"]["quarantine"] = quarantine_path
     return record
 
 
-def _gold(spark, name, run_id, metrics_path, path, build) -> dict:
+def _gold_days(spark, name, run_id, metrics_path, path, build) -> dict:
+    """Writes a table by ``event_date``: only the days computed are replaced."""
     with stage(spark, name, run_id, metrics_path) as record:
         table = build().withColumn("created_timestamp", F.current_timestamp())
         table, seen = observed(table, f"{name}_{run_id}", F.count(F.lit(1)).alias("rows_written"))
-        lake.write_table(table, path)
+        lake.write_partitioned(table, path, ["event_date"])
         record["metrics"].update(seen.get)
         record["artifacts"]["path"] = path
     return record
 
 
+def _day(text: str, days: int) -> str:
+    return str(date.fromisoformat(text) + timedelta(days))
+
+
+def last_fixes(spark, silver_path: str, path: str, before: str) -> DataFrame:
+    """The last fix of each aircraft before the day ``before``, from the table of last fixes
+    kept under ``path`` by day. The newest version that is old enough is brought forward over
+    the days since, so that only these are read; the first time, all of silver is."""
+    known = [d for d in lake.partition_values(spark, path, "before_day") if d <= before]
+    start = max(known, default=None)
+    if start == before:
+        return spark.read.parquet(f"{path}/before_day={before}")
+    fixes = flights.airborne(lake.read_days(spark, silver_path, start, _day(before, -1)))
+    if start:
+        fixes = fixes.unionByName(spark.read.schema(fixes.schema).parquet(f"{path}/before_day={start}"))
+    last = last_per_key(fixes, ["aircraft_id"], ["event_timestamp"])
+    last.write.mode("overwrite").parquet(f"{path}/before_day={before}")
+    return spark.read.schema(fixes.schema).parquet(f"{path}/before_day={before}")
+
+
 def flights_job(spark, silver_path, path, run_id, metrics_path=None, first_day=None, last_day=None) -> dict:
     """Flight features by day, for the whole of silver or a range of days; only the days
-    computed are replaced. For a range, the windows reach back over the day before it and,
-    for aircraft silent since then, to their last fix."""
+    computed are replaced. A range reads its days, the day before for the rolling window, the
+    last fixes before that (a table beside the result, ``<path>_last_fixes``) and the day
+    after, whose first fixes look back at a range that may have been corrected. Versions of the
+    last fixes after the range are dropped, as they may stem from what was corrected."""
     with stage(spark, "flight_features", run_id, metrics_path) as record:
         if first_day:
-            day_before, two_before = (str(date.fromisoformat(first_day) - timedelta(n)) for n in (1, 2))
-            recent = flights.airborne(lake.read_days(spark, silver_path, day_before, last_day))
-            older = flights.airborne(lake.read_days(spark, silver_path, None, two_before))
-            rows = lake.staged(
-                recent.unionByName(last_per_key(older, ["aircraft_id"], ["event_timestamp"])), "range_fixes"
-            )
+            fixes_path = f"{path}_last_fixes"
+            for day in lake.partition_values(spark, fixes_path, "before_day"):
+                if day > first_day:
+                    lake.remove(spark, f"{fixes_path}/before_day={day}")
+            older = last_fixes(spark, silver_path, fixes_path, _day(first_day, -1))
+            until = _day(last_day, 1) if last_day else None
+            recent = flights.airborne(lake.read_days(spark, silver_path, _day(first_day, -1), until))
+            rows = lake.staged(recent.unionByName(older.select(*recent.columns)), "range_fixes")
             gold = flights.flight_features(rows).filter(
                 F.col("event_timestamp") >= F.lit(first_day).cast("timestamp")
             )
@@ -138,25 +166,32 @@ def flights_job(spark, silver_path, path, run_id, metrics_path=None, first_day=N
 
 
 def congestion_job(spark, silver_path, path, run_id, metrics_path=None, airports=None, first_day=None, last_day=None) -> dict:
+    """Airport counts of a range of days. Scores need the busiest hour of all days stored, so
+    ``congestion.read_scored`` adds them when the table is read."""
+
     def build():
         places = lake.airports(spark) if airports is None else airports
-        return congestion.congestion_features(lake.read_days(spark, silver_path, first_day, last_day), places)
+        counts = congestion.airport_counts(lake.read_days(spark, silver_path, first_day, last_day), places)
+        return counts.withColumn("event_date", F.to_date("event_timestamp"))
 
-    return _gold(spark, "airport_congestion_features", run_id, metrics_path, path, build)
+    return _gold_days(spark, "airport_congestion_features", run_id, metrics_path, path, build)
 
 
 def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=None, last_day=None) -> dict:
+    """Partial route aggregates of a range of days; ``routes.read_combined`` combines all days
+    stored when the table is read."""
+
     def build():
-        return routes.route_features(lake.read_days(spark, silver_path, first_day, last_day))
+        return routes.route_days(lake.read_days(spark, silver_path, first_day, last_day))
 
-    return _gold(spark, "route_features", run_id, metrics_path, path, build)
+    return _gold_days(spark, "route_features", run_id, metrics_path, path, build)
 
 
 def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=None, airports=None) -> dict:
     """Labelled flights, with the load of the nearest airport as further model inputs."""
     with stage(spark, "labels", run_id, metrics_path) as record:
         gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp", "event_date")
-        load = lake.read_table(spark, congestion_path, "congestion feature")
+        load = lake.staged(congestion.read_scored(spark, congestion_path), "load")
         places = lake.airports(spark) if airports is None else airports
         hourly = lake.staged(labels.hourly_congestion(load), "hourly")
         labelled, seen = observed(
@@ -172,33 +207,46 @@ def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=
     return record
 
 
-def record_stream(spark, query, name: str, run_id: str, metrics_path: str) -> dict:
-    """Record what a finished or running streaming query took in and dropped as late."""
+def record_stream(spark, query, counts: StreamCounts, name: str, run_id: str, metrics_path: str) -> dict:
+    """Record what a finished or running streaming query took in and dropped as late, over all
+    its batches. ``counts`` was attached before the query started."""
     with stage(spark, name, run_id, metrics_path) as record:
-        record["metrics"]["rows_read"] = sum(p["numInputRows"] for p in query.recentProgress)
-        record["metrics"]["late_rows"] = late_rows(query)
+        run = counts.settled(query)
+        record["metrics"].update(rows_read=counts.rows[run], late_rows=counts.late[run])
         if query.exception():
             raise query.exception()
     return record
 
 
+READERS = {
+    views.AIRPORT_VIEW.name: congestion.read_scored,
+    views.ROUTE_VIEW.name: routes.read_combined,
+}
+
+
 def materialise_job(spark, sources: dict[str, str], root: str, start, end, run_id, metrics_path=None) -> dict:
-    """Latest values of every view whose source path is given. A view that fails is recorded
-    and does not stop the others."""
+    """Latest values of every view whose source path is given: those of the interval merged
+    with those stored, so a key not seen in the interval keeps its values. A view that fails
+    does not stop the others; the run is then ``partial``, or ``failed`` if none was written."""
     with stage(spark, "materialise", run_id, metrics_path) as record:
         for view in views.VIEWS:
             if view.name not in sources:
                 continue
             try:
-                source = lake.read_table(spark, sources[view.name], view.name)
-                table, seen = observed(
-                    views.materialise_latest(view, source, start, end), f"{view.name}_{run_id}",
-                    F.count(F.lit(1)).alias("keys"),
-                )
-                lake.write_table(table, f"{root}/{view.name}")
-                record["metrics"][view.name] = seen.get["keys"]
+                reader = READERS.get(view.name, lambda spark, path: lake.read_table(spark, path, view.name))
+                table = views.materialise_latest(view, reader(spark, sources[view.name]), start, end)
+                path = f"{root}/{view.name}"
+                if lake.exists(spark, path):
+                    stored = spark.read.schema(table.schema).parquet(path)
+                    table = last_per_key(table.unionByName(stored), [view.entity], view.order(table))
+                table = lake.staged(table, view.name)
+                record["metrics"][view.name] = table.count()
+                lake.write_table(table, path)
             except Exception as err:
                 record["artifacts"][f"{view.name}_error"] = str(err)
+        failed = sum(name.endswith("_error") for name in record["artifacts"])
+        if failed:
+            record["status"] = "partial" if record["metrics"] else "failed"
     return record
 
 

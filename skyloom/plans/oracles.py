@@ -5,6 +5,7 @@ from skyloom.plans.telemetry import HUB_SQL, OTHER_EPOCH, STATE_SQL
 from skyloom.sources.schemas import STATE_NAMES
 
 ORACLES: dict[str, str] = {}
+FAMILY_NAMES = ["lgbm", "xgboost", "catboost", "random_forest", "hgb"]  # in the order of operators.models
 
 
 def r(*names):
@@ -125,10 +126,10 @@ oracle(
     "clean",
 )
 DATES = "CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month, CAST(day(event_timestamp) AS INTEGER) AS day"
-for name in ("silver_table", "stream_merge"):
+for name, later in (("silver_table", 0), ("stream_merge", 0), ("stream_merge_batches", 20)):
     oracle(
         name,
-        f"""SELECT aircraft_id, callsign, origin_country, event_timestamp, CAST(event_timestamp AS DATE) AS event_date,
+        f"""SELECT last_contact + {later} AS last_contact, aircraft_id, callsign, origin_country, event_timestamp, CAST(event_timestamp AS DATE) AS event_date,
         latitude, longitude, baro_altitude, geo_altitude, on_ground, velocity, heading, vertical_rate, squawk,
         position_source, {DATES} FROM silver""",
         "silver",
@@ -179,7 +180,7 @@ cte(
     ).replace(", 0), 6) AS distance_10m_km", " END, 0), 6) AS distance_10m_km"),
     "windowed",
 )
-for name in ("flight_features", "flight_features_sliced"):
+for name in ("flight_features", "flight_features_sliced", "flight_features_range"):
     oracle(name, "SELECT * FROM flights", "flights")
 oracle(
     "heading_change",
@@ -230,7 +231,8 @@ cte(
 cte("halves", counts_sql("time_bucket(INTERVAL 30 MINUTE, event_timestamp)"), "near")
 oracle("congestion_counts", f"SELECT {', '.join(COUNTS)} FROM counts", "counts")
 oracle("congestion_half_hours", f"SELECT {', '.join(COUNTS)} FROM halves", "halves")
-oracle("congestion_features", "SELECT * FROM congestion", "congestion")
+for name in ("congestion_features", "congestion_job_range"):
+    oracle(name, "SELECT * FROM congestion", "congestion")
 oracle(
     "congestion_unique_aircraft",
     f"SELECT airport_code, airport_name, {HOUR} AS event_timestamp, count(DISTINCT aircraft_id) AS unique_aircraft_50km FROM near GROUP BY ALL",
@@ -246,7 +248,7 @@ cte(
       FROM silver WHERE callsign IS NOT NULL AND NOT on_ground) GROUP BY route_id""",
     "silver",
 )
-for name in ("route_features", "route_features_joined"):
+for name in ("route_features", "routes_job_range"):
     oracle(name, "SELECT * FROM routes", "routes")
 oracle(
     "scalar_functions",
@@ -353,6 +355,13 @@ oracle(
 )
 oracle("materialize_all", LATEST.format(where=""), "flight_view")
 oracle("stream_latest", LATEST.format(where=""), "flight_view")
+oracle(
+    "materialize_upsert",
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY aircraft_id ORDER BY event_timestamp DESC) AS rn
+    FROM flight_view WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-14'
+    OR event_timestamp BETWEEN TIMESTAMP '2024-01-14 22:00:00' AND TIMESTAMP '2024-01-15') WHERE rn = 1""",
+    "flight_view",
+)
 oracle(
     "asof_join",
     """SELECT o_orderkey, s.aircraft_id, t AS event_timestamp,
@@ -429,7 +438,13 @@ oracle(
     CAST(hour(event_timestamp) AS INTEGER) AS hour_of_day, CAST(isodow(event_timestamp) - 1 AS INTEGER) AS day_of_week, congestion_score FROM congestion""",
     "congestion",
 )
-HASH = "md5(concat_ws('|', CAST(event_id AS VARCHAR), '42'))"
+def keyed(*columns):
+    """Every value with its length; null as a mark of its own."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts) + ", '42'))"
+
+
+HASH = keyed("event_id")
 oracle("hash_sample", f"SELECT event_id, event_type, value FROM events ORDER BY {HASH} LIMIT 500")
 oracle(
     "hash_sample_strata",
@@ -441,6 +456,25 @@ for name, part in (("split_plain", ""), ("split_stratified", "PARTITION BY event
         f"""SELECT event_id, event_type, rn <= round(total * 0.15) AS is_test FROM (
           SELECT event_id, event_type, row_number() OVER ({part} ORDER BY {HASH}) AS rn, count(*) OVER ({part}) AS total FROM events)""",
     )
+oracle(
+    "fold_stratified",
+    f"""SELECT event_id, event_type,
+    CAST((row_number() OVER (PARTITION BY event_type ORDER BY {HASH}) - 1) % {C.CV_FOLDS} AS INTEGER) AS fold FROM events""",
+)
+oracle(
+    "hash_sample_nulls",
+    f"""SELECT * FROM (SELECT part, name, min(event_id) AS event_id FROM (
+      SELECT event_id, nullif(event_id % 50, 7) AS part,
+      CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat(event_type, '|', CAST(event_id AS VARCHAR)) END AS name FROM events)
+    GROUP BY ALL) ORDER BY {keyed('part', 'name')} LIMIT 300""",
+)
+oracle(
+    "ingest_counts",
+    """SELECT CAST(last_contact AS DOUBLE) AS fetch_timestamp,
+    CAST(CASE WHEN longitude IS NULL THEN 0 ELSE 2 END AS INTEGER) AS aircraft_count,
+    CAST(CASE WHEN longitude IS NULL THEN 2 ELSE 0 END AS INTEGER) AS dropped_count FROM states""",
+    "states",
+)
 oracle("split_time", "SELECT event_id, ts, ts >= TIMESTAMP '2024-01-25' AS is_test FROM events")
 oracle(
     "fold_assign",
@@ -657,7 +691,7 @@ oracle(
 
 SCALED = ", ".join(f"({f} - avg({f}) OVER ()) / (stddev_pop({f}) OVER ()) AS x{i}" for i, f in enumerate(C.ANOMALY_FEATURES))
 APART = " + ".join(f"pow(a.x{i} - b.x{i}, 2)" for i in range(len(C.ANOMALY_FEATURES)))
-FIX = "md5(concat_ws('|', aircraft_id, CAST(event_timestamp AS VARCHAR), '42'))"
+FIX = keyed("aircraft_id", "event_timestamp")
 cte(
     "fixes",
     f"""SELECT aircraft_id, event_timestamp, {SCALED}, row_number() OVER (ORDER BY {FIX}) AS n
@@ -668,7 +702,7 @@ cte(
     "fix_knn",
     f"""SELECT p, near.o AS o, near.d AS d FROM (
       SELECT a.n AS p, unnest(min({{'d': sqrt({APART}), 'o': b.n}}, {C.LOF_NEIGHBOURS})) AS near
-      FROM fixes a JOIN fixes b ON b.n <= {C.SAMPLE_ROWS} AND a.n <> b.n GROUP BY a.n)""",
+      FROM fixes a JOIN fixes b ON a.n <> b.n GROUP BY a.n)""",
     "fixes",
 )
 cte(
@@ -685,13 +719,68 @@ oracle(
     "fix_density",
 )
 
+cte(
+    "novel",
+    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY d, o) AS rn FROM pairs WHERE o % 5 = 0) WHERE rn <= 5",
+    "pairs",
+)
+cte(
+    "novel_density",
+    """SELECT k.p, 1 / (avg(greatest(k.d, far.d)) + 1e-10) AS lrd FROM novel k
+    JOIN (SELECT p, max(d) AS d FROM novel WHERE p % 5 = 0 GROUP BY p) far ON far.p = k.o GROUP BY k.p""",
+    "novel",
+)
+oracle(
+    "lof_novelty",
+    """SELECT k.p AS vec_id, round(avg(other.lrd) / max(own.lrd), 6) AS lof FROM novel k
+    JOIN novel_density other ON other.p = k.o JOIN novel_density own ON own.p = k.p GROUP BY k.p""",
+    "novel_density",
+)
+
+# Models are fitted by MLlib; what SQL can say about their results is checked.
+
+HELD = """SELECT * FROM (SELECT *, row_number() OVER ({part} ORDER BY {key}) AS rn, count(*) OVER ({part}) AS total FROM {table})
+    WHERE rn <= round(total * 0.15)"""
+oracle(
+    "delay_scores",
+    f"""SELECT aircraft_id, event_timestamp, delay_risk, true AS in_range, true AS band_fits FROM
+    ({HELD.format(part="PARTITION BY delay_risk", key=keyed("aircraft_id", "event_timestamp"), table=f"(SELECT * FROM nearest WHERE {COMPLETE})")})""",
+    "nearest",
+)
+LOADED = " AND ".join(f"{c} IS NOT NULL" for c in (*C.CONGESTION_FEATURES, "congestion_score") if c not in ("hour_of_day", "day_of_week"))
+oracle(
+    "congestion_scores",
+    f"""SELECT airport_code, event_timestamp, congestion_score, true AS in_range FROM
+    ({HELD.format(part="", key=keyed("airport_code", "event_timestamp"), table=f"(SELECT * FROM congestion WHERE {LOADED})")})""",
+    "congestion",
+)
+oracle("anomaly_scores", "SELECT count(*) AS rows_scored, true AS rate_as_expected, true AS sign_fits FROM fixes", "fixes")
+FAMILIES = "(VALUES " + ", ".join(f"({i}, '{name}')" for i, name in enumerate(FAMILY_NAMES)) + ") AS t(n, algorithm)"
+FOLDS = f"range({C.CV_FOLDS}) AS f(fold)"
+for name, fact in (("trial_table", "above_floor"), ("congestion_trials", "within_range")):
+    oracle(
+        name,
+        f"""SELECT CAST(n AS INTEGER) AS trial, algorithm, CAST(fold AS INTEGER) AS fold, true AS {fact}
+        FROM {FAMILIES}, {FOLDS}""",
+    )
+oracle(
+    "anomaly_trials",
+    """SELECT CAST(n AS INTEGER) AS trial, algorithm, (SELECT count(*) FROM fixes) AS rows_scored, true AS rate_in_bounds
+    FROM (VALUES (0, 'isolation_forest'), (1, 'lof')) AS t(n, algorithm)""",
+    "fixes",
+)
+LISTED = f"unnest([{', '.join(repr(f) for f in C.DELAY_FEATURES)}]) AS feature"
+oracle("feature_importance", f"SELECT {LISTED}, true AS in_range, true AS sums_to_one")
+oracle("permutation_importance", f"SELECT *, feature IN ('altitude_m', 'speed_ms') AS matters FROM (SELECT {LISTED})")
+
 # ---- streaming
 
 oracle("stream_silver", f"SELECT aircraft_id, event_timestamp, {DATES} FROM silver", "silver")
 oracle(
     "stream_late_rows",
-    """SELECT 'stream_dedup' AS stage, 'success' AS status, 'rows_read' AS metric, CAST(count(*) AS DOUBLE) AS value FROM silver
-    UNION ALL SELECT 'stream_dedup', 'success', 'late_rows', 0""",
+    """SELECT 'stream_dedup' AS stage, 'success' AS status, 'rows_read' AS metric,
+    CAST(count(*) + count(*) FILTER (event_timestamp < TIMESTAMP '2024-01-11') AS DOUBLE) AS value FROM silver
+    UNION ALL SELECT 'stream_dedup', 'success', 'late_rows', CAST(count(*) AS DOUBLE) FROM silver WHERE event_timestamp < TIMESTAMP '2024-01-11'""",
     "silver",
 )
 oracle("stream_dedup", "SELECT aircraft_id, event_timestamp FROM silver", "silver")

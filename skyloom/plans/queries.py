@@ -15,7 +15,7 @@ from skyloom.operators import (
 )
 from skyloom.plans import jobs, telemetry
 from skyloom.sources import bronze, lake
-from skyloom.sources.schemas import SILVER_COLUMNS, SILVER_KEY, SILVER_PARTITIONS
+from skyloom.sources.schemas import SILVER_COLUMNS, SILVER_KEY, SILVER_ORDER, SILVER_PARTITIONS
 from skyloom.streaming import ingest
 from skyloom.streaming.congestion import hourly_counts
 from skyloom.streaming.latest import LatestTable
@@ -25,10 +25,12 @@ QUERIES = {}
 
 
 def query(fn):
-    """Register ``fn``; timestamps come out without zone and doubles with six places."""
+    """Register ``fn``; timestamps come out without zone and doubles with six places. Event
+    times of the test tables carry no zone and are UTC, whatever the session's is."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return presented(fn(spark, sf_dir))
+        with lake.utc(spark):
+            return presented(fn(spark, sf_dir))
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
@@ -118,8 +120,8 @@ def silver_write_readback(spark, sf):
     """Publish silver twice (the second run must change nothing), count what is there by day."""
     path = lake.fresh_path(spark, "silver")
     new = lake.staged(telemetry.silver(spark, sf), "silver_new")
-    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
-    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
+    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY, SILVER_ORDER)
+    lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY, SILVER_ORDER)
     table = lake.read_days(spark, path, None, None)
     return table.groupBy(*SILVER_PARTITIONS).agg(
         F.count("*").alias("n"), F.countDistinct("aircraft_id").alias("aircraft")
@@ -136,6 +138,44 @@ def run_metrics(spark, sf):
     return recorded.select("stage", "status", F.explode("metrics").alias("metric", "value"))
 
 
+RANGES = [(None, "2024-01-12"), ("2024-01-13", "2024-01-13"), ("2024-01-10", "2024-01-20"), ("2024-01-21", None)]
+
+
+def _by_ranges(spark, sf, job, name, **given):
+    """Path of a gold table made range by range, some days twice."""
+    root = lake.fresh_path(spark, name)
+    lake.write_partitioned(telemetry.silver(spark, sf), f"{root}/silver", SILVER_PARTITIONS)
+    for first, last in RANGES:
+        job(spark, f"{root}/silver", f"{root}/gold", "run", first_day=first, last_day=last, **given)
+    return f"{root}/gold"
+
+
+@query
+def congestion_job_range(spark, sf):
+    """Airport load from runs over ranges of days: the same as in one run."""
+    path = _by_ranges(spark, sf, jobs.congestion_job, "congestion_range", airports=telemetry.hubs(spark, sf))
+    return congestion.read_scored(spark, path).drop("created_timestamp", "event_date")
+
+
+@query
+def routes_job_range(spark, sf):
+    return routes.read_combined(spark, _by_ranges(spark, sf, jobs.routes_job, "routes_range"))
+
+
+@query
+def flight_features_range(spark, sf):
+    path = _by_ranges(spark, sf, jobs.flights_job, "flights_range")
+    return spark.read.parquet(path).drop("created_timestamp", "event_date")
+
+
+@query
+def ingest_counts(spark, sf):
+    """States landed and dropped of each poll."""
+    return bronze.parse_batches(telemetry.raw_responses(spark, sf), "value", "run_time").select(
+        F.col("fetch_timestamp"), "aircraft_count", "dropped_count"
+    )
+
+
 # ---- features
 
 
@@ -239,11 +279,6 @@ def route_features(spark, sf):
     return routes.route_features(telemetry.silver(spark, sf))
 
 
-@query
-def route_features_joined(spark, sf):
-    return routes.route_features_joined(telemetry.silver(spark, sf))
-
-
 @query
 def scalar_functions(spark, sf):
     """Distance, route, bands, clip, clock parts on every event."""
@@ -361,6 +396,17 @@ def materialize_all(spark, sf):
     )
 
 
+@query
+def materialize_upsert(spark, sf):
+    """Two intervals one after the other: aircraft not seen in the second keep their values."""
+    root = lake.fresh_path(spark, "upsert")
+    _flight_source(spark, sf).withColumn("event_date", F.to_date("event_timestamp")).write.parquet(f"{root}/flights")
+    source = {views.FLIGHT_VIEW.name: f"{root}/flights"}
+    for start, end in (("2024-01-01 00:00:00", "2024-01-14 00:00:00"), ("2024-01-14 22:00:00", "2024-01-15 00:00:00")):
+        jobs.materialise_job(spark, source, f"{root}/latest", start, end, "run")
+    return spark.read.parquet(f"{root}/latest/{views.FLIGHT_VIEW.name}")
+
+
 @query
 def asof_join(spark, sf):
     """Each order looks up an aircraft's features as of a time in January."""
@@ -493,6 +539,24 @@ def fold_assign(spark, sf):
     return sampling.folds(telemetry.events(spark, sf).select("event_id"), ["event_id"])
 
 
+@query
+def fold_stratified(spark, sf):
+    rows = telemetry.events(spark, sf).select("event_id", "event_type")
+    return sampling.folds(rows, ["event_id"], stratify="event_type")
+
+
+@query
+def hash_sample_nulls(spark, sf):
+    """A sample by a key of two columns, either of which may be null."""
+    rows = telemetry.events(spark, sf).selectExpr(
+        "event_id",
+        "nullif(event_id % 50, 7) as part",
+        "case when event_id % 3 = 0 then null else concat(event_type, '|', cast(event_id as string)) end as name",
+    )
+    once = rows.groupBy("part", "name").agg(F.min("event_id").alias("event_id"))
+    return sampling.hash_sample(lake.staged(once, "once"), ["part", "name"], 300)
+
+
 @query
 def standardize(spark, sf):
     rows = telemetry.flat_states(telemetry.states(spark, sf)).select(
@@ -663,17 +727,22 @@ def anomaly_rules(spark, sf):
 KEYS = ["aircraft_id", "event_timestamp"]
 
 
+def _between(column, low=0.0, high=1.0):
+    return F.coalesce(F.col(column).between(low, high), F.lit(False))
+
+
 @query
 def delay_scores(spark, sf):
-    """Fit on the stratified training part, score the held-out part."""
+    """Fit on the stratified training part with the default settings, score all held-out rows:
+    their keys and labels, and whether probability and band are as they must be."""
     frame = lake.staged(_delay_frame(spark, sf), "delay_frame")
     parts = lake.staged(sampling.split(frame, KEYS, stratify="delay_risk"), "delay_parts")
-    model = models.fit_classifier(
-        parts.filter("not is_test"), C.DELAY_FEATURES, params={"maxIter": 5, "maxDepth": 4}
-    )
+    model = models.fit_classifier(parts.filter("not is_test"), C.DELAY_FEATURES)
     scored = models.score_classifier(model, parts.filter("is_test"))
-    return scored.withColumn("risk_label", fx.risk_band(F.col("delay_probability"))).select(
-        *KEYS, "delay_risk", "delay_probability", "risk_label"
+    p = F.col("delay_probability")
+    band = F.when(p >= 0.7, "HIGH").when(p >= 0.4, "MEDIUM").otherwise("LOW")
+    return scored.select(
+        *KEYS, "delay_risk", _between("delay_probability").alias("in_range"), (fx.risk_band(p) == band).alias("band_fits")
     )
 
 
@@ -682,13 +751,9 @@ def congestion_scores(spark, sf):
     keys = ["airport_code", "event_timestamp"]
     frame = lake.staged(congestion_training_frame(spark, sf), "load_frame")
     parts = lake.staged(sampling.split(frame, keys), "load_parts")
-    model = models.fit_regressor(
-        parts.filter("not is_test"), C.CONGESTION_FEATURES, params={"maxIter": 5, "maxDepth": 4}
-    )
+    model = models.fit_regressor(parts.filter("not is_test"), C.CONGESTION_FEATURES)
     scored = models.score_regressor(model, parts.filter("is_test"))
-    return scored.withColumn("congestion_level", fx.congestion_band(F.col("prediction"))).select(
-        *keys, "congestion_score", "prediction", "congestion_level"
-    )
+    return scored.select(*keys, "congestion_score", _between("prediction").alias("in_range"))
 
 
 def _anomaly_frame(spark, sf):
@@ -701,10 +766,15 @@ def _anomaly_frame(spark, sf):
 
 @query
 def anomaly_scores(spark, sf):
+    """Every fix scored by a forest of the default size; is the rate the one expected?"""
     frame = _anomaly_frame(spark, sf)
-    forest = isolation.fit_forest(frame, KEYS, C.ANOMALY_FEATURES, trees=50)
-    return isolation.flag_anomalies(isolation.forest_scores(frame, forest)).select(
-        *KEYS, "anomaly_score", "is_anomaly"
+    forest = isolation.fit_forest(frame, KEYS, C.ANOMALY_FEATURES)
+    flagged = isolation.flag_anomalies(isolation.forest_scores(frame, forest))
+    rate = F.avg(F.col("is_anomaly").cast("double"))
+    return flagged.agg(
+        F.count("*").alias("rows_scored"),
+        rate.between(0.03, 0.07).alias("rate_as_expected"),
+        F.bool_and((F.col("anomaly_score") < 0) == F.col("is_anomaly")).alias("sign_fits"),
     )
 
 
@@ -716,29 +786,38 @@ def lof(spark, sf):
     ).select("vec_id", "lof")
 
 
+@query
+def lof_novelty(spark, sf):
+    """Every embedding against a reference of every fifth."""
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    found = neighbours.local_outlier_factor(table, ["vec_id"], "embedding", k=5, reference=table.filter("vec_id % 5 = 0"))
+    return found.select("vec_id", "lof")
+
+
+EFFORT = 0.02
+
+
 @query
 def trial_table(spark, sf):
-    """A small random search over two families, every fold of the delay frame scored."""
-    frame = sampling.folds(_delay_frame(spark, sf), KEYS, 2)
+    """A random search over every family, every fold of the delay frame scored: is each fold's
+    score above chance?"""
+    frame = sampling.folds(_delay_frame(spark, sf), KEYS, C.CV_FOLDS, stratify="delay_risk")
     settings, scored = models.search(
-        frame, C.DELAY_FEATURES, "delay_risk", algorithms=["lgbm", "random_forest"], trials=2, effort=0.01
-    )
-    return trials.trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
-        "trial", "algorithm", "score", F.map_keys("params").alias("settings")
+        frame, C.DELAY_FEATURES, "delay_risk", trials=len(models.FAMILIES), effort=EFFORT
     )
+    per_fold = metrics.auc(scored, by=["trial", "algorithm", "fold"])
+    return per_fold.select("trial", "algorithm", "fold", (F.col("auc") > 0.5).alias("above_floor"))
 
 
 @query
 def congestion_trials(spark, sf):
     keys = ["airport_code", "event_timestamp"]
-    frame = sampling.folds(congestion_training_frame(spark, sf), keys, 2)
+    frame = sampling.folds(congestion_training_frame(spark, sf), keys, C.CV_FOLDS)
     settings, scored = models.search(
-        frame, C.CONGESTION_FEATURES, "congestion_score", "regressor",
-        ["lgbm", "random_forest"], trials=2, effort=0.01,
-    )
-    return trials.regression_trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
-        "trial", "algorithm", "score", F.map_keys("params").alias("settings")
+        frame, C.CONGESTION_FEATURES, "congestion_score", "regressor", trials=len(models.FAMILIES), effort=EFFORT
     )
+    per_fold = metrics.regression(scored, by=["trial", "algorithm", "fold"])
+    return per_fold.select("trial", "algorithm", "fold", F.col("rmse").between(0.0, 1.0).alias("within_range"))
 
 
 @query
@@ -750,89 +829,138 @@ def flight_lof(spark, sf):
 
 @query
 def anomaly_trials(spark, sf):
-    """A small search over both detectors."""
-    frame = _anomaly_frame(spark, sf)
-    settings, scored = anomaly.search(frame, KEYS, C.ANOMALY_FEATURES, trials=2, effort=0.1)
-    return anomaly.trial_scores(scored).join(settings, ["trial", "algorithm"]).select(
-        "trial", "algorithm", "anomaly_count", "anomaly_rate", "score_spread", "separation"
+    """A search over both detectors: rows scored by each trial, and is the rate within the
+    bounds drawn from?"""
+    frame = lake.staged(_anomaly_frame(spark, sf), "scaled_frame")
+    reference = lake.staged(sampling.hash_sample(frame, KEYS, 2_000), "reference")
+    settings, scored = anomaly.search(frame, KEYS, C.ANOMALY_FEATURES, trials=2, reference=reference)
+    return scored.groupBy("trial", "algorithm").agg(
+        F.count("*").alias("rows_scored"),
+        F.avg(F.col("is_anomaly").cast("double")).between(0.0, 0.16).alias("rate_in_bounds"),
     )
 
 
 @query
 def feature_importance(spark, sf):
+    """Of a forest with the default settings: no negative share, all adding up to one."""
     frame = lake.staged(_delay_frame(spark, sf), "delay_frame")
-    model = models.fit_classifier(
-        frame, C.DELAY_FEATURES, algorithm="random_forest", params={"numTrees": 5, "maxDepth": 4}
-    )
-    return models.importances(model, C.DELAY_FEATURES, spark)
+    model = models.fit_classifier(frame, C.DELAY_FEATURES, algorithm="random_forest")
+    found = models.importances(model, C.DELAY_FEATURES, spark)
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select("feature", _between("importance").alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @query
 def permutation_importance(spark, sf):
+    """With a fixed linear score of two inputs: only those two can matter."""
     frame = lake.staged(_delay_frame(spark, sf), "delay_frame")
-    model = models.fit_classifier(frame, C.DELAY_FEATURES, params={"maxIter": 3, "maxDepth": 4})
     variants = importance.permuted_variants(frame, KEYS, C.DELAY_FEATURES)
-    per_variant = metrics.auc(
-        models.score_classifier(model, variants), "delay_risk", "delay_probability", ["variant"]
-    )
-    return importance.metric_drop(per_variant, "auc")
+    scored = variants.withColumn("score", 0.01 * F.col("altitude_m") - F.col("speed_ms"))
+    dropped = importance.metric_drop(metrics.auc(scored, "delay_risk", "score", ["variant"]), "auc")
+    return dropped.select("feature", (F.abs("importance") > 1e-9).alias("matters"))
 
 
 # ---- streaming
 
 
-def _land_stream(spark, sf, name):
-    """Silver staged as a folder that a stream can watch."""
+CUTS = ["2024-01-01", "2024-01-11", "2024-01-21", "2030-01-01"]
+
+
+def _in_batches(spark, rows, name, at="event_timestamp"):
+    """Rows staged as one file for each third of the month, in time order, so that a stream of
+    one file a batch takes three batches."""
     path = lake.fresh_path(spark, name)
-    telemetry.silver(spark, sf).select(
-        "aircraft_id", "callsign", "origin_country", "event_timestamp", "latitude", "longitude",
-        "baro_altitude", "on_ground", "velocity", "heading", "vertical_rate",
-    ).write.parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    for low, high in zip(CUTS, CUTS[1:]):
+        part = rows.filter((F.col(at) >= F.lit(low).cast("timestamp")) & (F.col(at) < F.lit(high).cast("timestamp")))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _land_stream(spark, sf, name):
+    """Silver as a stream of three batches."""
+    return _in_batches(
+        spark,
+        telemetry.silver(spark, sf).select(
+            "aircraft_id", "callsign", "origin_country", "event_timestamp", "latitude", "longitude",
+            "baro_altitude", "on_ground", "velocity", "heading", "vertical_rate",
+        ),
+        name,
+    )
+
+
+def _land_json(spark, parts, path):
+    """Bronze envelopes as one JSON file for each part, streamed one a batch."""
+    for part in parts:
+        part.drop("event_id").coalesce(1).write.mode("append").json(path)
+    return bronze.stream_bronze(spark, path, 1)
+
+
+def _thirds(rows, at):
+    cuts = [F.lit(c).cast("timestamp") for c in CUTS]
+    return [rows.filter((F.col(at) >= low) & (F.col(at) < high)) for low, high in zip(cuts, cuts[1:])]
 
 
 @query
 def stream_silver(spark, sf):
-    """Landed JSON -> silver as a stream over everything there is."""
+    """Landed JSON -> silver as a stream over three batches."""
     root = lake.fresh_path(spark, "stream_silver")
-    bronze.land_bronze(telemetry.bronze(spark, sf), f"{root}/bronze")
-    stream = ingest.silver_stream(bronze.stream_bronze(spark, f"{root}/bronze", 100_000))
-    ingest.write_silver_stream(stream, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
+    source = _land_json(spark, _thirds(telemetry.bronze(spark, sf), "ingest_timestamp"), f"{root}/bronze")
+    ingest.write_silver_stream(ingest.silver_stream(source), f"{root}/silver", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/silver").select("aircraft_id", "event_timestamp", "year", "month", "day")
 
 
+def _merged(spark, parts, name):
+    root = lake.fresh_path(spark, name)
+    merge = ingest.SilverMerge(f"{root}/silver")
+    merge.start(_land_json(spark, parts, f"{root}/bronze"), f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(merge.path).select(*SILVER_COLUMNS)
+
+
 @query
 def stream_merge(spark, sf):
     """Landed JSON -> silver, each batch merged into the days it touches."""
-    root = lake.fresh_path(spark, "stream_merge")
-    bronze.land_bronze(telemetry.bronze(spark, sf), f"{root}/bronze")
-    merge = ingest.SilverMerge(f"{root}/silver")
-    merge.start(bronze.stream_bronze(spark, f"{root}/bronze", 100_000), f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(merge.path).select(*SILVER_COLUMNS)
+    return _merged(spark, _thirds(telemetry.bronze(spark, sf), "ingest_timestamp"), "stream_merge")
+
+
+@query
+def stream_merge_batches(spark, sf):
+    """Three polls of every state, the newest contact first: later batches must not replace it."""
+    rows = telemetry.bronze(spark, sf)
+
+    def poll(seconds):
+        later = lambda s: s.withField("last_contact", s["last_contact"] + seconds)
+        return rows.withColumn("states", F.transform("states", later))
+
+    return _merged(spark, [poll(20), poll(0), poll(10)], "stream_merge_batches")
 
 
 @query
 def stream_dedup(spark, sf):
-    """Three polls of every state, streamed: each (aircraft, time) once."""
-    path = lake.fresh_path(spark, "polls")
+    """Every state three times, streamed in three batches: each (aircraft, time) once."""
     rows = telemetry.silver(spark, sf).select("aircraft_id", "event_timestamp")
-    rows.withColumn("poll", F.explode(F.array(*[F.lit(i) for i in range(3)]))).write.parquet(path)
+    polls = rows.withColumn("poll", F.explode(F.array(*[F.lit(i) for i in range(3)])))
     root = lake.fresh_path(spark, "stream_dedup")
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    once = ingest.dedup_stream(source)
+    once = ingest.dedup_stream(_in_batches(spark, polls, "polls"))
     ingest.write_stream(once, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out").select("aircraft_id", "event_timestamp")
 
 
 @query
 def stream_late_rows(spark, sf):
-    """What a deduplicating stream records about itself; nothing is late in a single batch."""
+    """What a deduplicating stream records about itself: the last batch brings the first third
+    again, all of it late."""
+    silver = telemetry.silver(spark, sf).select("aircraft_id", "event_timestamp")
+    path = lake.fresh_path(spark, "late")
+    first, second, third = _thirds(silver, "event_timestamp")
+    for part in (first, second, third, first):
+        part.coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(path)
     root = lake.fresh_path(spark, "stream_late")
-    query = ingest.write_stream(
-        ingest.dedup_stream(_land_stream(spark, sf, "stream_in")), f"{root}/out", f"{root}/checkpoint"
-    )
+    counts = ingest.StreamCounts(spark)
+    query = ingest.write_stream(ingest.dedup_stream(source), f"{root}/out", f"{root}/checkpoint")
     query.awaitTermination()
-    jobs.record_stream(spark, query, "stream_dedup", "run", f"{root}/metrics")
+    jobs.record_stream(spark, query, counts, "stream_dedup", "run", f"{root}/metrics")
+    counts.close()
     recorded = spark.read.parquet(f"{root}/metrics")
     return recorded.select("stage", "status", F.explode("metrics").alias("metric", "value"))
 
@@ -858,10 +986,7 @@ def stream_tracks(spark, sf):
 @query
 def stream_latest(spark, sf):
     root = lake.fresh_path(spark, "stream_latest")
-    path = lake.fresh_path(spark, "features")
-    _flight_source(spark, sf).write.parquet(path)
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     table = LatestTable(views.FLIGHT_VIEW, root)
-    running = table.start(source, f"{root}/checkpoint")
+    running = table.start(_in_batches(spark, _flight_source(spark, sf), "features"), f"{root}/checkpoint")
     running.awaitTermination()
     return table.read(spark, running.lastProgress["batchId"])

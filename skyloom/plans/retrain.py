@@ -42,29 +42,33 @@ CONGESTION = Task(
 
 
 def prepare(task: Task, table: DataFrame, allow_missing: bool = False) -> DataFrame:
-    """Complete rows, at most ``max_rows`` of them in all, marked ``is_test``; staged."""
+    """Complete rows marked ``is_test``; staged. The whole table is split first: the hold-out is
+    all of its share, and so is a regressor's training part. Of a classifier's training part
+    ``max_rows`` rows are kept."""
     if task is CONGESTION:
         table = labels.congestion_training_columns(table)
     frame = labels.training_frame(table, task.features, task.target, task.keys, allow_missing)
     frame = lake.staged(frame, f"{task.name}_frame")
-    sample = lake.staged(sampling.hash_sample(frame, task.keys, task.max_rows), f"{task.name}_sample")
-    if lake.fits(sample, C.MIN_TRAIN_ROWS - 1):
+    if frame.limit(C.MIN_TRAIN_ROWS).count() < C.MIN_TRAIN_ROWS:
         raise lake.NotEnoughData(f"fewer than {C.MIN_TRAIN_ROWS} complete rows for {task.name}")
-    marked = sampling.split(sample, task.keys, stratify=task.target if task.stratify else None)
-    return lake.staged(marked, f"{task.name}_parts")
-
-
-def tune(task: Task, parts: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0, sample_rows: int = C.SAMPLE_ROWS):
-    """(best algorithm, its settings, table of all trials) over a sample of the training part."""
-    train = parts.filter("not is_test").drop("is_test")
-    rows = lake.staged(sampling.hash_sample(train, task.keys, sample_rows, C.SEED + 1), "tune_rows")
-    k = C.CV_FOLDS
+    marked = sampling.split(frame, task.keys, stratify=task.target if task.stratify else None)
+    parts = lake.staged(marked, f"{task.name}_parts")
+    if task.kind != "classifier":
+        return parts
+    train = sampling.hash_sample(parts.filter("not is_test"), task.keys, task.max_rows, C.SEED + 1)
+    return lake.staged(train.unionByName(parts.filter("is_test")), f"{task.name}_bounded")
+
+
+def tune(task: Task, parts: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0):
+    """(best algorithm, its settings, table of all trials) over the training part."""
+    train = lake.staged(parts.filter("not is_test").drop("is_test"), "tune_rows")
+    k, stratify = C.CV_FOLDS, None
     if task.kind == "classifier":
-        k = sampling.fold_count(rows.filter(F.col(task.target) == 1).count())
-    used = [c for c in task.features if c in rows.columns]
-    settings, scored = models.search(
-        sampling.folds(rows, task.keys, k), used, task.target, task.kind, trials=n_trials, effort=effort
-    )
+        k = sampling.fold_count(train.filter(F.col(task.target) == 1).count())
+        stratify = task.target
+    used = [c for c in task.features if c in train.columns]
+    folded = sampling.folds(train, task.keys, k, stratify=stratify)
+    settings, scored = models.search(folded, used, task.target, task.kind, trials=n_trials, effort=effort)
     score = trials.trial_scores if task.kind == "classifier" else trials.regression_trial_scores
     scores = lake.staged(score(scored), "trial_scores")
     best = trials.best_trial(scores).first()
@@ -103,7 +107,7 @@ def train(
 ) -> tuple[dict, DataFrame]:
     """Fit on the training part, save the pipeline, record hold-out metrics and what the model
     leans on. Gives (record, hold-out rows)."""
-    with stage(spark, f"train_{task.name}", run_id, metrics_path) as record:
+    with stage(spark, f"train_{task.name}", run_id, metrics_path, keep_staged=True) as record:
         parts = prepare(task, table)
         model = fit(task, parts, algorithm, params)
         model.write().overwrite().save(model_path)
@@ -151,7 +155,7 @@ def train_anomaly(
     trees: int = C.FOREST_TREES, contamination: float = C.CONTAMINATION,
 ) -> tuple[dict, DataFrame]:
     """Scale, fit an isolation forest, save both, score all rows. Gives (record, scores)."""
-    with stage(spark, "train_anomaly", run_id, metrics_path) as record:
+    with stage(spark, "train_anomaly", run_id, metrics_path, keep_staged=True) as record:
         frame = lake.staged(
             labels.training_frame(flights, C.ANOMALY_FEATURES, keep=FLIGHT_KEYS), "anomaly_frame"
         )
@@ -167,8 +171,10 @@ def train_anomaly(
     return record, flagged
 
 
-def tune_anomaly(frame: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0) -> DataFrame:
-    """Scores of detector settings over a sample of a standardised frame."""
-    rows = lake.staged(sampling.hash_sample(frame, FLIGHT_KEYS, C.SAMPLE_ROWS), "anomaly_sample")
-    _, found = anomaly.search(rows, FLIGHT_KEYS, C.ANOMALY_FEATURES, trials=n_trials, effort=effort)
+def tune_anomaly(frame: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0, reference: DataFrame | None = None) -> DataFrame:
+    """Scores of detector settings over all rows of a stored, standardised frame. ``reference``
+    are the rows the outlier factor compares with, if not all."""
+    _, found = anomaly.search(
+        frame, FLIGHT_KEYS, C.ANOMALY_FEATURES, trials=n_trials, effort=effort, reference=reference
+    )
     return anomaly.trial_scores(found)

@@ -45,8 +45,7 @@ OTHER_EPOCH = "cast(floor(epoch(ts)) as bigint)"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Event times carry no zone; the engine and its checks read them as UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Event times carry no zone; callers read them inside ``lake.utc``."""
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 

@@ -3,14 +3,29 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyloom.sources.lake import in_utc, partition_values
 from skyloom.sources.schemas import BRONZE_SCHEMA, STATE_FIELDS, WHOLE_NUMBERS
 
 
-def read_bronze(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """JSON batches under any depth of folders. A bad scalar becomes null and its row stays.
-    Landed files are JSON lines, which Spark can split; ``multi_line`` reads one pretty-printed
-    object per file instead."""
-    return _bronze_reader(spark.read, multi_line).json(path)
+def read_bronze(
+    spark: SparkSession, path: str, multi_line: bool = False,
+    first_day: str | None = None, last_day: str | None = None,
+) -> DataFrame:
+    """JSON batches under any depth of folders, or those landed on the ingest days
+    [first_day, last_day] (yyyy-MM-dd), of which only the folders are listed. A bad scalar
+    becomes null and its row stays. Landed files are JSON lines, which Spark can split;
+    ``multi_line`` reads one pretty-printed object per file instead."""
+    reader = _bronze_reader(spark.read, multi_line)
+    if first_day is None and last_day is None:
+        return reader.json(path)
+    folders = [
+        f"{path}/year={y}/month={m}/day={d}"
+        for y in partition_values(spark, path, "year")
+        for m in partition_values(spark, f"{path}/year={y}", "month")
+        for d in partition_values(spark, f"{path}/year={y}/month={m}", "day")
+        if (first_day or "") <= f"{y}-{m}-{d}" <= (last_day or "9999-99-99")
+    ]
+    return reader.json(folders) if folders else spark.createDataFrame([], BRONZE_SCHEMA)
 
 
 def stream_bronze(
@@ -48,7 +63,7 @@ def parse_states(raw: DataFrame, body: str = "value", keep: list[str] | None = N
 
 def parse_batches(raw: DataFrame, body: str, run_time: str) -> DataFrame:
     """One bronze envelope per raw response: parsed states that carry a position, their
-    number, and the response's time (the run's when it has none). Works inside each row,
+    number, how many others were dropped, and the response's time (the run's when it has none). Works inside each row,
     so a response is never taken apart and regrouped."""
     reply = F.from_json(body, "time double, states array<array<string>>")
     parsed = F.transform(
@@ -63,6 +78,7 @@ def parse_batches(raw: DataFrame, body: str, run_time: str) -> DataFrame:
         F.coalesce("reply.time", run_seconds).alias("fetch_timestamp"),
         F.col(run_time).alias("ingest_timestamp"),
         F.size(placed).alias("aircraft_count"),
+        (F.size(parsed) - F.size(placed)).alias("dropped_count"),
         placed.alias("states"),
     )
 
@@ -87,6 +103,7 @@ def validate_states(states: DataFrame) -> DataFrame:
     return states.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
 
 
+@in_utc
 def land_bronze(batches: DataFrame, path: str) -> None:
     """JSON lines under zero-padded year=/month=/day= folders of the ingest time."""
     at = F.col("ingest_timestamp")

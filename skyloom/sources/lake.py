@@ -1,17 +1,23 @@
 """Reading and writing tables: shared staging, partitioned parquet, size-checked broadcast."""
 
+import functools
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.constants import AIRPORTS
+from skyloom.operators.keyed import last_per_key
 from skyloom.sources.schemas import AIRPORT_SCHEMA, SILVER_PARTITIONS
 
-MAX_PARTITIONS = 100_000
+MAX_DAYS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 _local_dirs: dict[str, str] = {}
+_open_scratch: list[list[str]] = []
 
 
 class NotEnoughData(Exception):
@@ -19,11 +25,12 @@ class NotEnoughData(Exception):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only a local session may fall back to a temporary one."""
+    """The cluster's shared folder. Only a session that is one process may fall back to a
+    temporary one; a cluster of processes, on one machine too, may not."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -42,17 +49,69 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    if _open_scratch:
+        _open_scratch[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes what was staged inside when it ends. For jobs that return no table."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
+@contextmanager
+def utc(spark: SparkSession):
+    """Days and hours are UTC whatever the session's zone. Spark binds the zone when an
+    expression is analysed, so tables described inside keep it."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def in_utc(build):
+    """Decorates a function of a DataFrame (or of ``self`` and one) that describes a table."""
+
+    @functools.wraps(build)
+    def wrapped(*args, **kwargs):
+        df = next(a for a in args if isinstance(a, DataFrame))
+        with utc(df.sparkSession):
+            return build(*args, **kwargs)
+
+    return wrapped
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after measuring that ``df`` has at most ``max_rows`` rows.
-    Call it on tables that are cheap to count (dimensions, staged tables)."""
+    """Broadcast hint only after measuring that ``df`` has at most ``max_rows`` rows and
+    MAX_BROADCAST_BYTES. Call it on tables that are cheap to read (dimensions, staged tables)."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether rows and bytes (of text; eight for any other value) are within the bounds."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            width += F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            width += F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        width += 8
+    found = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    return found.n <= max_rows and (found.size or 0) <= max_bytes
 
 
 def airports(spark: SparkSession) -> DataFrame:
@@ -64,6 +123,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first-level partition ``column``, from the folder names."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(location):
+        return []
+    names = [f.getPath().getName() for f in store.listStatus(location) if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def read_table(spark: SparkSession, path: str, name: str = "table") -> DataFrame:
     """Parquet directory; a missing or empty one is an error with the table's name."""
     if not exists(spark, path):
@@ -103,18 +172,40 @@ def append_partitioned(df: DataFrame, path: str, partitions: list[str] | None =
     df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def merge_partitioned(new: DataFrame, path: str, partitions: list[str], keys: list[str]) -> None:
-    """Replace the partitions that ``new`` touches by its rows plus the rows already there
-    under other keys. ``new`` must be staged; merging it again changes nothing."""
+def days_of(new: DataFrame, partitions: list[str]) -> list:
+    """The distinct partitions of a staged table: as many as the days a batch touches."""
+    found = new.select(*partitions).distinct().limit(MAX_DAYS + 1).collect()
+    if len(found) > MAX_DAYS:
+        raise ValueError(f"a batch touches more than {MAX_DAYS} partitions")
+    return found
+
+
+def in_days(df: DataFrame, partitions: list[str], days: list) -> DataFrame:
+    """The rows of ``days``, as literal predicates, so that no other partition is listed."""
+    *outer, inner = partitions
+    groups: dict[tuple, list] = {}
+    for day in days:
+        groups.setdefault(tuple(day[c] for c in outer), []).append(day[inner])
+    wanted = F.lit(False)
+    for values, inners in groups.items():
+        one = F.col(inner).isin(inners)
+        for column, value in zip(outer, values):
+            one &= F.col(column) == value
+        wanted |= one
+    return df.filter(wanted)
+
+
+def merge_partitioned(new: DataFrame, path: str, partitions: list[str], keys: list[str], order: list[str]) -> None:
+    """Rows of ``new`` and the rows already there in the partitions it touches: of each key the
+    greatest by ``order`` stays, whichever came first. ``new`` must be staged; merging it again
+    changes nothing."""
     spark = new.sparkSession
     if not exists(spark, path):
-        write_partitioned(new, path, partitions)
+        write_partitioned(last_per_key(new, keys, order), path, partitions)
         return
-    old = spark.read.schema(new.schema).parquet(path)
-    touched = broadcast_within(new.select(*partitions).distinct(), MAX_PARTITIONS)
-    kept = old.join(touched, partitions, "left_semi").join(new.select(*keys), keys, "left_anti")
-    merged = staged(new.unionByName(kept.select(*new.columns)), "merge")
-    write_partitioned(merged, path, partitions)
+    old = in_days(spark.read.schema(new.schema).parquet(path), partitions, days_of(new, partitions))
+    merged = last_per_key(new.unionByName(old.select(*new.columns)), keys, order)
+    write_partitioned(staged(merged, "merge"), path, partitions)
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -35,9 +35,10 @@ BRONZE_SCHEMA = (
 SILVER_COLUMNS = [
     "aircraft_id", "callsign", "origin_country", "event_timestamp", "event_date",
     "latitude", "longitude", "baro_altitude", "geo_altitude", "on_ground", "velocity",
-    "heading", "vertical_rate", "squawk", "position_source", "year", "month", "day",
+    "heading", "vertical_rate", "squawk", "position_source", "last_contact", "year", "month", "day",
 ]
 SILVER_KEY = ["aircraft_id", "event_timestamp"]
+SILVER_ORDER = ["last_contact"]
 SILVER_PARTITIONS = ["year", "month", "day"]
 
 AIRPORT_SCHEMA = "airport_code string, airport_name string, airport_lat double, airport_lon double"

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.spatial import within_radius
+from skyloom.sources.lake import in_utc
 from skyloom.streaming.ingest import LATENESS
 
 
+@in_utc
 def hourly_counts(silver: DataFrame, airports: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The counts of ``airport_counts``, each hour once it is closed. Scores need the maximum
     over all hours, so ``normalise`` is applied when the stored counts are read."""

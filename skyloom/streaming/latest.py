@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame
 
 from skyloom.operators.keyed import last_per_key
 from skyloom.operators.views import FeatureView
+from skyloom.sources.lake import remove
 
 
 class LatestTable:
     """``foreachBatch`` body: the newest row per entity of the batch and the table so far,
-    one version per batch under <root>/batch_id=N."""
+    one version per batch under <root>/batch_id=N. The version before is kept for a repeated
+    batch; older ones are dropped."""
 
     def __init__(self, view: FeatureView, root: str):
         self.view = view
@@ -29,6 +31,8 @@ class LatestTable:
         last_per_key(rows, [self.view.entity], self.view.order(rows)).write.mode(
             "overwrite"
         ).parquet(f"{self.root}/batch_id={batch_id}")
+        if batch_id > 1:
+            remove(batch.sparkSession, f"{self.root}/batch_id={batch_id - 2}")
 
     def read(self, spark, batch_id: int) -> DataFrame:
         return spark.read.parquet(f"{self.root}/batch_id={batch_id}")

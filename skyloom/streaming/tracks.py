@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators.flights import airborne, describe_fixes, windowed
-from skyloom.sources.lake import broadcast_within, staged
+from skyloom.sources.lake import broadcast_within, in_utc, remove, scratch, staged
 
 MAX_AIRCRAFT = 1_000_000
 
 
 class TrackFeatures:
-    """``foreachBatch`` body writing <root>/features/batch_id=N and <root>/open/batch_id=N."""
+    """``foreachBatch`` body writing <root>/features/batch_id=N and <root>/open/batch_id=N, of
+    which the last two versions are kept."""
 
     def __init__(self, root: str, wrap_heading: bool = True):
         self.root = root
@@ -34,7 +35,14 @@ class TrackFeatures:
     def read(self, spark) -> DataFrame:
         return spark.read.parquet(f"{self.root}/features").drop("batch_id")
 
+    @in_utc
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            self.fold_in(batch, batch_id)
+        if batch_id > 1:
+            remove(batch.sparkSession, f"{self.root}/open/batch_id={batch_id - 2}")
+
+    def fold_in(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fixes = airborne(batch)
         if batch_id:

@@ -71,9 +71,9 @@ def test_routes(spark):
     assert str(abc.event_timestamp) == "1970-01-01 00:00:30"
 
 
-def test_one_pass_equals_join_and_approximate_fleet(spark):
+def test_days_combine_and_approximate_fleet(spark):
     df = route_rows(spark)
-    assert sorted(routes.route_features(df).collect()) == sorted(routes.route_features_joined(df).collect())
+    assert sorted(map(str, routes.combined(routes.route_days(df)).collect())) == sorted(map(str, routes.route_features(df).collect()))
     assert {r.unique_aircraft_count for r in routes.route_features(df, approximate=True).collect()} == {1, 2}
 
 

@@ -64,7 +64,7 @@ def test_a_point_may_have_several_places_and_one_nearest(spark, max_cells):
     places = spark.createDataFrame([("A", 10.0, 10.0), ("B", 10.2, 10.0), ("C", 10.0, 10.0)], PLACE)
     points = spark.createDataFrame([(1, 10.15, 10.0), (2, 10.0, 10.0), (3, 40.0, 40.0), (4, None, 1.0)], POINT)
     assert within_radius(points, places).count() == 6
-    nearest = {r.p: r.airport_code for r in nearest_place(points, places, ["p"], max_broadcast_cells=max_cells).collect()}
+    nearest = {r.p: r.airport_code for r in nearest_place(points, places, max_broadcast_cells=max_cells).collect()}
     assert nearest == {1: "B", 2: "A", 3: None, 4: None}
 
 

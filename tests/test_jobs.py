@@ -1,14 +1,16 @@
+import dataclasses
 import json
+import os
 from datetime import datetime
 
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from skyloom.operators import clean, quality, views
+from skyloom.operators import clean, congestion, quality, views
 from skyloom.plans import jobs, retrain, telemetry
 from skyloom.sources import bronze, lake
-from skyloom.sources.schemas import SILVER_KEY, SILVER_PARTITIONS
+from skyloom.sources.schemas import SILVER_KEY, SILVER_ORDER, SILVER_PARTITIONS
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +39,87 @@ def test_new_reports_merge_into_touched_days(spark, tables, tmp_path):
     path = str(tmp_path / "silver")
     silver = lake.staged(telemetry.silver(spark, SF_DIR), "silver")
     day = silver.filter("day = 10")
-    merge = lambda new: lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY)
+    merge = lambda new: lake.merge_partitioned(new, path, SILVER_PARTITIONS, SILVER_KEY, SILVER_ORDER)
     merge(silver)
-    changed = lake.staged(day.limit(3).withColumn("velocity", F.lit(-1.0)), "changed")
+    marked = day.limit(6).withColumn("velocity", F.lit(-1.0))
+    later = F.pmod(F.xxhash64("aircraft_id", "event_timestamp"), F.lit(2)) * 2 - 1
+    changed = lake.staged(marked.withColumn("last_contact", F.col("last_contact") + later), "changed")
     merge(changed)
     out = spark.read.parquet(path)
-    assert out.count() == silver.count() and out.filter("velocity = -1").count() == 3
-
+    newer = changed.join(silver.select(*SILVER_KEY, F.col("last_contact").alias("was")), SILVER_KEY).filter("last_contact > was")
+    assert out.count() == silver.count() and out.filter("velocity = -1").count() == newer.count()
+
+
+def test_a_merge_reads_only_the_days_it_touches(spark, tables):
+    day = lake.staged(spark.read.parquet(tables["silver"]).filter("day = 10"), "one_day")
+    days = lake.days_of(day, SILVER_PARTITIONS)
+    old = lake.in_days(spark.read.schema(day.schema).parquet(tables["silver"]), SILVER_PARTITIONS, days)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("\n")[0]
+    assert len(days) == 1 and "= 10)" in filters
+    assert files(old) and all("/day=10/" in f for f in files(old))
+
+
+def files(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_jobs_under_another_zone_write_the_same(spark, tables, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        with lake.utc(spark):
+            hubs = lake.staged(telemetry.hubs(spark, SF_DIR), "hubs")
+        paths = jobs.refresh(spark, tables["bronze"], str(tmp_path), "run1", hubs)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name in ("silver", "flights", "congestion", "routes", "labels"):
+        got, want = (spark.read.parquet(p[name]).drop("created_timestamp") for p in (paths, tables))
+        assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count() > 0, name
+
+
+def test_a_job_leaves_nothing_staged(spark, tables, tmp_path):
+    root = lake.fresh_path(spark, "x").rsplit("/", 1)[0]
+    before = set(os.listdir(root))
+    jobs.congestion_job(spark, tables["silver"], str(tmp_path / "c"), "r", airports=telemetry.hubs(spark, SF_DIR))
+    jobs.bronze_to_silver(spark, tables["bronze"], str(tmp_path / "s"), "r")
+    assert set(os.listdir(root)) == before
+
+
+def test_bronze_by_ingest_day(spark, tables, tmp_path):
+    """Day by day gives the whole; only the folders of the days are read."""
+    some = bronze.read_bronze(spark, tables["bronze"], first_day="2024-01-10", last_day="2024-01-11")
+    assert {f.split("day=")[1][:2] for f in files(some)} <= {"10", "11"} and some.count() > 0
+    path = str(tmp_path / "silver")
+    for first, last in ((None, "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", None)):
+        jobs.bronze_to_silver(spark, tables["bronze"], path, "r", first_ingest_day=first, last_ingest_day=last)
+    got, want = spark.read.parquet(path), spark.read.parquet(tables["silver"])
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+    assert bronze.read_bronze(spark, tables["bronze"], first_day="2031-01-01").count() == 0
+
+
+def test_corrected_fixes_reach_the_next_day(spark, tables, tmp_path):
+    """Silver of a day changes; recomputing that day gives what computing all would."""
+    silver, part, whole = str(tmp_path / "s"), str(tmp_path / "p"), str(tmp_path / "w")
+    table = spark.read.parquet(tables["silver"])
+    lake.write_partitioned(table, silver, SILVER_PARTITIONS)
+    jobs.flights_job(spark, silver, part, "r")
+    turned = table.filter("day = 12").withColumn("heading", F.col("heading") + 1)
+    lake.write_partitioned(turned, silver, SILVER_PARTITIONS)
+    last = table.select(F.max("event_date")).first()[0]
+    jobs.flights_job(spark, silver, part, "r", first_day="2024-01-12", last_day=str(last))
+    jobs.flights_job(spark, silver, whole, "r")
+    got, want = (spark.read.parquet(p).drop("created_timestamp") for p in (part, whole))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+
+
+def test_a_range_reads_its_days_and_the_halo_only(spark, tables, tmp_path):
+    path = str(tmp_path / "f")
+    jobs.flights_job(spark, tables["silver"], path, "r", first_day="2024-01-12", last_day="2024-01-13")
+    older = jobs.last_fixes(spark, tables["silver"], f"{path}_last_fixes", "2024-01-11")
+    assert files(older) and all("before_day=2024-01-11" in f for f in files(older))
+    forward = lake.read_days(spark, tables["silver"], "2024-01-11", "2024-01-12")
+    assert {f.split("/day=")[1][:2] for f in files(forward)} == {"11", "12"}
 
 def test_stages_are_recorded(spark, tables):
     recorded = {r.stage: r for r in spark.read.parquet(tables["run_metrics"]).collect()}
@@ -72,8 +148,10 @@ def test_ingest_gate(spark, tmp_path):
     body = lambda n: json.dumps({"time": 1, "states": [vector] * n})
     raw = lambda n: spark.createDataFrame([(body(n), datetime(2024, 1, 1))], "value string, run_time timestamp")
     jobs.ingest(spark, raw(100), str(tmp_path / "b"), "ok")
+    before = spark.read.json(str(tmp_path / "b")).count()
     with pytest.raises(quality.QualityError, match="99 states"):
         jobs.ingest(spark, raw(99), str(tmp_path / "b"), "few")
+    assert spark.read.json(str(tmp_path / "b")).count() == before
 
 
 def test_a_range_of_days_equals_the_whole(spark, tables, tmp_path):
@@ -108,6 +186,11 @@ def test_materialise_goes_on_after_a_failure(spark, tables, tmp_path):
     assert set(record["metrics"]) == {"flight_state_features", "airport_congestion_features"}
     assert "no route_features files" in record["artifacts"]["route_features_error"]
     assert spark.read.parquet(str(tmp_path / "m" / "flight_state_features")).count() == record["metrics"]["flight_state_features"]
+    assert spark.read.parquet(str(tmp_path / "rm")).first().status == "partial" == record["status"]
+    keys = record["metrics"]["flight_state_features"]
+    quiet = jobs.materialise_job(spark, sources, str(tmp_path / "m"), "2030-01-01", "2030-02-01", "r")
+    assert quiet["metrics"]["flight_state_features"] == keys
+    assert jobs.materialise_job(spark, {views.ROUTE_VIEW.name: "none"}, str(tmp_path / "m"), "2024-01-01", "2024-02-01", "r")["status"] == "failed"
 
 
 def test_retrain_and_decide(spark, tables, tmp_path):
@@ -123,7 +206,7 @@ def test_retrain_and_decide(spark, tables, tmp_path):
 
 
 def test_retrain_congestion(spark, tables, tmp_path):
-    table = spark.read.parquet(tables["congestion"])
+    table = congestion.read_scored(spark, tables["congestion"])
     record, holdout = retrain.train(
         spark, retrain.CONGESTION, table, str(tmp_path / "c"), "r", params={"maxIter": 3, "maxDepth": 3}
     )
@@ -131,6 +214,18 @@ def test_retrain_congestion(spark, tables, tmp_path):
     assert retrain.decide(retrain.CONGESTION, holdout, str(tmp_path / "c")).first().promote
 
 
+def test_only_the_training_part_is_bounded(spark, tables):
+    table = spark.read.parquet(tables["labels"])
+    small = dataclasses.replace(retrain.DELAY, max_rows=120)
+    whole, bounded = (lake.staged(retrain.prepare(t, table), "p") for t in (retrain.DELAY, small))
+    assert bounded.filter("not is_test").count() == 120
+    assert rows(bounded.filter("is_test")) == rows(whole.filter("is_test"))
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
 def test_tune(spark, tables):
     parts = retrain.prepare(retrain.DELAY, spark.read.parquet(tables["labels"]))
     algorithm, params, scores = retrain.tune(retrain.DELAY, parts, n_trials=1, effort=0.01)

@@ -162,7 +162,7 @@ def test_lof_equals_brute_force(spark, normal, metric, distance):
 
 def test_lof_against_a_sample(spark, normal):
     df = normal.select("id", F.array(*FEATURES).alias("x"))
-    out = neighbours.local_outlier_factor(df, ["id"], "x", reference_rows=300)
+    out = neighbours.local_outlier_factor(df, ["id"], "x", reference=df.filter("id % 2 = 0"))
     assert out.count() == 1000 and out.orderBy(F.desc("lof")).first().id == 0
 
 
@@ -172,15 +172,30 @@ def test_lof_with_many_copies(spark):
     assert [r.lof for r in out] == pytest.approx([1.0])
 
 
-def test_lof_refuses(spark, normal, monkeypatch):
+def test_lof_refuses(spark, normal):
     df = normal.select("id", F.array(*FEATURES).alias("x"))
     with pytest.raises(ValueError, match="metric"):
         neighbours.local_outlier_factor(df, ["id"], "x", metric="cosine")
     with pytest.raises(ValueError, match="neighbours"):
-        neighbours.local_outlier_factor(df, ["id"], "x", k=20, reference_rows=20)
-    monkeypatch.setattr(neighbours, "MAX_REFERENCE_BYTES", 100)
-    with pytest.raises(ValueError, match="broadcast"):
-        neighbours.local_outlier_factor(df, ["id"], "x")
+        neighbours.local_outlier_factor(df, ["id"], "x", k=20, reference=df.limit(20))
+
+
+def test_equal_distances_go_to_the_smaller_ids(spark, monkeypatch):
+    """More rows at one distance than any shortlist holds, over several blocks."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    ring = spark.range(1, 101).select("id", F.array(F.cos(F.col("id") * 0), F.lit(0.0)).alias("x"))
+    base = neighbours.staged(ring.unionByName(spark.range(200, 201).select("id", F.array(F.lit(9.0), F.lit(0.0)).alias("x"))), "p")
+    row = neighbours.staged(spark.range(500, 501).select("id", F.array(F.lit(0.0), F.lit(0.0)).alias("x")), "r")
+    found = neighbours.neighbours(row, base, 5, "euclidean").collect()
+    assert sorted(r.other for r in found) == [1, 2, 3, 4, 5] and {r.away for r in found} == {1.0}
+
+
+def test_blocks_change_nothing(spark, normal, monkeypatch):
+    df = normal.limit(150).select("id", F.array(*FEATURES).alias("x"))
+    whole = neighbours.local_outlier_factor(df, ["id"], "x", k=5).orderBy("id").collect()
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
+    parts = neighbours.local_outlier_factor(df, ["id"], "x", k=5).orderBy("id").collect()
+    assert [r.lof for r in parts] == pytest.approx([r.lof for r in whole])
 
 
 def test_detector_search_honours_its_arguments(spark, normal):

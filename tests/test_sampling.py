@@ -3,6 +3,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from skyloom.functions.flight import key_hash
 from skyloom.operators import sampling
 
 
@@ -51,6 +52,28 @@ def test_folds(spark):
     assert [sampling.fold_count(n) for n in (0, 1, 2, 3, 99)] == [2, 2, 2, 3, 3]
 
 
+def test_stratified_folds_differ_by_a_row_at_most(spark):
+    df = table(spark).withColumn("s", F.when(F.col("id") % 7 > 0, F.col("id") % 3))
+    out = sampling.folds(df, ["id"], 4, stratify="s")
+    sizes = {}
+    for r in out.groupBy("s", "fold").count().collect():
+        sizes.setdefault(r.s, []).append(r["count"])
+    assert out.count() == df.count() and out.columns == [*df.columns, "fold"]
+    assert all(len(n) == 4 and max(n) - min(n) <= 1 for n in sizes.values()) and len(sizes) == 4
+
+
+def test_different_keys_hash_differently(spark):
+    keys = [("a", None), (None, "a"), ("a|b", "c"), ("a", "b|c"), (None, None), ("", ""), ("~", None), (None, "~"), ("1:a", "")]
+    df = spark.createDataFrame(keys, "a string, b string").withColumn("h", key_hash(["a", "b"], 1))
+    assert df.select("h").distinct().count() == len(keys)
+    assert sampling.hash_sample(df.drop("h"), ["a", "b"], 4).count() == 4
+
+
+def test_null_labels_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "a")], "id int, y string")
+    assert [r.weight for r in sampling.balanced_weights(df, "y").collect()] == [1.0] * 4
+
+
 def test_standardise(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 2.0, 5.0), (3, 6.0, 5.0)], "i int, x double, c double")
     out = sampling.standardise(df, ["x", "c"]).orderBy("i").collect()

@@ -101,11 +101,14 @@ def test_dedup_drops_copies_across_batches_and_counts_late_rows(spark, tmp_path)
     for batch in batches[1:]:
         frame(batch).write.mode("append").parquet(path)
     once = ingest.dedup_stream(stream(spark, path))
+    counts = ingest.StreamCounts(spark)
     query = ingest.write_stream(once, str(tmp_path / "o"), str(tmp_path / "c"))
     query.awaitTermination()
     kept = sorted((r.aircraft_id, r.t) for r in spark.read.parquet(str(tmp_path / "o")).collect())
     assert kept == [("a", 10), ("a", 50), ("a", 2 * day), ("a", 2 * day + 1), ("b", 10)]
-    assert ingest.late_rows(query) == 1
+    run = counts.settled(query)
+    assert counts.late[run] == 1 and counts.rows[run] == 9 and counts.batches[run] >= 4
+    counts.close()
 
 
 def test_merging_batches_in_any_order_equals_batch(spark, tmp_path):
@@ -122,6 +125,18 @@ def test_merging_batches_in_any_order_equals_batch(spark, tmp_path):
     assert rows(got.select(*want.columns)) == rows(want)
 
 
+def test_an_older_contact_in_a_later_batch_does_not_replace_a_newer(spark, tmp_path):
+    source = telemetry.bronze(spark, SF_DIR)
+    newer = source.withColumn(
+        "states", F.transform("states", lambda s: s.withField("last_contact", s["last_contact"] + 60).withField("squawk", F.lit("new")))
+    )
+    merge = ingest.SilverMerge(str(tmp_path / "silver"))
+    merge(newer, 0)
+    merge(source, 1)
+    got = spark.read.parquet(merge.path)
+    assert got.count() == telemetry.silver(spark, SF_DIR).count() == got.filter("squawk = 'new'").count()
+
+
 def test_latest_table_over_batches(spark, parts, tmp_path):
     view = views.FeatureView("v", "aircraft_id", 60, {"velocity": "float"})
     table = LatestTable(view, str(tmp_path / "t"))
