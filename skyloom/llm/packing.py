@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import numbered, query, table
-from skyloom.llm.tokenizing import Encoder
+from skyloom.llm.tokenizing import encoder
 from skyloom.sources.lake import staged
 
 LENGTH = 4096
@@ -253,10 +253,10 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """row_id, doc_id, ``n`` and ``ids`` (unsigned 16 or 32 bits) of every row, stored."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
-        kind = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        own = encoder(path)
+        kind = "<u2" if own.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for batch in batches:
-            ids = [np.append(encoder.encode(t), end_id).astype(kind) for t in batch["text"]]
+            ids = [np.append(own.encode(t), end_id).astype(kind) for t in batch["text"]]
             out = batch[["row_id", "doc_id"]].assign(n=[len(x) for x in ids], width=np.dtype(kind).itemsize)
             yield out.assign(ids=[x.tobytes() for x in ids])
 

@@ -10,7 +10,7 @@ from array import array
 import numpy as np
 import regex
 
-CACHED = 400_000
+CACHED = 200_000
 # The pattern and the printable bytes of the tokenizer file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
@@ -26,6 +26,35 @@ def byte_names() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Recent(dict):
+    """Remembers what was used lately: when full, what there is becomes the older half, from
+    which entries used again come back."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
+
+    def turn(self) -> None:
+        if len(self) > self.size:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, key):
+        value = self.older[key]
+        self[key] = value
+        return value
+
+
+def encoder(path: str) -> "Encoder":
+    """The encoder of this Python process, which a worker keeps from task to task."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -33,19 +62,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.names, self.pieces = self.tokenizer.model, byte_names(), regex.compile(PIECES)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_piece, self.of_word = {}, {}
+        self.of_piece, self.of_word = Recent(CACHED), Recent(CACHED)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
-        found = self.of_piece.get(piece)
-        if found is None:
+        try:
+            return self.of_piece[piece]
+        except KeyError:
             plain = piece.isascii() and piece.isalpha()  # these bytes stand for themselves
             named = piece if plain else piece.encode().decode("latin-1").translate(self.names)
             found = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
             self.of_piece[piece] = found
-        return found
+            return found
 
     def word(self, word: str) -> bytes:
         if (word.isascii() or max(word) < PLAIN_END) and not any(s in word for s in self.special):
@@ -71,11 +101,9 @@ class Encoder:
             return np.empty(0, "<u4")
         if SPLITTERS.search(text):  # str.split takes these for white space
             return np.frombuffer(self.whole(text), "<u4")
-        if len(self.of_piece) > CACHED:
-            self.of_piece.clear()
-        if len(self.of_word) > CACHED:
-            self.of_word.clear()
-        words = text.split()
-        if new := [w for w in set(words) if w not in self.of_word]:
+        self.of_piece.turn()
+        self.of_word.turn()
+        words, older = text.split(), self.of_word.older
+        if new := [w for w in set(words) if w not in self.of_word and w not in older]:
             self.learn(new)
         return np.frombuffer(b"".join(map(self.of_word.__getitem__, words)), "<u4")
