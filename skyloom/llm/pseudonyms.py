@@ -62,7 +62,7 @@ def permuted_digits(digits: Column, key: str, kind: str) -> Column:
     width = F.length(digits)
     half = F.floor(width / 2).cast("int")
     rest = width - half
-    left = F.coalesce(F.left(digits, half).cast("bigint"), F.lit(0))
+    left = F.coalesce(F.left(digits, half).try_cast("bigint"), F.lit(0))
     ten = [F.pow(F.lit(10), n).cast("bigint") for n in (half, rest)]
     out = permuted(left, F.right(digits, rest), tuple(ten), key, F.concat(F.lit(kind), width.cast("string")))
     return F.concat(padded(out["l"], half), padded(out["r"], rest))
