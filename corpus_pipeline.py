@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import decontaminate, languages, packing, secrets, simhash
+from skyloom.llm.common import for_texts
 from skyloom.sources.lake import staged
 
 
@@ -43,11 +44,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("language", identify_language),
-    ("near_duplicates", drop_near_duplicates),
-    ("decontaminate", drop_contaminated),
-    ("secrets", redact_secrets),
-    ("packing", pack_sequences),
+    ("language", for_texts(identify_language)),
+    ("near_duplicates", for_texts(drop_near_duplicates)),
+    ("decontaminate", for_texts(drop_contaminated)),
+    ("secrets", for_texts(redact_secrets)),
+    ("packing", for_texts(pack_sequences)),
 ]
 #: Two stages learn models, which SQL cannot; tests/llm holds run() against a plain version.
 ORACLE_SQL = None

@@ -1,5 +1,6 @@
 """What the operators share: tables, row numbers, word hashes, chunks of bounded size."""
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,13 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES = {}
+BATCH_ROWS = 1_000
 CHUNK_WORDS = 250_000
 CACHED_WORDS = 250_000
 
 
+def for_texts(fn):
+    """Decorates ``fn(spark, ...)``: texts are long, so the session's Arrow batches are made
+    smaller, lest a batch of them fill a worker."""
+
+    @functools.wraps(fn)
+    def wrapped(spark, *args):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return fn(spark, *args)
+
+    return wrapped
+
+
 def query(fn):
     """Register ``fn(spark, sf_dir)`` under its name."""
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = for_texts(fn)
     return fn
 
 

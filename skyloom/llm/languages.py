@@ -175,7 +175,8 @@ def identify(docs: DataFrame, learn: Column, rows_per_language: int = ROWS_PER_L
                 flush(rows, found)
             yield pd.DataFrame(out, columns=new)
 
-    found = docs.withColumn("_language", task("text"))
+    # Nondeterministic only to the optimiser: a filter on the result must not run it twice.
+    found = docs.withColumn("_language", task.asNondeterministic()("text"))
     return found.select(*docs.columns, *(F.col(f"_language.{c}").alias(c) for c in new))
 
 

@@ -282,7 +282,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, sample_row
             else:
                 yield pd.Series([], dtype=float)
 
-    out = docs.withColumn("score", score("text"))
+    # Nondeterministic only to the optimiser: its uses must not run it again.
+    out = docs.withColumn("score", score.asNondeterministic()("text"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
