@@ -53,7 +53,8 @@ def learnt(docs: DataFrame, learn: Column, rows_per_language: int) -> tuple[list
                     for word, times in letter_words(text).items():
                         for gram in grams(word):
                             found[gram] += times
-                yield pd.DataFrame({"lang": lang, "gram": list(found), "n": list(found.values())})
+                if found:
+                    yield pd.DataFrame({"lang": lang, "gram": list(found), "n": list(found.values())})
 
     sample = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(ids), "doc_id", "left_semi")
     counts = sample.select("lang", "text").mapInPandas(count, "lang string, gram string, n long")

@@ -224,7 +224,9 @@ def learnt_stems(sample: DataFrame) -> dict[str, float]:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found[toxic].update(prefixes(text))
             keys = list(found[0].keys() | found[1].keys())
-            yield pd.DataFrame({"stem": keys, "bad": [found[1][k] for k in keys], "good": [found[0][k] for k in keys]})
+            if keys:
+                bad, good = ([found[toxic][k] for k in keys] for toxic in (1, 0))
+                yield pd.DataFrame({"stem": keys, "bad": bad, "good": good})
 
     groups = sample.mapInPandas(keyed, "text string, toxic int, key long").groupBy("key")
     single = staged(groups.agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic")), "single")
