@@ -18,7 +18,8 @@ HEADLINE = [
     "dq_bronze", "dq_null_ratio", "materialize_all", "asof_join", "delay_labels",
     "nearest_congestion", "hash_sample", "split_stratified", "standardize", "metric_auc",
     "metric_regression", "drift_psi", "gate", "lof", "anomaly_scores", "delay_scores",
-    "stream_congestion", "stream_tracks",
+    "stream_congestion", "stream_tracks", "stream_merge_batches", "silver_write_readback",
+    "flight_features_range", "congestion_job_range", "materialize_upsert",
 ]
 RUNS = 3
 
