@@ -1,12 +1,16 @@
-"""Embedding near-duplicates through a pivot-permutation index (after Amato and Savino, 2008).
+"""Embedding near-duplicates through an index of reference points.
 
-A vector is described by its nearest reference points in order. Each of these keeps a list of
-the vectors near it; vectors that meet in a list and share enough reference points are compared
-by cosine in double precision. The pair counts in the list of its first shared reference point
-only. Reference points come from a bounded sample; every distinct vector is indexed, and lists
-of any length are compared in blocks that return counts and a spanning forest, not pairs.
+Reference points are chosen far apart in a bounded sample. A vector lives in the list of its
+nearest point and visits the list of a lesser point unless distance bounds show that no vector
+living there can link with it: the angles to reference points of two linked vectors differ by
+at most the link angle (ranges of angles are measured for every list, as in Brin, 1995), and a
+vector farther than that from the border between two points has no link beyond it. Bounds are
+necessary conditions, so no link is lost and each is found in one list only. Lists of any length
+are compared by cosine in double precision, in blocks that return counts and a spanning forest,
+not pairs. Where the vectors have no groups the bounds exclude little and every pair is compared.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +20,17 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.common import local, query, table
 from skyloom.llm.components import components
-from skyloom.llm.simhash import block_pairs, forest
+from skyloom.llm.simhash import forest
 from skyloom.sources.lake import staged
 
 COSINE = 0.95
-NEAREST = 6
-SHARED = 2
 FEWEST, MOST = 32, 1024
+SAMPLE = 16_384
+RANGES = 32
 BLOCK = 2048
 ROWS = 256
+SENT = 16_384
+SLACK = 1e-6
 
 
 def usable(vector):
@@ -55,67 +61,139 @@ def widened(blobs: pd.Series, kind: str) -> pd.Series:
     return blobs if kind == "f8" else pd.Series([np.frombuffer(b, "f4").astype("f8").tobytes() for b in blobs])
 
 
-def links_of(vectors: DataFrame, dim: int, kind: str, cosine: float, nearest: int, shared: int) -> DataFrame:
+def far_apart(x: np.ndarray, points: int) -> np.ndarray:
+    """Up to ``points`` different rows, each the farthest from those before it."""
+    chosen = [0]
+    closest = x @ x[0]
+    while len(chosen) < points:
+        at = int(np.argmin(closest))
+        if closest[at] >= 1 - 1e-12:
+            break
+        chosen.append(at)
+        closest = np.maximum(closest, x @ x[at])
+    return x[chosen]
+
+
+def angles_to(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ pivots.T, -1, 1))
+
+
+def angle_ranges(vectors: DataFrame, pivots: np.ndarray, kind: str) -> np.ndarray:
+    """(2, points, ranges + 1): least and greatest angle of the vectors of each list to the first
+    reference points and, last, to the list's own. A vector as near to two points counts in both."""
+    points, dim = pivots.shape
+    ranges = min(RANGES, points)
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        low, high = np.full((points, ranges + 1), np.inf), np.full((points, ranges + 1), -np.inf)
+        for batch in batches:
+            angle = angles_to(unit(widened(batch["vector"], kind), dim), pivots)
+            near = angle <= angle.min(axis=1, keepdims=True) + SLACK
+            for p in np.flatnonzero(near.any(axis=0)):
+                mine = angle[near[:, p]]
+                mine = np.column_stack([mine[:, :ranges], mine[:, p]])
+                low[p], high[p] = np.minimum(low[p], mine.min(axis=0)), np.maximum(high[p], mine.max(axis=0))
+        p, k = np.nonzero(low <= high)
+        yield pd.DataFrame({"p": p.astype("i4"), "k": k.astype("i4"), "low": low[p, k], "high": high[p, k]})
+
+    found = vectors.select("vector").mapInPandas(task, "p int, k int, low double, high double")
+    found = local(found.groupBy("p", "k").agg(F.min("low").alias("low"), F.max("high").alias("high")))
+    out = np.stack([np.full((points, ranges + 1), np.inf), np.full((points, ranges + 1), -np.inf)])
+    out[0, found["p"], found["k"]], out[1, found["p"], found["k"]] = found["low"], found["high"]
+    return out
+
+
+def list_pairs(rows: DataFrame) -> DataFrame:
+    """Rows (vid, point, lives, others) dealt into blocks of about BLOCK: (``point``, ``i``, ``j``)
+    is a block of vectors that live in the list with another such block or one of visitors;
+    ``side`` is the row's block."""
+    sizes = rows.groupBy("point").agg(
+        F.ceil(F.count_if("lives") / BLOCK).cast("int").alias("living"),
+        F.ceil(F.count_if(~F.col("lives")) / BLOCK).cast("int").alias("visiting"),
+    )
+    # One row for each reference point.
+    dealt = rows.join(F.broadcast(sizes.filter("living > 0")), "point")
+    hashed = F.xxhash64("vid")
+    side = F.when(F.col("lives"), F.pmod(hashed, F.col("living"))).otherwise(
+        F.col("living") + F.pmod(hashed, F.col("visiting"))
+    )
+    others = F.when(F.col("lives"), F.col("living") + F.col("visiting")).otherwise(F.col("living"))
+    pair = F.explode(
+        F.transform(
+            F.sequence(F.lit(0), others - 1),
+            lambda o: F.struct(F.least("side", o).alias("i"), F.greatest("side", o).alias("j")),
+        )
+    )
+    dealt = dealt.withColumn("side", side.cast("int")).withColumn("pair", pair)
+    return dealt.select(*rows.columns, "side", "pair.i", "pair.j")
+
+
+def links_of(vectors: DataFrame, dim: int, kind: str, cosine: float) -> DataFrame:
     """(vid, root, n): from each block, the linked rows a vector has there and the first member
     of its tree. ``vectors``: stored (vid, vector, many), all of ``dim`` components."""
     total = vectors.count()
-    points = int(min(MOST, max(FEWEST, np.sqrt(total)), total))
-    sample = local(vectors.orderBy(F.xxhash64("vid"), "vid").limit(points))
-    pivots = unit(widened(sample["vector"], kind), dim)
-    nearest = min(nearest, points)
-    shared = min(shared, nearest)
-    words = (points + 63) // 64
+    points = int(min(MOST, max(FEWEST, total / BLOCK), total))
+    sample = local(vectors.select("vid", "vector").orderBy(F.xxhash64("vid"), "vid").limit(SAMPLE))
+    pivots = far_apart(unit(widened(sample["vector"], kind), dim), points)
+    low, high = angle_ranges(vectors, pivots, kind)
+    reach = math.acos(cosine)
+    low, high = low - reach - SLACK, high + reach + SLACK
+    apart = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
+    border = math.sin(min(reach, math.pi / 2)) * apart + SLACK
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = unit(widened(batch["vector"], kind), dim)
-            order = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :nearest]
-            for rank in range(nearest):
-                yield batch.assign(near=[row.astype("<i4").tobytes() for row in order], point=order[:, rank])
+            near, angle = x @ pivots.T, angles_to(x, pivots)
+            home = angle.argmin(axis=1)
+            visits = np.arange(len(pivots)) < home[:, None]
+            visits &= near[np.arange(len(x)), home][:, None] - near <= border[home]
+            visits &= (angle >= low[:, -1]) & (angle <= high[:, -1])
+            for k in range(low.shape[1] - 1):
+                visits &= (angle[:, k, None] >= low[:, k]) & (angle[:, k, None] <= high[:, k])
+            visits[np.arange(len(x)), home] = True
+            row, point = np.nonzero(visits)
+            for at in range(0, len(row), SENT):
+                r, p = row[at : at + SENT], point[at : at + SENT]
+                yield batch.iloc[r].assign(point=p, lives=home[r] == p)
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        point, i, j = (int(k) for k in key)
-        n = len(pdf)
-        x = unit(widened(pdf["vector"], kind), dim)
-        near = np.frombuffer(b"".join(pdf["near"]), "<i4").reshape(n, nearest)
-        bits = np.zeros((n, words), np.uint64)
-        for rank in range(nearest):
-            bits[np.arange(n), near[:, rank] >> 6] |= np.uint64(1) << (near[:, rank] & 63).astype(np.uint64)
-        mine, many = pdf["mine"].to_numpy(), pdf["many"].to_numpy()
-        # Shared reference points before this one: the pair counts in their lists.
-        below = bits.copy()
-        below[:, point >> 6] &= (np.uint64(1) << np.uint64(point & 63)) - np.uint64(1)
-        below[:, (point >> 6) + 1 :] = 0
+        _, i, j = (int(k) for k in key)
+        pdf = pdf.sort_values("side", kind="stable")
+        n, x = len(pdf), unit(widened(pdf["vector"], kind), dim)
+        many = pdf["many"].to_numpy(np.float64)  # sums stay exact below 2^53
+        cut = int((pdf["side"] == i).sum())
+        start = 0 if i == j else cut
         linked = np.zeros((n, n), bool)
-        counts = np.zeros(n, np.int64)
-        for at in range(0, n, ROWS):
-            rows = slice(at, at + ROWS)
-            common = np.zeros((len(x[rows]), n), np.uint8)
-            for w in range(words):
-                common += np.bitwise_count(bits[rows, w, None] & bits[None, :, w])
-            hit = (common >= shared) & (x[rows] @ x.T >= cosine - 1e-12)
-            a, b = np.nonzero(hit)
-            sure = np.einsum("ij,ij->i", x[a + at], x[b]) >= cosine
-            a, b = a[sure], b[sure]
-            linked[a + at, b] = True
-            first = ~(below[a + at] & below[b]).any(axis=1) & (a + at != b)
+        counts = np.zeros(n)
+        for at in range(0, cut, ROWS):
+            rows = slice(at, min(at + ROWS, cut))
+            near = x[rows] @ x[start:].T
+            hit = near >= cosine
+            a, b = np.nonzero(np.abs(near - cosine) <= 1e-12)
+            hit[a, b] = np.einsum("ij,ij->i", x[a + at], x[b + start]) >= cosine
+            if i == j:
+                hit[np.arange(len(hit)), np.arange(at, at + len(hit))] = False
+            if not hit.any():
+                continue
+            linked[rows, start:] = hit
+            counts[rows] += hit @ many[start:]
             if i != j:
-                first &= mine[a + at] != mine[b]
-            np.add.at(counts, a[first] + at, many[b[first]])
+                counts[start:] += many[rows] @ hit
+        if i != j:
+            linked |= linked.T
         linked[np.arange(n), np.arange(n)] = True
         members, roots = forest(linked)
         ids = pdf["vid"].to_numpy()
-        return pd.DataFrame({"vid": ids[members], "root": ids[roots], "n": counts[members]})
+        return pd.DataFrame({"vid": ids[members], "root": ids[roots], "n": counts[members].astype(np.int64)})
 
-    schema = "vid long, many long, vector binary, near binary, point int"
+    schema = "vid long, many long, vector binary, point int, lives boolean"
     listed = vectors.select("vid", "many", "vector").mapInPandas(index, schema)
-    dealt = block_pairs(staged(listed, "lists"), "point", "vid", BLOCK)
+    dealt = list_pairs(staged(listed, "lists"))
     return dealt.groupBy("point", "i", "j").applyInPandas(compare, "vid long, root long, n long")
 
 
-def linked_vectors(
-    df: DataFrame, vector: str = "embedding", cosine: float = COSINE, nearest: int = NEAREST, shared: int = SHARED
-) -> DataFrame:
+def linked_vectors(df: DataFrame, vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``df`` (vec_id,
     ``vector``, others).
 
@@ -135,7 +213,7 @@ def linked_vectors(
     found = None
     for (dim,) in distinct.select(F.size("vector")).distinct().collect():
         vectors = staged(packed(distinct.filter(F.size("vector") == dim), kind), "packed")
-        one = links_of(vectors, dim, kind, cosine, nearest, shared)
+        one = links_of(vectors, dim, kind, cosine)
         found = one if found is None else found.unionByName(one)
     single = F.col("vec_id")
     if found is None:

@@ -77,3 +77,17 @@ def test_recall(spark):
     b = 0.951 * a + np.sqrt(1 - 0.951**2) * side
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([a, b]))]
     assert sum(n for _, n, _ in found(spark, rows, "double")) >= 0.97 * 800
+
+
+def test_no_link_is_lost_in_a_dense_group(spark):
+    """A third of 20,000 vectors around one centre, with many pairs near the limit."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 64))
+    x[:6_600] = x[0] / np.linalg.norm(x[0]) * 8 + rng.normal(size=(6_600, 64)) * 0.2
+    x[:6_600] *= rng.uniform(0.5, 2, (6_600, 1))
+    x = x.astype(np.float32).astype(float)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(u[at : at + 1000] @ u.T >= 0.95).sum(axis=1) - 1 for at in range(0, len(u), 1000)])
+    assert want[:6_600].mean() > 500
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    assert [n for _, n, _ in found(spark, rows)] == want.tolist()
