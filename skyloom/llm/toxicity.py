@@ -105,6 +105,7 @@ def grammar() -> Transducer:
     return near.then(marking(REPORT, "r", 1 << 10))
 
 
+BACKWARDS = marking(TARGET, "t", REACH)
 FLAGS = ["", "n", "r", "t", "nr", "nt", "rt", "nrt"]
 MATCHES = {(k, f): i for i, (k, f) in enumerate((k, f) for k in (INSULT, THREAT) for f in FLAGS)}
 
@@ -159,15 +160,17 @@ def matches(text: str | None, lexicon: Lexicon, machine: Transducer) -> np.ndarr
             continue
         state, seen = machine.start, set()
         # A target after the insult counts as one before it: the clause is read both ways.
-        after = TARGET in classes
-        for word, symbol in zip(words, classes):
+        back, after = BACKWARDS.start, []
+        for symbol in reversed(classes):
+            back, out = BACKWARDS.step(back, symbol)
+            after.append(isinstance(out, tuple))
+        for word, symbol, targeted in zip(words, classes, reversed(after)):
             if symbol in (INSULT, THREAT):
                 counts[-1] += lexicon.weights[word]
             state, out = machine.step(state, symbol)
-            if out in (INSULT, THREAT):
-                out = (out, "t" if after and REACH >= len(classes) else "")
-            if isinstance(out, tuple):
-                seen.add(MATCHES[out])
+            if symbol in (INSULT, THREAT):
+                kind, flags = out if isinstance(out, tuple) else (out, "")
+                seen.add(MATCHES[kind, "".join(sorted({*flags, *("t" if targeted else "")}))])
         counts[list(seen)] += 1
     return counts
 

@@ -21,6 +21,13 @@ def test_grammar_marks_target_negation_and_report():
     assert kinds("a fine day") == kinds(None) == kinds("") == set()
 
 
+def test_target_after_the_insult_in_a_long_clause():
+    assert kinds("what an idiot you are today") == {(toxicity.INSULT, "t")}
+    assert kinds("what an idiot of the worst you ever saw") == {(toxicity.INSULT, "t")}
+    assert kinds("what an idiot of the very worst you ever saw") == {(toxicity.INSULT, "")}
+    assert kinds("never call that idiot you met a friend") == {(toxicity.INSULT, "nt")}
+
+
 def test_composition_is_both_in_turn():
     one, two = toxicity.marking(toxicity.NEGATION, "n", 3), toxicity.marking(toxicity.TARGET, "t", 3)
     both = one.then(two)
