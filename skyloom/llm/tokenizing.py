@@ -6,6 +6,7 @@ pattern and given to its merge model directly; any other goes through the whole
 """
 
 from array import array
+from operator import attrgetter
 
 import numpy as np
 import regex
@@ -16,6 +17,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
 # From here on characters may combine, fold by context or compose.
 PLAIN_END = "̀"
+# A mark is a piece of its own after letters.
+MARKS = frozenset(".,;:!?)")
+ID = attrgetter("id")
 SPLITTERS = regex.compile("[\x1c-\x1f]")
 
 
@@ -39,11 +43,6 @@ class Recent(dict):
             self.older = dict(self)
             self.clear()
 
-    def __missing__(self, key):
-        value = self.older[key]
-        self[key] = value
-        return value
-
 
 def encoder(path: str) -> "Encoder":
     """The encoder of this Python process, which a worker keeps from task to task."""
@@ -62,20 +61,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.names, self.pieces = self.tokenizer.model, byte_names(), regex.compile(PIECES)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_piece, self.of_word = Recent(CACHED), Recent(CACHED)
+        self.of_piece, self.of_word = {}, Recent(CACHED)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
-        try:
-            return self.of_piece[piece]
-        except KeyError:
-            plain = piece.isascii() and piece.isalpha()  # these bytes stand for themselves
+        found = self.of_piece.get(piece)
+        if found is None:
+            plain = piece.isascii() and piece.isprintable()  # these bytes stand for themselves
             named = piece if plain else piece.encode().decode("latin-1").translate(self.names)
-            found = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
-            self.of_piece[piece] = found
-            return found
+            found = self.of_piece[piece] = array("I", map(ID, self.model.tokenize(named))).tobytes()
+        return found
 
     def word(self, word: str) -> bytes:
         if (word.isascii() or max(word) < PLAIN_END) and not any(s in word for s in self.special):
@@ -83,17 +80,20 @@ class Encoder:
         return self.whole(word)
 
     def learn(self, words: list[str]) -> None:
-        """Remember the ids of new words. Where all are plain they are lowered together, and one
-        of letters only is a single piece."""
+        """Remember the ids of new words. Where all are plain they are lowered together; one of
+        letters only is a single piece, and one of letters and a mark is two."""
         together = "\n".join(words)
         if any(s in together for s in self.special) or not (together.isascii() or max(together) < PLAIN_END):
             self.of_word.update((w, self.word(w)) for w in words)
             return
+        piece, of_word = self.piece, self.of_word
         for word, lowered in zip(words, together.lower().split("\n")):
             if lowered.isalpha():
-                self.of_word[word] = self.piece(lowered)
+                of_word[word] = piece(lowered)
+            elif lowered[-1] in MARKS and (head := lowered[:-1]).isalpha():
+                of_word[word] = piece(head) + piece(lowered[-1])
             else:
-                self.of_word[word] = b"".join(map(self.piece, self.pieces.findall(lowered)))
+                of_word[word] = b"".join(map(piece, self.pieces.findall(lowered)))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the text, without special tokens added."""
@@ -101,9 +101,23 @@ class Encoder:
             return np.empty(0, "<u4")
         if SPLITTERS.search(text):  # str.split takes these for white space
             return np.frombuffer(self.whole(text), "<u4")
-        self.of_piece.turn()
+        if len(self.of_piece) > CACHED:
+            self.of_piece.clear()
         self.of_word.turn()
-        words, older = text.split(), self.of_word.older
-        if new := [w for w in set(words) if w not in self.of_word and w not in older]:
+        words = text.split()
+        found = list(map(self.of_word.get, words))
+        try:
+            return np.frombuffer(b"".join(found), "<u4")
+        except TypeError:  # some are not known
+            missing = [i for i, ids in enumerate(found) if ids is None]
+        older, new = self.of_word.older, []
+        for word in {words[i] for i in missing}:
+            if word in older:
+                self.of_word[word] = older[word]
+            else:
+                new.append(word)
+        if new:
             self.learn(new)
-        return np.frombuffer(b"".join(map(self.of_word.__getitem__, words)), "<u4")
+        for i in missing:
+            found[i] = self.of_word[words[i]]
+        return np.frombuffer(b"".join(found), "<u4")
