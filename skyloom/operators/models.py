@@ -1,7 +1,8 @@
-"""Delay classifier and congestion regressor as MLlib pipelines, and their search."""
+"""Delay classifier and congestion regressor as pipelines, and their search."""
 
 import math
 import random
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -15,24 +16,32 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.functions.flight import clip01
+from skyloom.operators.boosting import BoostedClassifier, BoostedRegressor
 from skyloom.operators.sampling import balanced_weights
 from skyloom.sources.lake import fresh_path, staged
 
 CLASSIFIERS = {
+    "leafwise": partial(BoostedClassifier, growth="leaf"),
+    "levelwise": partial(BoostedClassifier, growth="level"),
+    "symmetric": partial(BoostedClassifier, growth="symmetric"),
     "boosted": GBTClassifier,
     "random_forest": RandomForestClassifier,
     "linear": LogisticRegression,
 }
 REGRESSORS = {
+    "leafwise": partial(BoostedRegressor, growth="leaf"),
+    "levelwise": partial(BoostedRegressor, growth="level"),
+    "symmetric": partial(BoostedRegressor, growth="symmetric"),
     "boosted": GBTRegressor,
     "random_forest": RandomForestRegressor,
     "linear": LinearRegression,
 }
-# Five published families, on the two tree ensembles MLlib has.
+# Five published families. Three grow second-order trees in different ways, one is
+# MLlib's first-order boosting and one its forest.
 FAMILIES = {
-    "lgbm": "boosted",
-    "xgboost": "boosted",
-    "catboost": "boosted",
+    "lgbm": "leafwise",
+    "xgboost": "levelwise",
+    "catboost": "symmetric",
     "random_forest": "random_forest",
     "hgb": "boosted",
 }
@@ -41,23 +50,32 @@ SEARCH_SPACE = {
     "lgbm": {
         "maxIter": (100, 800, "int"),
         "stepSize": (0.01, 0.3, "log"),
+        "maxLeaves": (20, 150, "int"),
         "maxDepth": (3, 12, "int"),
         "minInstancesPerNode": (10, 100, "int"),
         "subsamplingRate": (0.5, 1.0, "real"),
+        "regAlpha": (1e-4, 10.0, "log"),
+        "regLambda": (1e-4, 10.0, "log"),
     },
     "xgboost": {
         "maxIter": (100, 800, "int"),
         "stepSize": (0.01, 0.3, "log"),
         "maxDepth": (3, 10, "int"),
-        "minInstancesPerNode": (1, 20, "int"),
+        "minChildWeight": (1, 20, "int"),
         "subsamplingRate": (0.5, 1.0, "real"),
-        "featureSubsetStrategy": (0.5, 1.0, "share"),
+        "featureRate": (0.5, 1.0, "real"),
+        "minSplitGain": (0.0, 5.0, "real"),
+        "regAlpha": (1e-4, 10.0, "log"),
+        "regLambda": (1e-4, 10.0, "log"),
+        "positiveWeight": (1.0, 10.0, "real"),
     },
     "catboost": {
         "maxIter": (100, 600, "int"),
         "stepSize": (0.01, 0.3, "log"),
         "maxDepth": (3, 10, "int"),
+        "regLambda": (1e-3, 10.0, "log"),
         "maxBins": (32, 255, "int"),
+        "baggingTemperature": (0.0, 1.0, "real"),
     },
     "random_forest": {
         "numTrees": (100, 500, "int"),
@@ -92,8 +110,6 @@ def draw_params(algorithm: str, rng: random.Random, effort: float = 1.0) -> dict
             params[name] = value
         elif scale == "log":
             params[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
-        elif scale == "share":
-            params[name] = str(round(rng.uniform(low, high), 3))
         else:
             params[name] = rng.uniform(low, high)
     return params

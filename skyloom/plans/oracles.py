@@ -773,6 +773,70 @@ LISTED = f"unnest([{', '.join(repr(f) for f in C.DELAY_FEATURES)}]) AS feature"
 oracle("feature_importance", f"SELECT {LISTED}, true AS in_range, true AS sums_to_one")
 oracle("permutation_importance", f"SELECT *, feature IN ('altitude_m', 'speed_ms') AS matters FROM (SELECT {LISTED})")
 
+# ---- boosting
+
+BOOST_CUTS = {"velocity": [10.0, 25.0, 50.0, 100.0], "baro_altitude": [2000.0, 6000.0, 10000.0], "vertical_rate": [-5.0, 0.0, 5.0]}
+UNIT = 1 << 20
+cte(
+    "boost_rows",
+    "SELECT event_id, CAST(coalesce(velocity < 40, false) AS INTEGER) + 0.5::DOUBLE * CAST(coalesce(baro_altitude > 5000, false) AS INTEGER) "
+    "* CAST(coalesce(vertical_rate > 0, false) AS INTEGER) + (event_id % 7)::DOUBLE / 10 AS y, "
+    + ", ".join(
+        f"CASE WHEN {name} IS NULL THEN 0 ELSE 1 + {' + '.join(f'CAST({name} > {c} AS INTEGER)' for c in cuts)} END AS b{j}"
+        for j, (name, cuts) in enumerate(BOOST_CUTS.items())
+    )
+    + " FROM flat",
+    "flat",
+)
+
+
+def boost_sql(growth, steps, depth, rate, l2, gamma, min_rows, rounds=2):
+    """Rounds of trees, each grown in ``steps``: the best leaf, every leaf or a whole level is
+    split. Nodes are numbered 1, 2 and 3, 4 to 7 and so on."""
+    parts = [
+        "base AS (SELECT round(avg(y), 9) AS base, pow(2, ceil(log2(greatest(max(y) - round(avg(y), 9), round(avg(y), 9) - min(y))))) AS unit FROM boost_rows)",
+        "raw0 AS MATERIALIZED (SELECT boost_rows.*, base AS raw, unit FROM boost_rows, base)",
+    ]
+    score = f"({{g}} / {UNIT} * unit) * ({{g}} / {UNIT} * unit) / ({{n}} + {l2})"
+    gain = f"0.5 * ({score.format(g='gl', n='nl')} + {score.format(g='(g - gl)', n='(n - nl)')} - {score.format(g='g', n='n')}) - {gamma}"
+    small = f"nl < {min_rows} OR n - nl < {min_rows} OR nl = 0 OR nl = n"
+    cuts = ", ".join(f"({j}, {c})" for j, cut in enumerate(BOOST_CUTS.values()) for c in range(len(cut) + 1))
+    for t in range(rounds):
+        parts.append(f"n{t}_0 AS MATERIALIZED (SELECT *, 1 AS node, CAST(round_even((raw - y) / unit * {UNIT}, 0) AS BIGINT) AS g FROM raw{t})")
+        for k in range(steps):
+            rows, name = f"n{t}_{k}", f"{t}_{k}"
+            long = " UNION ALL ".join(f"SELECT node, unit, {j} AS f, b{j} AS b, sum(g) AS g, count(*) AS n FROM {rows} GROUP BY ALL" for j in range(3))
+            parts.append(f"h{name} AS MATERIALIZED ({long})")
+            parts.append(
+                f"""c{name} AS (SELECT node, unit, f, c, sum(g) AS g, sum(n) AS n, coalesce(sum(g) FILTER (b <= c), 0) AS gl, coalesce(sum(n) FILTER (b <= c), 0) AS nl
+                FROM h{name} JOIN (VALUES {cuts}) AS t(f, c) USING (f) WHERE node < {1 << depth} GROUP BY ALL)"""
+            )
+            parts.append(f"s{name} AS (SELECT node, f, c, CASE WHEN {small} THEN NULL ELSE {gain} END AS gain FROM c{name})")
+            if growth == "symmetric":
+                best = f"SELECT f, c FROM (SELECT f, c, sum(coalesce(gain, 0)) AS gain FROM s{name} WHERE node >= {1 << k} GROUP BY f, c) WHERE gain > 0 ORDER BY gain DESC, f, c LIMIT 1"
+                best = f"SELECT node, f, c FROM (SELECT DISTINCT node FROM s{name} WHERE node >= {1 << k}), ({best})"
+            else:
+                best = f"SELECT node, f, c, gain FROM s{name} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, c) = 1"
+                if growth == "leaf":
+                    best = f"SELECT * FROM ({best}) ORDER BY gain DESC, node LIMIT 1"
+            parts.append(f"p{name} AS MATERIALIZED ({best})")
+            side = "CASE p.f WHEN 0 THEN r.b0 WHEN 1 THEN r.b1 ELSE r.b2 END"
+            parts.append(
+                f"""n{t}_{k + 1} AS MATERIALIZED (SELECT r.* REPLACE (CASE WHEN p.node IS NULL THEN r.node ELSE 2 * r.node + CAST({side} > p.c AS INTEGER) END AS node)
+                FROM {rows} r LEFT JOIN p{name} p ON p.node = r.node)"""
+            )
+        leaves = f"SELECT node, -(sum(g) / {UNIT} * any_value(unit)) / (count(*) + {l2}) * {rate} AS value FROM n{t}_{steps} GROUP BY node"
+        parts.append(f"raw{t + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node, g) REPLACE (raw + value AS raw) FROM n{t}_{steps} r JOIN ({leaves}) USING (node))")
+    return ",\n".join(parts) + f"\nSELECT event_id, round(raw, 6) + 0.0 AS score FROM raw{rounds}"
+
+
+for name, arguments in (
+    ("boosted_leafwise", ("leaf", 4, 3, 0.5, 0.5, 0.25, 20)),
+    ("boosted_levelwise", ("level", 2, 2, 0.5, 2.0, 0.125, 20)),
+    ("boosted_symmetric", ("symmetric", 2, 2, 0.5, 1.0, 0.0, 1)),
+):
+    ORACLES[name] = with_("", "boost_rows").rstrip() + ",\n" + boost_sql(*arguments)
+
 # ---- streaming
 
 oracle("stream_silver", f"SELECT aircraft_id, event_timestamp, {DATES} FROM silver", "silver")

@@ -10,7 +10,7 @@ from skyloom import constants as C
 from skyloom.functions import flight as fx
 from skyloom.functions.geo import haversine_km
 from skyloom.operators import (
-    anomaly, clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
+    anomaly, boosting, clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
     neighbours, quality, routes, sampling, spatial, trials, views,
 )
 from skyloom.plans import jobs, telemetry
@@ -756,6 +756,44 @@ def congestion_scores(spark, sf):
     return scored.select(*keys, "congestion_score", _between("prediction").alias("in_range"))
 
 
+BOOST_EDGES = [[10.0, 25.0, 50.0, 100.0], [2000.0, 6000.0, 10000.0], [-5.0, 0.0, 5.0]]
+BOOST_SETTINGS = {
+    "leaf": boosting.Settings("squared", "leaf", rounds=2, rate=0.5, depth=3, leaves=5, min_rows=20, l2=0.5, gamma=0.25),
+    "level": boosting.Settings("squared", "level", rounds=2, rate=0.5, depth=2, min_rows=20, l2=2.0, gamma=0.125),
+    "symmetric": boosting.Settings("squared", "symmetric", rounds=2, rate=0.5, depth=2, l2=1.0),
+}
+
+
+def _boost_rows(spark, sf):
+    """Events with three inputs, some missing, and a target that leans on them."""
+    rows = telemetry.flat_states(telemetry.states(spark, sf))
+    slow, high, climbs = (F.coalesce(c, F.lit(False)).cast("int") for c in (F.col("velocity") < 40, F.col("baro_altitude") > 5000, F.col("vertical_rate") > 0))
+    y = slow + 0.5 * high * climbs + (F.col("event_id") % 7) / 10
+    return rows.select("event_id", F.array("velocity", "baro_altitude", "vertical_rate").alias("x"), y.alias("y"), F.lit(1.0).alias("w"), F.col("event_id").alias("k"))
+
+
+def _boosted(spark, sf, growth):
+    rows = _boost_rows(spark, sf)
+    model = boosting.fit(rows, BOOST_SETTINGS[growth], BOOST_EDGES)
+    return boosting.raw_scores(rows, model, "x", "raw").select("event_id", F.col("raw").alias("score"))
+
+
+@query
+def boosted_leafwise(spark, sf):
+    """Best-first second-order trees, fitted to all events and scoring them."""
+    return _boosted(spark, sf, "leaf")
+
+
+@query
+def boosted_levelwise(spark, sf):
+    return _boosted(spark, sf, "level")
+
+
+@query
+def boosted_symmetric(spark, sf):
+    return _boosted(spark, sf, "symmetric")
+
+
 def _anomaly_frame(spark, sf):
     frame = labels.training_frame(
         _rounded(flights.flight_features(_silver(spark, sf))), C.ANOMALY_FEATURES, keep=KEYS

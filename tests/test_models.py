@@ -19,7 +19,8 @@ def delay(spark):
     return spark.createDataFrame(df.toPandas())
 
 
-SMALL = {"boosted": {"maxIter": 3, "maxDepth": 3}, "random_forest": {"numTrees": 3, "maxDepth": 4}}
+SMALL = {name: {"maxIter": 3, "maxDepth": 3} for name in models.FAMILIES.values()}
+SMALL["random_forest"] = {"numTrees": 3, "maxDepth": 4}
 
 
 @pytest.mark.parametrize("algorithm", list(models.FAMILIES))
