@@ -773,6 +773,42 @@ LISTED = f"unnest([{', '.join(repr(f) for f in C.DELAY_FEATURES)}]) AS feature"
 oracle("feature_importance", f"SELECT {LISTED}, true AS in_range, true AS sums_to_one")
 oracle("permutation_importance", f"SELECT *, feature IN ('altitude_m', 'speed_ms') AS matters FROM (SELECT {LISTED})")
 
+# ---- attributions, from the definition: all subsets of the inputs
+
+EXPLAINED = ["velocity", "baro_altitude", "vertical_rate"]
+EXPLAINED_TREES = [
+    (([0, 1, 0, -1, -1, -1, -1], [50.0, 6000.0, 90.0, 0, 0, 0, 0], [1, 3, 5, 0, 0, 0, 0], [2, 4, 6, 0, 0, 0, 0], [0, 0, 0, 1.0, -0.5, 0.25, 2.0], [100, 60, 40, 20, 40, 10, 30])),
+    (([2, -1, 0, -1, 1, -1, -1], [0.0, 0, 25.0, 0, 9000.0, 0, 0], [1, 0, 3, 0, 5, 0, 0], [2, 0, 4, 0, 6, 0, 0], [0, -1.0, 0, 0.5, 0, 3.0, -2.0], [64, 32, 32, 8, 24, 18, 6])),
+]
+
+
+def _game(tree, known, node=0):
+    feature, threshold, left, right, value, cover = tree
+    if feature[node] < 0:
+        return f"{value[node]}::DOUBLE"
+    a, b = _game(tree, known, left[node]), _game(tree, known, right[node])
+    if feature[node] in known:
+        return f"(CASE WHEN {EXPLAINED[feature[node]]} > {threshold[node]} THEN {b} ELSE {a} END)"
+    return f"({a} * {cover[left[node]]} + {b} * {cover[right[node]]}) / {cover[node]}"
+
+
+def _phi(f):
+    terms = []
+    others = [g for g in range(3) if g != f]
+    for known, weight in ((set(), "1.0 / 3"), ({others[0]}, "1.0 / 6"), ({others[1]}, "1.0 / 6"), (set(others), "1.0 / 3")):
+        terms += [f"({_game(t, known | {f})} - {_game(t, known)}) * {weight}" for t in EXPLAINED_TREES]
+    return " + ".join(terms)
+
+
+NOTHING_KNOWN = " + ".join(_game(t, set()) for t in EXPLAINED_TREES)
+cte("explained", "SELECT event_id, " + ", ".join(f"{_phi(i)} AS {f}" for i, f in enumerate(EXPLAINED)) + f", 0.125::DOUBLE + {NOTHING_KNOWN} AS base FROM flat", "flat")
+oracle("tree_contributions", f"SELECT event_id, {r(*EXPLAINED, 'base')} FROM explained", "explained")
+oracle(
+    "tree_feature_rank",
+    "SELECT feature, round(avg(abs(v)), 6) + 0.0 AS mean_abs FROM (UNPIVOT explained ON velocity, baro_altitude, vertical_rate INTO NAME feature VALUE v) GROUP BY feature ORDER BY avg(abs(v)) DESC LIMIT 2",
+    "explained",
+)
+
 # ---- boosting
 
 BOOST_CUTS = {"velocity": [10.0, 25.0, 50.0, 100.0], "baro_altitude": [2000.0, 6000.0, 10000.0], "vertical_rate": [-5.0, 0.0, 5.0]}

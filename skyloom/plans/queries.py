@@ -10,7 +10,7 @@ from skyloom import constants as C
 from skyloom.functions import flight as fx
 from skyloom.functions.geo import haversine_km
 from skyloom.operators import (
-    anomaly, boosting, clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
+    anomaly, attributions, boosting, clean, congestion, drift, flights, gates, importance, isolation, labels, metrics, models,
     neighbours, quality, routes, sampling, spatial, trials, views,
 )
 from skyloom.plans import jobs, telemetry
@@ -687,6 +687,31 @@ def feature_rank(spark, sf):
     return trials.top_features(ranked, 2)
 
 
+#: Two small trees over velocity, baro_altitude and vertical_rate: feature, threshold, left, right,
+#: value, cover. The first tests velocity twice on one path.
+EXPLAINED = ["velocity", "baro_altitude", "vertical_rate"]
+EXPLAINED_TREES = [
+    attributions.Nodes([0, 1, 0, -1, -1, -1, -1], [50.0, 6000.0, 90.0, 0, 0, 0, 0], [1, 3, 5, 0, 0, 0, 0], [2, 4, 6, 0, 0, 0, 0], [0, 0, 0, 1.0, -0.5, 0.25, 2.0], [100, 60, 40, 20, 40, 10, 30]),
+    attributions.Nodes([2, -1, 0, -1, 1, -1, -1], [0.0, 0, 25.0, 0, 9000.0, 0, 0], [1, 0, 3, 0, 5, 0, 0], [2, 0, 4, 0, 6, 0, 0], [0, -1.0, 0, 0.5, 0, 3.0, -2.0], [64, 32, 32, 8, 24, 18, 6]),
+]
+
+
+def _explained(spark, sf):
+    rows = telemetry.flat_states(telemetry.states(spark, sf)).select("event_id", *EXPLAINED)
+    return attributions.tree_contributions(rows, EXPLAINED_TREES, EXPLAINED, 0.125)
+
+
+@query
+def tree_contributions(spark, sf):
+    """What each input adds to the score of two trees, for every state; some inputs are missing."""
+    return _explained(spark, sf)
+
+
+@query
+def tree_feature_rank(spark, sf):
+    return trials.top_features(trials.mean_contributions(_explained(spark, sf), EXPLAINED), 2)
+
+
 # ---- drift and rules
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as C
 from skyloom.operators import (
-    anomaly, gates, importance, isolation, labels, metrics, models, sampling, trials,
+    anomaly, attributions, gates, importance, isolation, labels, metrics, models, sampling, trials,
 )
 from skyloom.plans.jobs import stage
 from skyloom.sources import lake
@@ -126,9 +126,23 @@ def train(
     return record, holdout
 
 
+def reasons(task: Task, model: PipelineModel, rows: DataFrame) -> DataFrame | None:
+    """``rows`` with each feature replaced by what it adds to the row's score, and ``base``; for
+    a boosted model the score is the raw one. None for a model that is not of trees."""
+    used = [c for c in task.features if c in rows.columns]
+    if not hasattr(model.stages[-1], "featureImportances"):
+        return None
+    trees, start = attributions.trees_of(model, rows.sparkSession)
+    return attributions.tree_contributions(rows, trees, used, start)
+
+
 def explained(task: Task, model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Permutation importance on the hold-out rows: drop in AUC or R²."""
+    """(feature, importance) on the hold-out rows: the mean size of the contributions for models
+    of trees, else the drop in AUC or R² when the feature is permuted."""
     used = [c for c in task.features if c in rows.columns]
+    contributions = reasons(task, model, rows)
+    if contributions is not None:
+        return trials.mean_contributions(contributions, used).withColumnRenamed("mean_abs", "importance")
     variants = importance.permuted_variants(rows, task.keys, used)
     if task.kind == "classifier":
         out = models.score_classifier(model, variants)

@@ -19,7 +19,7 @@ def delay(spark):
     return spark.createDataFrame(df.toPandas())
 
 
-SMALL = {name: {"maxIter": 3, "maxDepth": 3} for name in models.FAMILIES.values()}
+SMALL = {name: {"maxIter": 3, "maxDepth": 3, "stepSize": 0.5} for name in models.FAMILIES.values()}
 SMALL["random_forest"] = {"numTrees": 3, "maxDepth": 4}
 
 
