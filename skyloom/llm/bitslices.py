@@ -23,8 +23,8 @@ from skyloom.sources.lake import fits, staged
 
 TOP = 50
 TIERS = (1, 2, 3, 5, 9, 17, 33)
-HASHES = 4
-BITS_PER_ENTRY = 10
+HASHES = 6
+BITS_PER_ENTRY = 16
 BLOCK_BITS = 1 << 19
 MOST_ROWS = 512
 TURN_TERMS = 20_000
