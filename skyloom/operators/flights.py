@@ -103,8 +103,10 @@ def windowed(
 
 
 @in_utc
-def describe_fixes(fixes: DataFrame, wrap_heading: bool = True, monday_first: bool = True) -> DataFrame:
-    """Gold flight columns from windowed fixes."""
+def describe_fixes(
+    fixes: DataFrame, wrap_heading: bool = True, monday_first: bool = True, keep: list[str] | None = None
+) -> DataFrame:
+    """Gold flight columns from windowed fixes, and those to ``keep``."""
     moved = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("prev_lat"), F.col("prev_lon")
     )
@@ -126,6 +128,7 @@ def describe_fixes(fixes: DataFrame, wrap_heading: bool = True, monday_first: bo
         F.hour(at).alias("hour_of_day"),
         day_of_week(at, monday_first).alias("day_of_week"),
         F.col("on_ground").cast("int").alias("is_on_ground"),
+        *(keep or []),
     )
 
 

@@ -199,6 +199,40 @@ def test_blocks_change_nothing(spark, normal, monkeypatch):
     assert [r.lof for r in parts] == pytest.approx([r.lof for r in whole])
 
 
+def test_comparisons_grow_slower_than_rows(spark):
+    """Ten times the rows of five features: a row is compared with far fewer than ten times."""
+    shares = []
+    for n in (2_000, 20_000):
+        x = np.random.default_rng(3).normal(size=(n, 5))
+        base = neighbours.staged(spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id long, x array<double>"), "p")
+        shares.append(neighbours.compared(base, base, 5, "euclidean").agg(F.avg("compared")).first()[0])
+    assert shares[1] < 5 * shares[0] and shares[1] < 0.5 * 20_000
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_index_finds_what_all_pairs_find(spark, monkeypatch, metric):
+    """Dense groups, copies, far points, ties on a grid; small blocks so that tiles are split."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.integers(0, 6, (300, 2)), rng.normal(2, 0.01, (300, 2)), np.full((200, 2), 3.0), rng.normal(size=(20, 2)) * 1e3])
+    rows = [(int(i), list(map(float, v))) for i, v in zip(rng.permutation(len(x)), x)]
+    base = neighbours.staged(spark.createDataFrame(rows, "id long, x array<double>"), "p")
+    found = {}
+    for r in neighbours.neighbours(base, base, 4, metric).collect():
+        found.setdefault(r.id, []).append((r.away, r.other))
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    away = neighbours.distances(x, x, metric)
+    for k, i in enumerate(ids):
+        order = [j for j in np.lexsort((ids, away[k])) if j != k][:4]
+        assert sorted(found[i]) == [(away[k, j], ids[j]) for j in order]
+
+
+def test_outlier_factor_keeps_all_columns(spark, normal):
+    df = normal.limit(50).select("id", F.array(*FEATURES).alias("x"), F.lit(7).alias("_id"), F.lit("t").alias("tile"))
+    out = neighbours.local_outlier_factor(df, ["id"], "x", k=3)
+    assert out.columns == ["id", "x", "_id", "tile", "lof"] and out.filter("_id = 7 and lof > 0").count() == 50
+
+
 def test_detector_search_honours_its_arguments(spark, normal):
     settings, scored = anomaly.search(normal, ["id"], FEATURES, ["isolation_forest"], trials=1, effort=0.05)
     assert settings.count() == 1 and scored.count() == 1000

@@ -48,6 +48,13 @@ def test_tracks_equal_batch(spark, parts, tmp_path):
     assert rows(out.drop("is_late")) == rows(want)
 
 
+def in_batches(spark, path, batches):
+    """A stream of one batch for each of ``batches``."""
+    for batch in batches:
+        batch.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def test_late_fixes_are_marked_and_not_folded_in(spark, parts, tmp_path):
     tracks = TrackFeatures(str(tmp_path / "t"))
     silver = spark.read.parquet(parts).filter("aircraft_id = '3'").orderBy("event_timestamp")
@@ -55,24 +62,39 @@ def test_late_fixes_are_marked_and_not_folded_in(spark, parts, tmp_path):
     middle = everything.approxQuantile("velocity", [0.5], 0.0)[0]  # any split that leaves gaps
     early, late = everything.filter(F.col("velocity") >= middle), everything.filter(F.col("velocity") < middle)
     newest = early.agg(F.max("event_timestamp")).first()[0]
-    tracks(early, 0)
-    tracks(late, 1)
+    tracks.start(in_batches(spark, str(tmp_path / "in"), [early, late]), str(tmp_path / "c")).awaitTermination()
     out = tracks.read(spark)
     assert out.filter("is_late").count() == late.filter(F.col("event_timestamp") <= F.lit(newest)).count() > 0
     in_order = early.unionByName(late.filter(F.col("event_timestamp") > F.lit(newest)))
     assert rows(out.filter("not is_late").drop("is_late")) == rows(flights.flight_features(in_order))
 
 
-def test_a_repeated_batch_changes_nothing(spark, parts, tmp_path):
-    tracks = TrackFeatures(str(tmp_path / "t"))
+def test_a_second_run_goes_on_from_the_state(spark, parts, tmp_path):
+    """The first run ends after some batches; what it left is read from its checkpoint."""
+    tracks, path = TrackFeatures(str(tmp_path / "t")), str(tmp_path / "in")
     silver = spark.read.parquet(parts)
     middle = F.lit("2024-01-16").cast("timestamp")
     first, second = silver.filter(F.col("event_timestamp") < middle), silver.filter(F.col("event_timestamp") >= middle)
-    tracks(first, 0)
-    tracks(second, 1)
-    before = rows(tracks.read(spark))
-    tracks(second, 1)
-    assert rows(tracks.read(spark)) == before
+    tracks.start(in_batches(spark, path, [first]), str(tmp_path / "c")).awaitTermination()
+    before = tracks.read(spark).count()
+    query = tracks.start(in_batches(spark, path, [second]), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert rows(tracks.read(spark).drop("is_late")) == rows(flights.flight_features(silver)) and before > 0
+    tracks.start(stream(spark, path), str(tmp_path / "c")).awaitTermination()  # nothing new
+    assert tracks.read(spark).count() == flights.flight_features(silver).count()
+
+
+def test_a_batch_writes_the_state_of_its_aircraft_only(spark, parts, tmp_path):
+    silver = spark.read.parquet(parts)
+    one = silver.filter("aircraft_id = '3'")
+    last = one.agg(F.max("event_timestamp")).first()[0]
+    more = one.limit(1).withColumn("event_timestamp", F.lit(last) + F.expr("interval 1 minute")).withColumn("on_ground", F.lit(False))
+    tracks = TrackFeatures(str(tmp_path / "t"))
+    query = tracks.start(in_batches(spark, str(tmp_path / "in"), [silver, more.fillna(1.0)]), str(tmp_path / "c"))
+    query.awaitTermination()
+    updated = [sum(op["numRowsUpdated"] for op in p["stateOperators"]) for p in query.recentProgress if p["numInputRows"]]
+    aircraft = silver.filter("not on_ground").select("aircraft_id").distinct().count()
+    assert updated[0] >= updated[1] and updated[1] <= 1 + 900 and aircraft > 5
 
 
 def test_closed_hours_equal_batch(spark, parts, tmp_path):
