@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import Hashes, chunks, local, mixed, numbered, query, table
+from skyloom.llm.common import local, mixed, numbered, query, table
 from skyloom.sources.lake import fits, staged
 
 TOP = 50
@@ -45,6 +46,10 @@ def positions(entries: np.ndarray, width: int) -> np.ndarray:
     return ((first[:, None] + nth * step[:, None]) & np.uint64(width - 1)).astype(np.int64)
 
 
+def hashed(found) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+
+
 def block_rows(width: int) -> int:
     return int(np.clip(BLOCK_BITS // width, 8, MOST_ROWS))
 
@@ -54,7 +59,7 @@ def index(docs: DataFrame) -> DataFrame:
     numbers), slices (bit by bit, eight documents a byte). ``docs`` has mark and text."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, pending = Hashes(), defaultdict(list)
+        pending = defaultdict(list)
 
         def block(width: int) -> tuple:
             held = pending.pop(width)
@@ -65,13 +70,14 @@ def index(docs: DataFrame) -> DataFrame:
             slices = np.packbits(bits, axis=1, bitorder="little").tobytes()
             return width, len(held), int(sizes.sum()), marks.tobytes(), sizes.tobytes(), slices
 
-        for batch, held in chunks(batches, terms):
+        for batch in batches:
             out = []
-            for mark, words in zip(batch["mark"].to_list(), held):
+            for mark, text in zip(batch["mark"].to_list(), batch["text"]):
+                words = terms(text)
                 if not words:
                     continue
                 counted = Counter(words)
-                x = hashes.of(list(counted))
+                x = hashed(counted)
                 often = np.fromiter(counted.values(), np.int64, len(counted))
                 entries = [x] + [x[often >= tier] + STEPS[j] for j, tier in enumerate(TIERS) if j and often.max() >= tier]
                 entries = mixed(np.concatenate(entries))
@@ -93,8 +99,8 @@ def item_terms(items: DataFrame) -> DataFrame:
     """(row_id, term): the different terms of every item (row_id, text)."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch, held in chunks(batches, terms):
-            found = [(i, t) for i, words in zip(batch["row_id"].to_list(), held) for t in set(words)]
+        for batch in batches:
+            found = [(i, t) for i, text in zip(batch["row_id"].to_list(), batch["text"]) for t in set(terms(text))]
             yield pd.DataFrame(found, columns=["row_id", "term"])
 
     return items.mapInPandas(task, "row_id long, term binary")
@@ -110,9 +116,9 @@ def frequencies(docs: DataFrame, wanted: DataFrame, turns: int) -> DataFrame:
 
         def task(batches: Iterator[pd.DataFrame], words=words) -> Iterator[pd.DataFrame]:
             counted = Counter()
-            for _, held in chunks(batches, terms):
-                for found in held:
-                    counted.update(words.intersection(found))
+            for batch in batches:
+                for text in batch["text"]:
+                    counted.update(words.intersection(terms(text)))
             yield pd.DataFrame({"term": list(counted.keys()), "df": list(counted.values())})
 
         rows = docs.select("text").mapInPandas(task, "term binary, df long")
@@ -158,7 +164,7 @@ class Bounds:
         codes, words, weight = items.entries
         self.matrix = np.zeros((len(items.vocabulary), len(items.names)))
         self.matrix[words, codes] = weight
-        self.hashes = Hashes().of(items.vocabulary)
+        self.hashes = hashed(items.vocabulary)
         self.bits = {}
 
     def rows_of(self, width: int, tier: int) -> np.ndarray:
