@@ -12,6 +12,7 @@ from skyloom.operators import clean, congestion, flights, labels, quality, route
 from skyloom.operators.keyed import last_per_key
 from skyloom.sources import bronze, lake
 from skyloom.sources.schemas import SILVER_KEY, SILVER_ORDER, SILVER_PARTITIONS
+from skyloom.sources.upserts import BUCKETS, BucketTable
 from skyloom.streaming.ingest import StreamCounts
 
 RUN_METRICS = (
@@ -76,13 +77,15 @@ def bronze_to_silver(
 ) -> dict:
     """Clean the batches landed on a range of ingest days (all, by default) and merge them into
     silver. One pass parses, counts and writes; the gates look at the counts before anything is
-    published; rerunning changes nothing. Rejected rows go to ``quarantine_path``, if given,
-    with the reason."""
+    published; rerunning changes nothing. Rejected rows go to ``quarantine_path``, if given, with
+    the reason, by ``ingest_date``: the days of the range are replaced, others stay."""
     with stage(spark, "bronze_to_silver", run_id, metrics_path) as record:
         landed = bronze.read_bronze(spark, bronze_path, multi_line, first_ingest_day, last_ingest_day)
-        raw, seen_raw = observed(
-            clean.explode_states(landed), f"raw_{run_id}", F.count(F.lit(1)).alias("states_read")
-        )
+        raw = clean.explode_states(landed)
+        if quarantine_path:  # both outputs come from one parse
+            raw = lake.staged(raw, "states")
+        states = raw
+        raw, seen_raw = observed(states, f"raw_{run_id}", F.count(F.lit(1)).alias("states_read"))
         silver, seen = observed(
             clean.to_silver(clean.dedup(clean.clean(raw))),
             f"silver_{run_id}",
@@ -95,17 +98,19 @@ def bronze_to_silver(
         lake.merge_partitioned(new, silver_path, SILVER_PARTITIONS, SILVER_KEY, SILVER_ORDER)
         record["artifacts"]["silver"] = silver_path
         if quarantine_path:
-            lake.write_table(clean.quarantine(clean.explode_states(landed)), quarantine_path)
+            rejected = clean.quarantine(states).withColumn("ingest_date", F.to_date("ingest_timestamp"))
+            lake.replace_days(rejected, quarantine_path, "ingest_date", first_ingest_day, last_ingest_day)
             record["artifacts"]["quarantine"] = quarantine_path
     return record
 
 
-def _gold_days(spark, name, run_id, metrics_path, path, build) -> dict:
-    """Writes a table by ``event_date``: only the days computed are replaced."""
+def _gold_days(spark, name, run_id, metrics_path, path, build, first_day, last_day) -> dict:
+    """Writes a table by ``event_date``: only the days of the range are replaced, and those that
+    came out empty are dropped."""
     with stage(spark, name, run_id, metrics_path) as record:
         table = build().withColumn("created_timestamp", F.current_timestamp())
         table, seen = observed(table, f"{name}_{run_id}", F.count(F.lit(1)).alias("rows_written"))
-        lake.write_partitioned(table, path, ["event_date"])
+        lake.replace_days(table, path, "event_date", first_day, last_day)
         record["metrics"].update(seen.get)
         record["artifacts"]["path"] = path
     return record
@@ -152,6 +157,7 @@ def flights_job(spark, silver_path, path, run_id, metrics_path=None, first_day=N
             )
         else:
             gold = flights.flight_features(lake.read_days(spark, silver_path, None, last_day))
+            first_day = None
         gold, seen = observed(
             gold.withColumn("created_timestamp", F.current_timestamp()).withColumn(
                 "event_date", F.to_date("event_timestamp")
@@ -159,7 +165,7 @@ def flights_job(spark, silver_path, path, run_id, metrics_path=None, first_day=N
             f"flight_features_{run_id}",
             F.count(F.lit(1)).alias("rows_written"),
         )
-        lake.write_partitioned(gold, path, ["event_date"])
+        lake.replace_days(gold, path, "event_date", first_day, _day(last_day, 1) if first_day and last_day else None)
         record["metrics"].update(seen.get)
         record["artifacts"]["path"] = path
     return record
@@ -174,7 +180,7 @@ def congestion_job(spark, silver_path, path, run_id, metrics_path=None, airports
         counts = congestion.airport_counts(lake.read_days(spark, silver_path, first_day, last_day), places)
         return counts.withColumn("event_date", F.to_date("event_timestamp"))
 
-    return _gold_days(spark, "airport_congestion_features", run_id, metrics_path, path, build)
+    return _gold_days(spark, "airport_congestion_features", run_id, metrics_path, path, build, first_day, last_day)
 
 
 def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=None, last_day=None) -> dict:
@@ -184,25 +190,51 @@ def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=No
     def build():
         return routes.route_days(lake.read_days(spark, silver_path, first_day, last_day))
 
-    return _gold_days(spark, "route_features", run_id, metrics_path, path, build)
+    return _gold_days(spark, "route_features", run_id, metrics_path, path, build, first_day, last_day)
+
+
+def moved_days(spark, load: DataFrame, path: str) -> set[str]:
+    """Days on which an airport's load is not what the table at ``path`` says it was."""
+    old = spark.read.schema(load.schema).parquet(path)
+    changed = load.exceptAll(old).unionByName(old.exceptAll(load))
+    days = changed.select(F.to_date("event_timestamp").cast("string").alias("day")).distinct().limit(lake.MAX_DAYS).collect()
+    return {r.day for r in days}
 
 
-def labels_job(spark, flights_path, congestion_path, path, run_id, metrics_path=None, airports=None) -> dict:
-    """Labelled flights, with the load of the nearest airport as further model inputs."""
+def labels_job(
+    spark, flights_path, congestion_path, path, run_id, metrics_path=None, airports=None, first_day=None, last_day=None
+) -> dict:
+    """Labelled flights by ``event_date``, with the load of the nearest airport as further model
+    inputs. A range names the days whose flights were made anew; besides these only the days are
+    rebuilt on which an airport's load has moved since the last run (``<path>_load`` keeps it), and
+    no other day's flights are read. A new largest count moves the load of every day."""
     with stage(spark, "labels", run_id, metrics_path) as record:
-        gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp", "event_date")
-        load = lake.staged(congestion.read_scored(spark, congestion_path), "load")
+        scored = congestion.read_scored(spark, congestion_path).drop("created_timestamp", "event_date")
+        load = lake.staged(scored, "load")
         places = lake.airports(spark) if airports is None else airports
+        gold = lake.read_table(spark, flights_path, "flight feature").drop("created_timestamp")
+        known = set(lake.partition_values(spark, flights_path, "event_date"))
+        days = known
+        if first_day and lake.exists(spark, f"{path}_load"):
+            last = _day(last_day, 1) if last_day else "9999"
+            before = set(lake.partition_values(spark, path, "event_date"))
+            asked = {d for d in known | before if first_day <= d <= last}
+            days = asked | moved_days(spark, load, f"{path}_load") | (known ^ before)
+            gold = gold.filter(F.col("event_date").cast("string").isin(sorted(days & known)))
         hourly = lake.staged(labels.hourly_congestion(load), "hourly")
+        labelled = labels.delay_labels(labels.with_nearest_congestion(gold.drop("event_date"), places, load), hourly)
         labelled, seen = observed(
-            labels.delay_labels(labels.with_nearest_congestion(gold, places, load), hourly),
+            labelled.withColumn("event_date", F.to_date("event_timestamp")),
             f"labels_{run_id}",
             F.count(F.lit(1)).alias("total_rows"),
             F.sum("delay_risk").alias("delay_risk_count"),
             F.avg("delay_risk").alias("delay_risk_rate"),
         )
-        lake.write_table(labelled, path)
-        record["metrics"].update(seen.get)
+        lake.write_partitioned(labelled, path, ["event_date"])
+        for day in set(lake.partition_values(spark, path, "event_date")) - known:
+            lake.remove(spark, f"{path}/event_date={day}")
+        lake.write_table(load, f"{path}_load")
+        record["metrics"].update(seen.get, days_built=len(days & known))
         record["artifacts"]["path"] = path
     return record
 
@@ -224,10 +256,11 @@ READERS = {
 }
 
 
-def materialise_job(spark, sources: dict[str, str], root: str, start, end, run_id, metrics_path=None) -> dict:
-    """Latest values of every view whose source path is given: those of the interval merged
-    with those stored, so a key not seen in the interval keeps its values. A view that fails
-    does not stop the others; the run is then ``partial``, or ``failed`` if none was written."""
+def materialise_job(spark, sources: dict[str, str], root: str, start, end, run_id, metrics_path=None, buckets: int = BUCKETS) -> dict:
+    """Latest values of every view whose source path is given: those of the interval upserted
+    into those stored, so a key not seen in the interval keeps its values and its bucket its
+    files. ``upserts.stored`` reads a view. The metrics are the keys of the interval. A view that
+    fails does not stop the others; the run is then ``partial``, or ``failed`` if none was written."""
     with stage(spark, "materialise", run_id, metrics_path) as record:
         for view in views.VIEWS:
             if view.name not in sources:
@@ -235,13 +268,10 @@ def materialise_job(spark, sources: dict[str, str], root: str, start, end, run_i
             try:
                 reader = READERS.get(view.name, lambda spark, path: lake.read_table(spark, path, view.name))
                 table = views.materialise_latest(view, reader(spark, sources[view.name]), start, end)
-                path = f"{root}/{view.name}"
-                if lake.exists(spark, path):
-                    stored = spark.read.schema(table.schema).parquet(path)
-                    table = last_per_key(table.unionByName(stored), [view.entity], view.order(table))
                 table = lake.staged(table, view.name)
+                target = BucketTable(spark, f"{root}/{view.name}", [view.entity], view.order(table), buckets)
+                target.upsert(table)
                 record["metrics"][view.name] = table.count()
-                lake.write_table(table, path)
             except Exception as err:
                 record["artifacts"][f"{view.name}_error"] = str(err)
         failed = sum(name.endswith("_error") for name in record["artifacts"])

@@ -101,8 +101,8 @@ for name, at in (("explode_flatten", "ts"), ("bronze_scan", "date_trunc('millise
         "states",
     )
 oracle("silver_clean", f"SELECT event_id, aircraft_id, callsign, origin_country, time_position, last_contact, longitude, latitude, baro_altitude, on_ground, velocity, heading, vertical_rate, geo_altitude, squawk, position_source FROM clean", "clean")
-oracle(
-    "silver_quarantine",
+cte(
+    "rejected",
     """SELECT * FROM (SELECT event_id, aircraft_id, CASE
       WHEN time_position IS NULL THEN 'time_position missing'
       WHEN latitude IS NULL THEN 'latitude missing'
@@ -116,6 +116,7 @@ oracle(
     WHERE reject_reason IS NOT NULL""",
     "flat",
 )
+oracle("silver_quarantine", "SELECT * FROM rejected", "rejected")
 oracle(
     "silver_dedup",
     f"""SELECT aircraft_id, time_position, last_contact, {REST}, poll FROM (
@@ -233,6 +234,19 @@ oracle("congestion_counts", f"SELECT {', '.join(COUNTS)} FROM counts", "counts")
 oracle("congestion_half_hours", f"SELECT {', '.join(COUNTS)} FROM halves", "halves")
 for name in ("congestion_features", "congestion_job_range"):
     oracle(name, "SELECT * FROM congestion", "congestion")
+oracle(
+    "congestion_job_emptied_day",
+    """SELECT * REPLACE (round(CAST(aircraft_count_50km AS DOUBLE) / (SELECT max(aircraft_count_50km) FROM counts
+    WHERE CAST(event_timestamp AS DATE) <> DATE '2024-01-13'), 6) + 0.0 AS congestion_score)
+    FROM congestion WHERE CAST(event_timestamp AS DATE) <> DATE '2024-01-13'""",
+    "congestion",
+)
+oracle(
+    "quarantine_by_day",
+    """SELECT CAST(ts AS DATE) AS ingest_date, reject_reason, count(*) AS rows
+    FROM rejected JOIN events USING (event_id) GROUP BY ALL""",
+    "rejected",
+)
 oracle(
     "congestion_unique_aircraft",
     f"SELECT airport_code, airport_name, {HOUR} AS event_timestamp, count(DISTINCT aircraft_id) AS unique_aircraft_50km FROM near GROUP BY ALL",
@@ -399,11 +413,12 @@ cte(
     "flights", "hourly",
 )
 oracle("hourly_congestion", "SELECT * FROM hourly", "hourly")
-oracle(
-    "delay_labels",
-    "SELECT aircraft_id, event_timestamp, altitude_m, speed_ms, snapshot_hour, max_congestion_score, delay_risk FROM labels",
-    "labels",
-)
+for name in ("delay_labels", "labels_job_range"):
+    oracle(
+        name,
+        "SELECT aircraft_id, event_timestamp, altitude_m, speed_ms, snapshot_hour, max_congestion_score, delay_risk FROM labels",
+        "labels",
+    )
 oracle(
     "label_summary",
     "SELECT count(*) AS total_rows, CAST(sum(delay_risk) AS BIGINT) AS delay_risk_count, round(avg(delay_risk), 6) AS delay_risk_rate FROM labels",

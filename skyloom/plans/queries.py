@@ -14,7 +14,7 @@ from skyloom.operators import (
     neighbours, quality, routes, sampling, spatial, trials, views,
 )
 from skyloom.plans import jobs, telemetry
-from skyloom.sources import bronze, lake
+from skyloom.sources import bronze, lake, upserts
 from skyloom.sources.schemas import SILVER_COLUMNS, SILVER_KEY, SILVER_ORDER, SILVER_PARTITIONS
 from skyloom.streaming import ingest
 from skyloom.streaming.congestion import hourly_counts
@@ -157,6 +157,50 @@ def congestion_job_range(spark, sf):
     return congestion.read_scored(spark, path).drop("created_timestamp", "event_date")
 
 
+@query
+def labels_job_range(spark, sf):
+    """Labels made range by range after the flights and loads of the range: the same as in one
+    run, though only days whose flights or loads changed are rebuilt."""
+    root, hubs = lake.fresh_path(spark, "labels_range"), telemetry.hubs(spark, sf)
+    lake.write_partitioned(telemetry.silver(spark, sf), f"{root}/silver", SILVER_PARTITIONS)
+    for first, last in RANGES:
+        days = {"first_day": first, "last_day": last}
+        jobs.flights_job(spark, f"{root}/silver", f"{root}/flights", "run", **days)
+        jobs.congestion_job(spark, f"{root}/silver", f"{root}/load", "run", airports=hubs, **days)
+        jobs.labels_job(spark, f"{root}/flights", f"{root}/load", f"{root}/labels", "run", airports=hubs, **days)
+    return spark.read.parquet(f"{root}/labels").select(
+        "aircraft_id", "event_timestamp", "altitude_m", "speed_ms", "snapshot_hour", "max_congestion_score", "delay_risk"
+    )
+
+
+@query
+def congestion_job_emptied_day(spark, sf):
+    """Airport load after the reports of one day turn out to lie far from any airport: its old
+    rows go when the day is run again."""
+    root, hubs = lake.fresh_path(spark, "emptied"), telemetry.hubs(spark, sf)
+    silver = lake.staged(telemetry.silver(spark, sf), "silver")
+    lake.write_partitioned(silver, f"{root}/silver", SILVER_PARTITIONS)
+    jobs.congestion_job(spark, f"{root}/silver", f"{root}/load", "run", airports=hubs)
+    moved = silver.filter("event_date = DATE '2024-01-13'").withColumn("latitude", F.lit(89.5))
+    lake.write_partitioned(moved, f"{root}/silver", SILVER_PARTITIONS)
+    jobs.congestion_job(spark, f"{root}/silver", f"{root}/load", "run", airports=hubs, first_day="2024-01-13", last_day="2024-01-13")
+    return congestion.read_scored(spark, f"{root}/load").drop("created_timestamp", "event_date")
+
+
+@query
+def quarantine_by_day(spark, sf):
+    """Rejected rows after runs over ranges of ingest days: each run replaces its own days only."""
+    root = lake.fresh_path(spark, "quarantine")
+    bronze.land_bronze(telemetry.bronze(spark, sf), f"{root}/bronze")
+    for first, last in (("2024-01-01", "2024-01-14"), ("2024-01-13", "2024-01-20"), ("2024-01-21", None)):
+        jobs.bronze_to_silver(
+            spark, f"{root}/bronze", f"{root}/silver", "run", quarantine_path=f"{root}/rejected",
+            first_ingest_day=first, last_ingest_day=last,
+        )
+    rejected = spark.read.parquet(f"{root}/rejected")
+    return rejected.groupBy("ingest_date", "reject_reason").agg(F.count("*").alias("rows"))
+
+
 @query
 def routes_job_range(spark, sf):
     return routes.read_combined(spark, _by_ranges(spark, sf, jobs.routes_job, "routes_range"))
@@ -404,7 +448,7 @@ def materialize_upsert(spark, sf):
     source = {views.FLIGHT_VIEW.name: f"{root}/flights"}
     for start, end in (("2024-01-01 00:00:00", "2024-01-14 00:00:00"), ("2024-01-14 22:00:00", "2024-01-15 00:00:00")):
         jobs.materialise_job(spark, source, f"{root}/latest", start, end, "run")
-    return spark.read.parquet(f"{root}/latest/{views.FLIGHT_VIEW.name}")
+    return upserts.stored(spark, f"{root}/latest/{views.FLIGHT_VIEW.name}")
 
 
 @query
@@ -1052,4 +1096,4 @@ def stream_latest(spark, sf):
     table = LatestTable(views.FLIGHT_VIEW, root)
     running = table.start(_in_batches(spark, _flight_source(spark, sf), "features"), f"{root}/checkpoint")
     running.awaitTermination()
-    return table.read(spark, running.lastProgress["batchId"])
+    return table.read(spark)

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.constants import AIRPORTS
@@ -167,6 +167,18 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
+def replace_days(df: DataFrame, path: str, column: str, first: str | None, last: str | None) -> None:
+    """Write ``df`` by the date ``column`` and drop the stored days of [first, last] (all, where a
+    side is open) that it has no rows for. Days outside that ``df`` has are replaced too."""
+    spark = df.sparkSession
+    seen = Observation()
+    days = F.collect_set(F.col(column).cast("string")).alias("days")
+    write_partitioned(df.observe(seen, days), path, [column])
+    for day in set(partition_values(spark, path, column)) - set(seen.get["days"]):
+        if (first or "") <= day <= (last or "9999"):
+            remove(spark, f"{path}/{column}={day}")
+
+
 def append_partitioned(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
     partitions = partitions or SILVER_PARTITIONS
     df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)

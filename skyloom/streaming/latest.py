@@ -4,17 +4,16 @@ from pyspark.sql import DataFrame
 
 from skyloom.operators.keyed import last_per_key
 from skyloom.operators.views import FeatureView
-from skyloom.sources.lake import remove
+from skyloom.sources.lake import scratch, staged
+from skyloom.sources.upserts import BUCKETS, BucketTable
 
 
 class LatestTable:
-    """``foreachBatch`` body: the newest row per entity of the batch and the table so far,
-    one version per batch under <root>/batch_id=N. The version before is kept for a repeated
-    batch; older ones are dropped."""
+    """``foreachBatch`` body: the newest row per entity of the batch and the table so far. A batch
+    rewrites only the buckets its entities fall into, and a repeated one is skipped."""
 
-    def __init__(self, view: FeatureView, root: str):
-        self.view = view
-        self.root = root
+    def __init__(self, view: FeatureView, root: str, buckets: int = BUCKETS):
+        self.view, self.root, self.buckets = view, root, buckets
 
     def start(self, source: DataFrame, checkpoint: str, **trigger):
         return (
@@ -24,15 +23,15 @@ class LatestTable:
             .start()
         )
 
+    def table(self, spark, rows: DataFrame | None = None) -> BucketTable:
+        order = [] if rows is None else self.view.order(rows)
+        return BucketTable(spark, self.root, [self.view.entity], order, self.buckets)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = self.view.select(batch)
-        if batch_id:
-            rows = rows.unionByName(self.read(batch.sparkSession, batch_id - 1))
-        last_per_key(rows, [self.view.entity], self.view.order(rows)).write.mode(
-            "overwrite"
-        ).parquet(f"{self.root}/batch_id={batch_id}")
-        if batch_id > 1:
-            remove(batch.sparkSession, f"{self.root}/batch_id={batch_id - 2}")
-
-    def read(self, spark, batch_id: int) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/batch_id={batch_id}")
+        with scratch(batch.sparkSession):
+            rows = self.view.select(batch)
+            rows = staged(last_per_key(rows, [self.view.entity], self.view.order(rows)), "latest_batch")
+            self.table(batch.sparkSession, rows).upsert(rows, batch_id)
+
+    def read(self, spark, version: int | None = None) -> DataFrame:
+        return self.table(spark).read(version)
