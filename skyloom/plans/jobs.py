@@ -185,12 +185,24 @@ def congestion_job(spark, silver_path, path, run_id, metrics_path=None, airports
 
 def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=None, last_day=None) -> dict:
     """Partial route aggregates of a range of days; ``routes.read_combined`` combines all days
-    stored when the table is read."""
+    stored when the table is read. ``<path>_sketches`` has one row a route and day, from which
+    ``routes.read_sketched`` reads any range of days."""
 
     def build():
         return routes.route_days(lake.read_days(spark, silver_path, first_day, last_day))
 
-    return _gold_days(spark, "route_features", run_id, metrics_path, path, build, first_day, last_day)
+    record = _gold_days(spark, "route_features", run_id, metrics_path, path, build, first_day, last_day)
+
+    def sketch():
+        days = lake.read_table(spark, path, "route_features").drop("created_timestamp")
+        if first_day:
+            days = days.filter(F.col("event_date") >= F.lit(first_day).cast("date"))
+        if last_day:
+            days = days.filter(F.col("event_date") <= F.lit(last_day).cast("date"))
+        return routes.day_sketches(days)
+
+    _gold_days(spark, "route_sketches", run_id, metrics_path, f"{path}_sketches", sketch, first_day, last_day)
+    return record
 
 
 def moved_days(spark, load: DataFrame, path: str) -> set[str]:

@@ -262,8 +262,10 @@ cte(
       FROM silver WHERE callsign IS NOT NULL AND NOT on_ground) GROUP BY route_id""",
     "silver",
 )
-for name in ("route_features", "routes_job_range"):
+for name in ("route_features", "routes_job_range", "routes_sketched_range"):
     oracle(name, "SELECT * FROM routes", "routes")
+TEN_DAYS = "CAST(event_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-17'"
+oracle("routes_sketched_days", CTES["routes"].replace("FROM silver WHERE", f"FROM silver WHERE {TEN_DAYS} AND"), "silver")
 oracle(
     "scalar_functions",
     f"""SELECT event_id, CASE WHEN longitude IS NOT NULL THEN round({_km("latitude", "longitude", "10", "20")}, 6) END AS dist_km,
@@ -669,6 +671,36 @@ oracle(
       FROM ({QUANTILE_BINS}) GROUP BY feature, bin) GROUP BY feature)""",
     "flat",
 )
+SILVER_BINS = " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, list_sum(list_transform(cuts, lambda c: CAST({f} >= c AS INTEGER))) AS bin, CAST(event_timestamp AS DATE) >= DATE '2024-01-15' AS is_new
+    FROM silver, (SELECT quantile_disc({f}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM silver WHERE CAST(event_timestamp AS DATE) < DATE '2024-01-15') WHERE {f} IS NOT NULL"""
+    for f in ("velocity", "baro_altitude", "vertical_rate")
+)
+oracle(
+    "drift_window",
+    f"""SELECT feature, sum((p - q) * ln(p / q)) > 0.2 AS drifted, true AS close FROM (
+      SELECT feature, greatest(count_if(is_new) / sum(count_if(is_new)) OVER (PARTITION BY feature), 0.0001) AS p,
+        greatest(count_if(NOT is_new) / sum(count_if(NOT is_new)) OVER (PARTITION BY feature), 0.0001) AS q
+      FROM ({SILVER_BINS}) GROUP BY feature, bin) GROUP BY feature""",
+    "silver",
+)
+ORACLES["performance_drop"] = """
+WITH RECURSIVE scored AS (
+    SELECT CAST(ts AS DATE) AS day, CAST(event_id % 2 AS INTEGER) AS model, CAST(event_id * 31 % 97 AS DOUBLE) / 10 AS target,
+        CAST(event_id * 31 % 97 + event_id % 13 - 6 + CAST(event_id % 2 = 1 AND ts >= TIMESTAMP '2024-01-20' AS INTEGER) * (event_id % 5) AS DOUBLE) / 10 AS prediction
+    FROM events
+), daily AS (
+    SELECT model, day, sqrt(avg(pow(target - prediction, 2))) AS rmse, row_number() OVER (PARTITION BY model ORDER BY day) AS n FROM scored GROUP BY model, day
+), base AS (
+    SELECT model, avg(rmse) AS mean, CASE WHEN stddev_pop(rmse) > 0 THEN stddev_pop(rmse) ELSE 1 END AS spread FROM daily WHERE n <= 7 GROUP BY model
+), worse AS (SELECT model, day, rmse, n, (rmse - mean) / spread - 0.5 AS z FROM daily JOIN base USING (model) WHERE n > 7),
+steps AS (
+    SELECT model, day, rmse, n, greatest(0, z) AS cusum FROM worse WHERE n = 8
+    UNION ALL
+    SELECT w.model, w.day, w.rmse, w.n, greatest(0, cusum + z) FROM steps s JOIN worse w ON w.model = s.model AND w.n = s.n + 1
+)
+SELECT model, day, round(rmse, 6) + 0.0 AS rmse, round(cusum, 6) + 0.0 AS cusum, cusum > 5 AS dropped FROM steps
+"""
 oracle(
     "anomaly_rules",
     """SELECT *, CAST(heading_jump AS INTEGER) + CAST(odd_speed AS INTEGER) + CAST(odd_climb AS INTEGER) + CAST(stalled AS INTEGER) AS signals FROM (

@@ -206,6 +206,20 @@ def routes_job_range(spark, sf):
     return routes.read_combined(spark, _by_ranges(spark, sf, jobs.routes_job, "routes_range"))
 
 
+@query
+def routes_sketched_range(spark, sf):
+    """Routes of all days from the sketches of the range runs."""
+    return routes.read_sketched(spark, _by_ranges(spark, sf, jobs.routes_job, "routes_sketched"))
+
+
+@query
+def routes_sketched_days(spark, sf):
+    """Routes of ten days in the middle, from sketches by day."""
+    path = lake.fresh_path(spark, "route_sketches")
+    routes.day_sketches(routes.route_days(telemetry.silver(spark, sf))).write.parquet(f"{path}_sketches")
+    return routes.read_sketched(spark, path, "2024-01-08", "2024-01-17")
+
+
 @query
 def flight_features_range(spark, sf):
     path = _by_ranges(spark, sf, jobs.flights_job, "flights_range")
@@ -773,6 +787,41 @@ def drift_psi(spark, sf):
     return drift.psi(rows, "is_new", edges)
 
 
+@query
+def drift_window(spark, sf):
+    """Index between the first two weeks and the rest from sketches by day, beside the exact one
+    on the same bins: as near as the sketches' error, and the same decision."""
+    rows = telemetry.silver(spark, sf)
+    features = ["velocity", "baro_altitude", "vertical_rate"]
+    sketches = lake.staged(drift.day_sketches(rows, "event_date", features), "day_sketches")
+    old, new = (drift.window_sketch(sketches, *days) for days in (("2024-01-01", "2024-01-14"), ("2024-01-15", "2024-12-31")))
+    found = drift.sketched_psi(old, new).withColumnRenamed("psi", "sketched")
+    is_new = rows.withColumn("is_new", F.col("event_date") >= F.lit("2024-01-15").cast("date"))
+    exact = drift.psi(is_new, "is_new", drift.quantile_edges(is_new.filter("not is_new"), features))
+    close = F.abs(F.col("sketched") - F.col("psi")) <= 0.05
+    return found.drop("drifted").join(exact, "feature").select("feature", "drifted", close.alias("close"))
+
+
+def _daily(spark, sf):
+    """Root mean square error of each model by day; from the twentieth the predictions of one get
+    worse."""
+    rows = telemetry.events(spark, sf).selectExpr(
+        "cast(cast(ts as timestamp) as date) as day",
+        "cast(event_id % 2 as int) as model",
+        "cast(event_id * 31 % 97 as double) / 10 as target",
+        "cast(event_id * 31 % 97 + event_id % 13 - 6 + cast(event_id % 2 = 1 and cast(ts as timestamp) >= timestamp '2024-01-20' as int) * (event_id % 5) as double) / 10 as prediction",
+    )
+    return metrics.regression(rows, by=["model", "day"])
+
+
+@query
+def performance_drop(spark, sf):
+    """Which day's error says that a model has got worse?"""
+    return drift.performance_drop(_daily(spark, sf), "rmse", "day", ["model"], higher_is_better=False).select(
+        "model", "day", "rmse", "cusum", "dropped"
+    )
+
+
 @query
 def drift_decision(spark, sf):
     """Quantile bins of the old slice; should the models be retrained?"""
