@@ -60,6 +60,13 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(text.cast("binary")) % folds
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or something longer if ``df`` has a column of that name."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``row_id`` (unique, stable for a stored table) and the columns asked for: ids and rows
     may repeat, so operators tell rows apart by this number."""

@@ -13,14 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import fold, local, query, table
+from skyloom.llm.common import fold, local, query, table, unused
+from skyloom.operators.sampling import hash_sample
+from skyloom.sources.lake import staged
 
 FOLDS, HELD_OUT = 4, 2
 ROWS_PER_LANGUAGE = 1_000
-GRAMS = 60_000
 SMOOTHING = 0.1
 ROUNDS = 15
 LEAST_SHARE = 0.01
@@ -30,7 +31,14 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def letter_words(text: str | None) -> Counter:
-    return Counter(LETTERS.findall(text.lower())) if text else Counter()
+    """Runs of letters in lower case. The pattern also takes numbers that are no digits, such as
+    fractions; these part words."""
+    found = Counter(LETTERS.findall(text.lower())) if text else Counter()
+    for word in [w for w in found if not w.isalpha()]:
+        times = found.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            found[part] += times
+    return found
 
 
 def grams(word: str) -> list[str]:
@@ -40,9 +48,8 @@ def grams(word: str) -> list[str]:
 
 def learnt(docs: DataFrame, learn: Column, rows_per_language: int) -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
     """Languages, log-probabilities of the known trigrams, and of any other."""
-    rows = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language)
+    rows = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang")
+    ids = hash_sample(staged(rows.distinct(), "labelled"), ["doc_id"], rows_per_language, strata="lang")
     ids = ids.select("doc_id").distinct()  # a bounded number for each language
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -59,7 +66,7 @@ def learnt(docs: DataFrame, learn: Column, rows_per_language: int) -> tuple[list
     sample = docs.filter(learn & F.col("lang").isNotNull()).join(F.broadcast(ids), "doc_id", "left_semi")
     counts = sample.select("lang", "text").mapInPandas(count, "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = local(counts.orderBy(F.desc("n"), "gram", "lang").limit(GRAMS))
+    counts = local(counts)  # of a bounded sample
     wide = counts.pivot(index="gram", columns="lang", values="n").fillna(0.0)
     langs = sorted(wide.columns)
     table_ = wide[langs].to_numpy(float) if langs else np.zeros((0, 0))
@@ -73,17 +80,31 @@ class Words(dict):
 
     def __init__(self, known: dict[str, np.ndarray], other: np.ndarray):
         super().__init__()
-        self.known, self.other, self.rows = known, other, np.empty((1024, len(other)))
-
-    def __missing__(self, word: str) -> int:
-        total = np.zeros(len(self.other))
-        for gram in grams(word):
-            total += self.known.get(gram, self.other)
-        at = len(self)
-        if at == len(self.rows):
+        self.place = {gram: k for k, gram in enumerate(known)}
+        self.logs = np.array([*known.values(), other]).reshape(len(known) + 1, len(other))
+        self.rows = np.empty((1024, len(other)))
+
+    def learn(self, words: list[str]) -> None:
+        """Add up the trigrams of new words, all together."""
+        first, place, unknown = len(self), self.place.get, len(self.place)
+        found = [place(gram, unknown) for word in words for gram in grams(word)]
+        starts = np.cumsum([0] + [len(w) for w in words[:-1]])  # a word has as many trigrams as letters
+        sums = np.add.reduceat(self.logs[found], starts, axis=0)
+        while first + len(words) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self[word], self.rows[at] = at, total
-        return at
+        self.rows[first : first + len(words)] = sums
+        self.update(zip(words, range(first, first + len(words))))
+
+    def positions(self, found: list[Counter]) -> np.ndarray:
+        """Of the words of all texts, in turn."""
+        words = [w for c in found for w in c]
+        at = list(map(self.get, words))
+        missing = [i for i, place in enumerate(at) if place is None]
+        if missing:
+            self.learn(list({words[i] for i in missing}))
+            for i in missing:
+                at[i] = self[words[i]]
+        return np.array(at, np.int64)
 
     def shrink(self) -> None:
         if len(self) > CACHED:
@@ -95,13 +116,15 @@ def mixture(like: np.ndarray, weight: np.ndarray, doc: np.ndarray, allowed: np.n
     document and every document has some."""
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     total = np.add.reduceat(weight, first)[:, None]
-    shares = allowed / allowed.sum(axis=1, keepdims=True)
+    many = allowed.sum(axis=1, keepdims=True)
+    shares = allowed / many
+    rounds = ROUNDS if (many > 1).any() else 0  # a single language has all of the text
     top = like.max(axis=1)
     scaled = np.exp(like - top[:, None])
-    for number in range(ROUNDS + 1):
+    for number in range(rounds + 1):
         joint = scaled * shares[doc]
         sums = np.maximum(joint.sum(axis=1), 1e-300)
-        if number == ROUNDS:
+        if number == rounds:
             break
         shares = np.add.reduceat(joint * (weight / sums)[:, None], first, axis=0) / total
     return shares, np.add.reduceat(weight * (np.log(sums) + top), first)
@@ -154,7 +177,7 @@ def identify(docs: DataFrame, learn: Column, rows_per_language: int = ROWS_PER_L
             out = [("und", 0.0, {})] * len(texts)
 
             def flush(rows, found):
-                at = np.concatenate([np.fromiter(map(words.__getitem__, c), np.int64, len(c)) for c in found])
+                at = words.positions(found)
                 weight = np.concatenate([np.fromiter(c.values(), float, len(c)) for c in found])
                 doc = np.repeat(np.arange(len(found)), [len(c) for c in found])
                 for row, shares in zip(rows, selected(words.rows[at], weight, doc, len(found))):
@@ -177,8 +200,9 @@ def identify(docs: DataFrame, learn: Column, rows_per_language: int = ROWS_PER_L
             yield pd.DataFrame(out, columns=new)
 
     # Nondeterministic only to the optimiser: a filter on the result must not run it twice.
-    found = docs.withColumn("_language", task.asNondeterministic()("text"))
-    return found.select(*docs.columns, *(F.col(f"_language.{c}").alias(c) for c in new))
+    own = unused(docs, "_language")
+    found = docs.withColumn(own, task.asNondeterministic()("text"))
+    return found.select(*docs.columns, *(F.col(f"{own}.{c}").alias(c) for c in new))
 
 
 @query

@@ -10,7 +10,7 @@ format, get a keyed name at their domain. What fails validation is left alone.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import query, table
+from skyloom.llm.common import query, table, unused
 
 ROUNDS = 10
 # 1700-01-01 to 2099-12-31: a whole Gregorian cycle of 146097 = 27 * 5411 days.
@@ -170,9 +170,10 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         return F.struct(kind.alias("kind"), value.alias("old"), F.coalesce(new, value).alias("new"), new.isNotNull().alias("valid"))
 
     found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), replaced)
-    out = docs.drop("pii").withColumn("_found", found)
-    pieces = F.zip_with(F.split(text, ANY, -1), "_found", lambda gap, f: F.concat(gap, F.coalesce(f["new"], F.lit(""))))
-    valid = F.filter("_found", lambda f: f["valid"])
+    own = unused(docs, "_found")
+    out = docs.drop("pii").withColumn(own, found)
+    pieces = F.zip_with(F.split(text, ANY, -1), own, lambda gap, f: F.concat(gap, F.coalesce(f["new"], F.lit(""))))
+    valid = F.filter(own, lambda f: f["valid"])
     new_text = F.when(F.size(valid) > 0, F.array_join(pieces, "")).otherwise(F.col("text"))
     pii = F.transform(valid, lambda f: F.struct(f["kind"].alias("kind"), f["old"].alias("old"), f["new"].alias("new")))
     columns = [new_text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "pii"]

@@ -256,11 +256,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, sample_row
     """``docs`` (doc_id, text, others) with ``score`` and ``predicted``; columns of these names
     in the input are replaced.
 
-    ``labels`` (doc_id, toxic) may repeat an id: the greatest label counts; null labels do not.
+    ``labels`` (doc_id, toxic) may repeat an id: the greatest label counts; null ones, and others than 0 and 1, do not.
     ``learn`` is a condition on doc_id for the rows to learn from, of which ``sample_rows`` are
     used, in the order of their ids' hashes. Null and empty texts match nothing."""
     docs = docs.drop("score", "predicted")
-    marks = labels.filter(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = labels.filter(learn & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
     sample = staged(sample.select(F.coalesce("text", F.lit("")).alias("text"), "toxic"), "toxic_sample")

@@ -1,6 +1,6 @@
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, row_id string, kind int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, row_id string, kind int, _found string, _language string, _node string"
 
 
 @pytest.fixture
@@ -11,7 +11,7 @@ def docs_of(spark):
     def make(rows, langs=None):
         rows = [r if isinstance(r, tuple) else (i, r) for i, r in enumerate(rows)]
         langs = langs or [None] * len(rows)
-        full = [(i, t, g, "s", len(t or ""), "x", "y", 1) for (i, t), g in zip(rows, langs)]
+        full = [(i, t, g, "s", len(t or ""), "x", "y", 1, "f", "l", "n") for (i, t), g in zip(rows, langs)]
         df = spark.createDataFrame(full, DOCS).repartition(3)
         return stored(spark, df)
 

@@ -41,6 +41,22 @@ def test_mixtures_and_edges(docs_of):
     assert out[0].row_id == "y" and out[0].kind == 1
 
 
+def test_numbers_that_are_no_letters(docs_of):
+    """Fractions, superscripts and number signs are no letters, wherever they stand."""
+    rows, langs = texts()
+    odd = [(300, "½ ² Ⅷ ①"), (304, "¾"), (308, "½" + AA.replace(" ", "²")), (312, "_ 1٣")]
+    out = found(docs_of(rows + odd, langs + [None] * 4))
+    assert [out[i].lang_pred for i in (300, 304, 308, 312)] == ["und", "und", "aa", "und"]
+    assert languages.letter_words("a½b ab½ ½") == {"a": 1, "b": 1, "ab": 1}
+
+
+def test_columns_with_clashing_names_stay(docs_of):
+    rows, langs = texts()
+    docs = docs_of(rows, langs)
+    out = languages.identify(docs, F.lit(True))
+    assert {(r._language, r._found, r._node) for r in out.collect()} == {("l", "f", "n")}
+
+
 def test_nothing_to_learn_from(docs_of):
     assert {r.lang_pred for r in found(docs_of(EDGES)).values()} == {"und"}
     assert found(docs_of([])) == {}

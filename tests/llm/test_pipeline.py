@@ -7,8 +7,8 @@ from skyloom.llm import secrets
 
 from .conftest import EDGES, LONG
 from .test_decontaminate import plain as contaminated
+from .test_near_copies import plain_kept
 from .test_packing import check
-from .test_simhash import plain_components, plain_fingerprint
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,8 +21,7 @@ def staged_docs(spark, path, rows):
 def test_run_equals_plain(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     docs = {i: t for i, t in docs.items() if any(c.isalpha() for c in t or "")}
-    group = plain_components([(i, plain_fingerprint(t)) for i, t in docs.items()])
-    docs = {i: t for i, t in docs.items() if group[i] == i}
+    docs = {i: docs[i] for i in plain_kept(list(docs.items()))}
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     docs = {r[0]: docs[r[0]] for r in contaminated(docs.items(), items) if not r[5]}
     found = secrets.scan(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))

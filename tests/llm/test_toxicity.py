@@ -87,3 +87,12 @@ def test_edges(spark, docs_of):
     assert len(rows) == len(EDGES) + 1
     assert {r.doc_id for r in rows if r.predicted} == {30}
     assert toxicity.score_toxicity(docs_of([]), none, F.lit(True)).count() == 0
+
+
+def test_labels_other_than_0_and_1_do_not_count(spark, docs_of):
+    docs = docs_of([(i, f"you zorgl number {i}" if i % 2 else f"a fine day {i}") for i in range(40)])
+    labels = [(i, i % 2) for i in range(40)] + [(0, 7), (2, -1), (4, None)]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    plain = spark.createDataFrame(labels[:40], "doc_id long, toxic int")
+    a, b = ({r.doc_id: r.score for r in toxicity.score_toxicity(docs, m, F.lit(True)).collect()} for m in (marks, plain))
+    assert a == b
