@@ -7,7 +7,7 @@ costs at most the stage it is lost in.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import decontaminate, languages, packing, secrets, simhash
+from skyloom.llm import decontaminate, languages, near_copies, packing, secrets
 from skyloom.llm.common import for_texts
 from skyloom.sources.lake import staged
 
@@ -20,8 +20,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies goes on."""
-    return simhash.distinct_documents(docs)
+    """One document of each group of near copies (five-word shingles, a Jaccard similarity of 0.8
+    or more) goes on."""
+    return near_copies.distinct_documents(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
