@@ -287,10 +287,10 @@ def congestion_join(spark, sf):
 
 @query
 def congestion_join_shuffled(spark, sf):
-    """The same with the hubs taken as too many to broadcast: salted cells, shuffled."""
-    near = spatial.within_radius(
-        telemetry.silver(spark, sf), telemetry.hubs(spark, sf), max_broadcast_cells=0, salts=4
-    )
+    """The same with the hubs taken as too many to broadcast: joined by cells that split where
+    many states are."""
+    silver = lake.staged(telemetry.silver(spark, sf), "silver")
+    near = spatial.within_radius(silver, telemetry.hubs(spark, sf), max_broadcast_cells=0, busy_rows=100)
     return near.select("aircraft_id", "event_timestamp", "airport_code", "dist_km")
 
 

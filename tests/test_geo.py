@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions.geo import haversine_km
+from skyloom.operators import spatial
 from skyloom.operators.spatial import nearest_place, within_radius
 from skyloom.sources import lake
 
@@ -46,7 +47,7 @@ def test_radius_join_equals_all_pairs(spark, max_cells):
     points = [p for c in CENTRES for r in (0.0, 20.0, 49.999, 50.001) for p in ring(*c, r)]
     points += [(90.0, 0.0), (-90.0, 33.0), (0.0, 180.0), (0.0, -180.0)]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], POINT)
-    joined = within_radius(df, places, max_broadcast_cells=max_cells, salts=3)
+    joined = within_radius(df, places, max_broadcast_cells=max_cells, busy_rows=7)
     got = {(r.p, r.airport_code) for r in joined.collect()}
     want = {
         (i, str(j)) for i, p in enumerate(points) for j, c in enumerate(CENTRES) if km(*p, *c) <= 50.0
@@ -54,6 +55,30 @@ def test_radius_join_equals_all_pairs(spark, max_cells):
     assert got == want and len(want) > 400
 
 
+
+
+def test_busy_cells_split(spark):
+    """Nine tenths of the points in one degree, many of them on one spot, with places all over it:
+    the same pairs as all pairs, and no part much fuller than asked for."""
+    import random
+
+    rng = random.Random(3)
+    points = [(40.0 + rng.random(), 8.0 + rng.random()) for _ in range(1500)] + [(40.5, 8.5)] * 300
+    points += [(rng.uniform(-80, 80), rng.uniform(-180, 180)) for _ in range(200)]
+    centres = [(40.0 + rng.random(), 8.0 + rng.random()) for _ in range(40)] + [(39.99, 7.99), (41.01, 8.5), (0.0, 0.0)]
+    df = lake.staged(spark.createDataFrame([(i, *p) for i, p in enumerate(points)], POINT), "points")
+    places = spark.createDataFrame([(str(i), *c) for i, c in enumerate(centres)], PLACE)
+    joined = within_radius(df, places, radius_km=5.0, max_broadcast_cells=0, busy_rows=50)
+    got = [(r.p, r.airport_code) for r in joined.collect()]
+    want = {(i, str(j)) for i, p in enumerate(points) for j, c in enumerate(centres) if km(*p, *c) <= 5.0}
+    assert set(got) == want and len(got) == len(want) > 500
+    busy = spatial.busy_cells(df, 50).collect()
+    assert len(busy) == 1 and len(busy[0].splits) >= 4 and list(busy[0].salts.values()) == [6]
+    near = {r.p: r.airport_code for r in nearest_place(df, places, radius_km=5.0, max_broadcast_cells=0, busy_rows=50).collect()}
+    plain = {r.p: r.airport_code for r in nearest_place(df, places, radius_km=5.0).collect()}
+    assert near == plain and len(near) == 2000
+
+
 def test_null_positions_match_nothing(spark):
     df = spark.createDataFrame([(1, None, 2.0), (2, 1.0, None)], POINT)
     assert within_radius(df, lake.airports(spark)).count() == 0
