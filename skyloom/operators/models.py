@@ -18,6 +18,7 @@ from skyloom import constants as C
 from skyloom.functions.flight import clip01
 from skyloom.operators.boosting import BoostedClassifier, BoostedRegressor
 from skyloom.operators.sampling import balanced_weights
+from skyloom.operators.trials import regression_trial_scores, trial_scores
 from skyloom.sources.lake import fresh_path, staged
 
 CLASSIFIERS = {
@@ -186,6 +187,11 @@ def importances(model: PipelineModel, features: list[str], spark) -> DataFrame |
     return spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
 
 
+#: Parameters that count rounds or trees, and the share of trials that a rung promotes.
+BUDGETS = ("maxIter", "numTrees")
+PROMOTED = 1 / 3
+
+
 def search(
     frame: DataFrame,
     features: list[str],
@@ -196,13 +202,20 @@ def search(
     seed: int = C.SEED,
     effort: float = 1.0,
     parallelism: int = 4,
+    rungs: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Random settings, every family having its turn before one comes up again, each fitted once per fold of ``frame``'s column
     ``fold``. Gives (settings, scored): every held-out row scored once per trial, with
     columns trial, algorithm, fold and label/score or target/prediction.
 
+    With ``rungs`` the search halves (Jamieson and Talwalkar, 2016): all trials are fitted with a
+    3**-rungs share of their rounds or trees, and the best third by mean fold score goes on with
+    three times as many, until those left are fitted in full. ``settings`` says the last ``rung``
+    of each trial (the full fits have the greatest), and the scored rows of a trial are those of
+    it; compare trials of the greatest rung only.
+
     A trial's scored rows go straight to a staged table; what meets in the driver is the
-    list of settings.
+    list of settings and, between rungs, a score of each trial.
     """
     spark = frame.sparkSession
     frame = staged(frame, "search_frame")
@@ -216,7 +229,9 @@ def search(
     root = fresh_path(spark, "trial_scores")
 
     def run(job):
-        (number, algorithm, params), fold = job
+        (number, algorithm, params), fold, rung = job
+        share = 3.0 ** (rung - rungs)
+        params = {k: max(1, math.ceil(v * share)) if k in BUDGETS else v for k, v in params.items()}
         train, held = frame.filter(F.col("fold") != fold), frame.filter(F.col("fold") == fold)
         if kind == "classifier":
             model = fit_classifier(train, features, target, algorithm, params)
@@ -228,13 +243,23 @@ def search(
             rows = score_regressor(model, held).select(F.col(target).alias("target"), "prediction")
         rows.select(
             F.lit(number).alias("trial"), F.lit(algorithm).alias("algorithm"), F.lit(fold).alias("fold"), "*"
-        ).write.parquet(f"{root}/trial-{number}-fold-{fold}")
+        ).write.parquet(f"{root}/rung-{rung}-trial-{number}-fold-{fold}")
+
+    def paths(which, rung):
+        return [f"{root}/rung-{rung}-trial-{s[0]}-fold-{fold}" for s in which for fold in fold_numbers]
 
-    jobs = [(s, fold) for s in settings for fold in fold_numbers]
-    with ThreadPool(parallelism) as pool:
-        pool.map(inheritable_thread_target(spark)(run), jobs)
+    going, last = settings, {}
+    for rung in range(rungs + 1):
+        with ThreadPool(parallelism) as pool:
+            pool.map(inheritable_thread_target(spark)(run), [(s, fold, rung) for s in going for fold in fold_numbers])
+        last.update({s[0]: rung for s in going})
+        if rung < rungs and len(going) > 1:
+            score = trial_scores if kind == "classifier" else regression_trial_scores
+            found = {r.trial: r.score for r in score(spark.read.parquet(*paths(going, rung))).collect()}
+            ranked = sorted(going, key=lambda s: (-found.get(s[0], -math.inf), s[0]))
+            going = sorted(ranked[: max(1, math.ceil(len(going) * PROMOTED))])
     table = spark.createDataFrame(
-        [(n, a, {k: str(v) for k, v in p.items()}) for n, a, p in settings],
-        "trial int, algorithm string, params map<string,string>",
+        [(n, a, {k: str(v) for k, v in p.items()}, last[n]) for n, a, p in settings],
+        "trial int, algorithm string, params map<string,string>, rung int",
     )
-    return table, spark.read.parquet(*[f"{root}/trial-{s[0]}-fold-{fold}" for s, fold in jobs])
+    return table, spark.read.parquet(*[p for s in settings for p in paths([s], last[s[0]])])

@@ -59,8 +59,9 @@ def prepare(task: Task, table: DataFrame, allow_missing: bool = False) -> DataFr
     return lake.staged(train.unionByName(parts.filter("is_test")), f"{task.name}_bounded")
 
 
-def tune(task: Task, parts: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0):
-    """(best algorithm, its settings, table of all trials) over the training part."""
+def tune(task: Task, parts: DataFrame, n_trials: int = C.TRIALS, effort: float = 1.0, rungs: int = 2):
+    """(best algorithm, its settings, scores of the trials fitted in full) over the training part.
+    The search halves over ``rungs``; with 0 every trial is fitted in full."""
     train = lake.staged(parts.filter("not is_test").drop("is_test"), "tune_rows")
     k, stratify = C.CV_FOLDS, None
     if task.kind == "classifier":
@@ -68,7 +69,9 @@ def tune(task: Task, parts: DataFrame, n_trials: int = C.TRIALS, effort: float =
         stratify = task.target
     used = [c for c in task.features if c in train.columns]
     folded = sampling.folds(train, task.keys, k, stratify=stratify)
-    settings, scored = models.search(folded, used, task.target, task.kind, trials=n_trials, effort=effort)
+    settings, scored = models.search(folded, used, task.target, task.kind, trials=n_trials, effort=effort, rungs=rungs)
+    whole = settings.filter(F.col("rung") == rungs).select("trial")
+    scored = scored.join(F.broadcast(whole), "trial")
     score = trials.trial_scores if task.kind == "classifier" else trials.regression_trial_scores
     scores = lake.staged(score(scored), "trial_scores")
     best = trials.best_trial(scores).first()

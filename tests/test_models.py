@@ -70,6 +70,21 @@ def test_search_scores_every_row_once_per_trial(spark, delay):
     assert best.score > 0.6 and settings.filter(F.col("trial") == best.trial).first().params
 
 
+def test_halving_finds_what_the_full_search_finds(spark, delay):
+    """Six trials, a third of which go on at each rung; the last one left is the best of all."""
+    frame = sampling.folds(delay, ["id"], 2)
+    asked = dict(features=C.DELAY_FEATURES, target="delay_risk", algorithms=["lgbm", "xgboost", "catboost"], trials=6, effort=0.06)
+    settings, scored = models.search(frame, **asked)
+    full = {r.trial: r.score for r in trials.trial_scores(scored).collect()}
+    halved, rows = models.search(frame, **asked, rungs=2)
+    rung = {r.trial: r.rung for r in halved.collect()}
+    assert sorted(rung.values()) == [0, 0, 0, 0, 1, 2] and {r.rung for r in settings.collect()} == {0}
+    assert rows.groupBy("trial").count().filter("count != 600").count() == 0
+    (left,) = [t for t, r in rung.items() if r == 2]
+    last = {r.trial: r.score for r in trials.trial_scores(rows.filter(F.col("trial") == left)).collect()}
+    assert last[left] == pytest.approx(full[left]) and full[left] >= max(full.values()) - 0.01
+
+
 def test_drawn_params_fit_mllib():
     import random
 
