@@ -201,7 +201,7 @@ def routes_job(spark, silver_path, path, run_id, metrics_path=None, first_day=No
             days = days.filter(F.col("event_date") <= F.lit(last_day).cast("date"))
         return routes.day_sketches(days)
 
-    _gold_days(spark, "route_sketches", run_id, metrics_path, f"{path}_sketches", sketch, first_day, last_day)
+    _gold_days(spark, "route_sketches", run_id, None, f"{path}_sketches", sketch, first_day, last_day)
     return record
 
 
