@@ -253,3 +253,24 @@ def test_detector_search_honours_its_arguments(spark, normal):
     assert settings.count() == 1 and scored.count() == 1000
     row = anomaly.trial_scores(scored).first()
     assert row.separation > 1 and row.score_spread > 0
+
+
+def test_wide_vectors_move_in_bounded_pieces(spark, monkeypatch):
+    """In 64 dimensions nothing is excluded: a row goes to few tiles, a piece at a time, and finds
+    what all pairs find."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(neighbours, "STEP_CELLS", 4_000)
+    x = np.random.default_rng(5).normal(size=(2_000, 64))
+    base = neighbours.staged(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>"), "p")
+    _, tiles = neighbours.tiled(base, "euclidean")
+    assert len(tiles.rows) == 4 and tiles.rows.sum() == 2_000
+    batch = base.toPandas().assign(bound=np.inf)
+    pieces = [len(row) for row, _ in tiles.visits(batch)]
+    assert sum(pieces) == 3 * 2_000 and max(pieces) <= 4_000
+    found = {}
+    for r in neighbours.neighbours(base, base, 5, "euclidean").filter("id < 50").collect():
+        found.setdefault(r.id, []).append((r.away, r.other))
+    away = neighbours.distances(x[:50], x, "euclidean")
+    for i in range(50):
+        order = [j for j in np.argsort(away[i], kind="stable") if j != i][:5]
+        assert sorted(found[i]) == [(away[i, j], j) for j in order]
