@@ -64,6 +64,20 @@ def test_fleet_sketches_stay_within_their_error(spark):
     assert {r.route_id: r.route_density for r in routes.combined_sketches(sketches).collect()} == {r.route_id: r.route_density for r in routes.combined(rows).collect()}
 
 
+def test_fleets_of_a_route_are_counted_exactly(spark):
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("r"), F.col("id") % 2).alias("route_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("event_date"),
+        F.when(F.col("id") > 1, (F.col("id") % 9_001).cast("string")).otherwise("").alias("aircraft_id"),
+        F.lit("2024-01-01").cast("timestamp").alias("event_timestamp"),
+        *[F.lit(1).cast("long").alias(c) for c in ("reports", "cruise_count")],
+        *[F.lit(1.0).alias(c) for c in ("cruise_sum", "delay_sum")],
+    )
+    exact = {r.route_id: r.unique_aircraft_count for r in routes.combined(rows).collect()}
+    found = routes.combined_sketches(lake.staged(routes.day_sketches(rows), "sketches")).collect()
+    assert {r.route_id: r.unique_aircraft_count for r in found} == exact and min(exact.values()) > 8_000
+
+
 def test_quantile_sketches_stay_within_their_error(spark):
     rows = spark.range(60_000).select(
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("day"),
