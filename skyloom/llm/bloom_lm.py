@@ -9,12 +9,13 @@ table and of word pairs that occur at least ``min_count`` times. Probabilities i
 where ``f`` makes room for what false positives add, c(v w) is the lower end of its count's
 level and c(v) the upper end, so the probabilities of all words after v sum to one at most. The
 weights l depend on the size of c(v) and are fitted by leave-one-out expectation-maximisation
-on a bounded sample of training texts.
+on all tokens of the training texts: tasks count them by size class and by the ratio of the two
+terms, in steps of 2**(1/32), and the rounds run on these counts, whose number is bounded.
 
 The filter's size is measured before it is sent. Beyond ``max_bytes`` its slices are sent in
 turns, one pass over the texts for each: a token's pair lies in one slice, so the passes add up
 to the same scores. Words beyond the head go out in turns of their own if they have to, before
-the pairs. The weights are fitted first, on levels from all slices.
+the pairs. The passes that count for the weights add up likewise and come before the scores.
 """
 
 import math
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import (
-    Hashes, buckets, chunks, fold, local, mixed, numbered, query, sampled_texts, table,
+    Hashes, buckets, chunks, fold, local, mixed, numbered, query, table,
 )
 from skyloom.llm.substrings import dealt, joined
 from skyloom.sources.lake import staged
@@ -39,9 +40,10 @@ BASE = 1.5
 BITS_PER_ENTRY = 32
 BLOCKS_PER_ENTRY, BITS_PER_BLOCK = 3, 5
 MAX_BYTES = 256 << 20
-WEIGHT_ROWS = 500
 COMBINED_WORDS = 1_000_000
 EM_ROUNDS = 20
+#: Steps of a factor of two, and the factors of two, that ratios are counted in.
+RATIO_STEPS, RATIO_REACH = 32, 80
 END = np.uint64(0xD1B54A32D192ED03)
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -252,13 +254,6 @@ def slices(counts: DataFrame, head: int, min_count: int) -> DataFrame:
     return counts.select(*COUNTED_COLUMNS[:5]).mapInPandas(task, schema)
 
 
-def loaded(rows: pd.DataFrame, kind: str, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks and slice sizes over all buckets."""
-    sizes = np.zeros(parts, np.int64)
-    sizes[rows["bucket"]] = rows[f"{kind}_size"]
-    return np.frombuffer(b"".join(rows.sort_values("bucket")[f"{kind}_bits"]), np.uint64), sizes
-
-
 def in_head(head: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where words are in the sorted head, and whether they are."""
     at = np.minimum(np.searchsorted(head, word), max(0, len(head) - 1))
@@ -285,10 +280,10 @@ class Model:
             low[exact] = high[exact] = self.times[at[exact]]
         return low, high, exact
 
-    def parts(self, token: np.ndarray, rare: np.ndarray | None = None, pair_level=None):
+    def parts(self, token: np.ndarray, rare: np.ndarray | None = None):
         """For each token: probability alone, count of the pair, count of the history, and its
         lower count and whether that is exact. ``rare``: levels of the tokens beyond the head, the
-        last of which is an end; ``pair_level`` stands in for the pairs' filter."""
+        last of which is an end."""
         if rare is None:
             unique, back = np.unique(token, return_inverse=True)
             low, high, exact = (x[back] for x in self.counts(unique))
@@ -301,7 +296,7 @@ class Model:
         pair = np.zeros(len(token))
         both = np.flatnonzero((low > 0) & (before > 0))
         found, back = np.unique(pair_hash(histories(token)[both], token[both]), return_inverse=True)
-        pair[both] = lower_end((pair_level or self.pairs.level)(found), self.min_count)[back]
+        pair[both] = lower_end(self.pairs.level(found), self.min_count)[back]
         return alone, np.minimum(pair, before), before, low, exact
 
     def log10(self, alone: np.ndarray, pair: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -309,20 +304,33 @@ class Model:
         spurious = FALSE_POSITIVE * self.distinct * self.min_count
         return np.log10(weight * pair / (before + spurious + 1e-300) + (1 - weight) * alone)
 
-    def fit(self, token: np.ndarray, rare: np.ndarray | None = None, pair_level=None) -> np.ndarray:
-        """Weights by expectation-maximisation, each token's own occurrence taken out."""
-        alone, pair, before, _, _ = self.parts(token, rare, pair_level)
+    def ratios(self, alone: np.ndarray, pair: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """For each token, its own occurrence taken out, the cell it counts in for the weights:
+        the size class and, from 1, the step of the pair's share over the word's; 0 without pair."""
         pair = np.where(pair > self.min_count, pair - 1, 0.0)
         before = np.maximum(before - 1, 0)
-        bins = size_class(before)
-        ratio = pair / (before + FALSE_POSITIVE * self.distinct * self.min_count + 1e-300)
-        weights = np.full(64, 0.5)
-        n = np.bincount(bins, minlength=64)
-        for _ in range(EM_ROUNDS):
-            own = weights[bins] * ratio
-            share = own / (own + (1 - weights[bins]) * alone)
-            weights = (np.bincount(bins, share, minlength=64) + 0.1) / (n + 1.0)
-        return weights
+        ratio = pair / (before + FALSE_POSITIVE * self.distinct * self.min_count + 1e-300) / alone
+        step = np.zeros(len(pair), np.int64)
+        some = ratio > 0
+        most = RATIO_STEPS * RATIO_REACH
+        step[some] = np.clip(np.rint(np.log2(ratio[some]) * RATIO_STEPS), -most, most) + most + 1
+        return size_class(before) * RATIO_CELLS + step
+
+
+RATIO_CELLS = 2 * RATIO_STEPS * RATIO_REACH + 2
+
+
+def maximised(cells: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Weights by expectation-maximisation over the cells of all tokens."""
+    bins, step = cells // RATIO_CELLS, cells % RATIO_CELLS
+    ratio = np.where(step > 0, 2.0 ** ((step - 1) / RATIO_STEPS - RATIO_REACH), 0.0)
+    weights = np.full(64, 0.5)
+    n = np.bincount(bins, times, minlength=64)
+    for _ in range(EM_ROUNDS):
+        own = weights[bins] * ratio
+        share = own / (own + (1 - weights[bins]))
+        weights = (np.bincount(bins, share * times, minlength=64) + 0.1) / (n + 1.0)
+    return weights
 
 
 def size_class(before: np.ndarray) -> np.ndarray:
@@ -340,14 +348,16 @@ def turns_of(sizes: pd.DataFrame, kind: str, parts: int, max_bytes: int) -> list
     return [*turns, (begin, parts)]
 
 
-def slices_of(cut: DataFrame, kind: str, turn: tuple[int, int], parts: int) -> tuple[np.ndarray, np.ndarray]:
-    mine = cut.filter((F.col("bucket") >= turn[0]) & (F.col("bucket") < turn[1]))
-    return loaded(local(mine.select("bucket", f"{kind}_bits", f"{kind}_size")), kind, parts)
-
-
-def summed_levels(cut: DataFrame, kind: str, turns: list[tuple[int, int]], parts: int, hashes: np.ndarray) -> np.ndarray:
-    """Levels of hashes, each from the slice that it lies in."""
-    return sum(Filter(*slices_of(cut, kind, turn, parts)).level(hashes) for turn in turns)
+def slices_of(cut: DataFrame, sizes: pd.DataFrame, kind: str, turn: tuple[int, int], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks and slice sizes of the buckets of a turn, put in place a partition at a time."""
+    size = np.zeros(parts, np.int64)
+    mine = sizes[(sizes["bucket"] >= turn[0]) & (sizes["bucket"] < turn[1])]
+    size[mine["bucket"]] = mine[f"{kind}_size"]
+    words, end = np.zeros(size.sum(), np.uint64), size.cumsum()
+    rows = cut.filter((F.col("bucket") >= turn[0]) & (F.col("bucket") < turn[1])).select("bucket", f"{kind}_bits")
+    for bucket, bits in rows.toLocalIterator():
+        words[end[bucket] - size[bucket] : end[bucket]] = np.frombuffer(bits, np.uint64)
+    return words, size
 
 
 def levelled(docs: DataFrame, model) -> DataFrame:
@@ -368,19 +378,40 @@ def levelled(docs: DataFrame, model) -> DataFrame:
     return docs.select("row_id", "text").mapInPandas(task, "row_id long, levels array<smallint>")
 
 
-def scored(docs: DataFrame, model, turn: tuple[int, int], parts: int) -> DataFrame:
+def scanned(batches: Iterator[pd.DataFrame], m: Model, turn: tuple[int, int], parts: int):
+    """Rows some at a time, with their tokens, the texts' numbers, what the model says of each
+    token, and whether its pair lies in the buckets of the turn."""
+    hashes = Hashes()
+    for rows, held in chunks(batches):
+        token, doc = tokens(held, hashes)
+        known = np.concatenate(rows["levels"].tolist()) if "levels" in rows else None
+        said = m.parts(token, known)
+        bucket = bucket_of(pair_hash(histories(token), token), parts)
+        yield rows, token, doc, said, (bucket >= turn[0]) & (bucket < turn[1])
+
+
+def cells(docs: DataFrame, model, turn: tuple[int, int], parts: int) -> DataFrame:
+    """(cell, n): all tokens of the texts whose pair lies in the buckets of this turn, by cell."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m, total = Model(*model.value), np.zeros(64 * RATIO_CELLS, np.int64)
+        for _, _, _, (alone, pair, before, _, _), mine in scanned(batches, m, turn, parts):
+            found, times = np.unique(m.ratios(alone[mine], pair[mine], before[mine]), return_counts=True)
+            total[found] += times
+        yield pd.DataFrame({"cell": np.flatnonzero(total), "n": total[total > 0]})
+
+    return docs.mapInPandas(task, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+
+
+def scored(docs: DataFrame, model, weights: np.ndarray, turn: tuple[int, int], parts: int) -> DataFrame:
     """Sums over the tokens of each row of (row_id, doc_id, text, held_out); the score counts
     tokens whose pair lies in the buckets of this turn."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, hashes = Model(*model.value), Hashes()
-        for rows, held in chunks(batches):
-            token, doc = tokens(held, hashes)
-            known = np.concatenate(rows["levels"].tolist()) if "levels" in rows else None
-            alone, pair, before, low, exact = m.parts(token, known)
-            bucket = bucket_of(pair_hash(histories(token), token), parts)
-            mine = (bucket >= turn[0]) & (bucket < turn[1])
-            size = len(held)
+        m = Model(*model.value)
+        m.weights = weights
+        for rows, token, doc, (alone, pair, before, low, exact), mine in scanned(batches, m, turn, parts):
+            size = len(rows)
             logs = np.where(mine, m.log10(alone, pair, before), 0.0)
             out = rows[["row_id", "doc_id", "held_out"]].copy()
             out["n_tokens"] = np.bincount(doc, minlength=size)
@@ -412,6 +443,7 @@ def score_texts(
     least = frequent(counts, head_words) if total else 1
     head = local(word_rows(counts, least, None))
     found, times = summed(head["h"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64))
+    del head
     cut = staged(slices(counts, least, min_count), "slices")
     sizes = local(cut.select("bucket", "word_size", "pair_size")).sort_values("bucket")
     word_turns, turns = (turns_of(sizes, kind, parts, max_bytes) for kind in ("word", "pair"))
@@ -426,19 +458,14 @@ def score_texts(
         rows = staged(rows, "numbered")
     none = (np.empty(0, np.uint64), np.zeros(parts, np.int64))
     model = [found, times, none, none, total, distinct, min_count, np.zeros(64)]
-    sample = pd.DataFrame({"text": sampled_texts(docs.filter(learn), WEIGHT_ROWS)})
-    held = [text for _, more in chunks([sample]) for text in more]
-    if held:
-        token = tokens(held, Hashes())[0]
-        rare = summed_levels(cut, "word", word_turns, parts, token[~in_head(found, token)[1]])
-        model[-1] = Model(*model).fit(token, rare, lambda pairs: summed_levels(cut, "pair", turns, parts, pairs))
     if len(word_turns) == 1:
-        model[2] = slices_of(cut, "word", word_turns[0], parts)
+        model[2] = slices_of(cut, sizes, "word", word_turns[0], parts)
     else:
         levels = None
         for turn in word_turns:
-            sent = spark.sparkContext.broadcast((found, slices_of(cut, "word", turn, parts)))
+            sent = spark.sparkContext.broadcast((found, slices_of(cut, sizes, "word", turn, parts)))
             one = staged(levelled(rows, sent), "levels")
+            sent.destroy()
             if levels is None:
                 levels = one
             else:
@@ -446,15 +473,36 @@ def score_texts(
                 add = F.zip_with("levels", "more", lambda a, b: (a + b).cast("smallint"))
                 levels = staged(both.select("row_id", add.alias("levels")), "levels")
         rows = staged(rows.join(levels, "row_id"), "numbered")
+
+    def broadcast(turn):
+        model[3] = slices_of(cut, sizes, "pair", turn, parts)
+        out = spark.sparkContext.broadcast(list(model))
+        model[3] = none
+        return out
+
+    sent, counted_cells = None, []
+    for turn in turns if total else ():
+        if sent:
+            sent.destroy()
+        sent = broadcast(turn)
+        counted_cells.append(local(cells(rows.filter("not held_out"), sent, turn, parts)))
+    weights = np.zeros(64)
+    if counted_cells:
+        found_cells = pd.concat(counted_cells)
+        weights = maximised(found_cells["cell"].to_numpy(np.int64), found_cells["n"].to_numpy(np.float64))
     out = None
     for turn in turns:
-        model[3] = slices_of(cut, "pair", turn, parts)
-        one = staged(scored(rows, spark.sparkContext.broadcast(list(model)), turn, parts), "scored")
+        if sent is None or len(turns) > 1:
+            if sent:
+                sent.destroy()
+            sent = broadcast(turn)
+        one = staged(scored(rows, sent, weights, turn, parts), "scored")
         if out is None:
             out = one
         else:
             more = one.select("row_id", F.col("score").alias("more"))
             out = staged(out.join(more, "row_id").withColumn("score", F.col("score") + F.col("more")).drop("more"), "scored")
+    sent.destroy()
 
     tail = word_rows(counts, 0, least)
     rare = out.select("row_id", F.explode("rare").alias("h")).join(tail, "h", "left")

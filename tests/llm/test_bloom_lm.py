@@ -117,3 +117,22 @@ def test_probabilities_sum_to_one_at_most():
         alone, pair_count, before, _, _ = model.parts(line)
         total = (10 ** model.log10(alone, pair_count, before))[1::2].sum()
         assert total <= 1 + 1e-9
+
+
+def test_weights_come_from_all_tokens(docs_of, monkeypatch):
+    """Beyond 500 texts too; and a text that is there many times counts as often."""
+    seen = []
+    fitted = bloom_lm.maximised
+    monkeypatch.setattr(bloom_lm, "maximised", lambda cells, times: seen.append(times.sum()) or fitted(cells, times))
+    texts = [(i, f"a b c{i} a b d{i % 7}" if i % 3 else "a b a b") for i in range(1_000)]
+    rows = scores(docs_of(texts), max_bytes=6_000)
+    assert seen == [sum(len(tokens(text)) for i, text in texts if not held_out(i))] == [rows[0].train_tokens]
+
+
+def test_weights_raise_the_likelihood():
+    """Half of the tokens follow their history, at a ratio of 8; a weight of about half comes out."""
+    one = 1 + 32 * (bloom_lm.RATIO_REACH + 3)
+    weights = bloom_lm.maximised(np.array([0, one]) + 5 * bloom_lm.RATIO_CELLS, np.array([1_000.0, 1_000.0]))
+    w = np.linspace(0.01, 0.99, 99)
+    best = w[np.argmax(np.log(1 - w) + np.log(w * 8 + 1 - w))]
+    assert weights[5] == pytest.approx(best, abs=0.02)
