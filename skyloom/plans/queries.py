@@ -1021,14 +1021,24 @@ def permutation_importance(spark, sf):
 CUTS = ["2024-01-01", "2024-01-11", "2024-01-21", "2030-01-01"]
 
 
+FILE_ROWS = 100_000
+
+
+def _files(parts):
+    """Files to write of each of the stored ``parts``: with this many rows at least in every file
+    none is empty, so all parts have as many files and a stream takes one part a batch."""
+    return max(1, min(part.count() for part in parts) // FILE_ROWS)
+
+
 def _in_batches(spark, rows, name, at="event_timestamp"):
-    """Rows staged as one file for each third of the month, in time order, so that a stream of
-    one file a batch takes three batches."""
+    """Rows staged as some files for each third of the month, in time order, so that a stream of
+    the files of one third a batch takes three batches."""
     path = lake.fresh_path(spark, name)
-    for low, high in zip(CUTS, CUTS[1:]):
-        part = rows.filter((F.col(at) >= F.lit(low).cast("timestamp")) & (F.col(at) < F.lit(high).cast("timestamp")))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    parts = _thirds(lake.staged(rows, f"{name}_rows"), at)
+    files = _files(parts)
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _land_stream(spark, sf, name):
@@ -1044,10 +1054,11 @@ def _land_stream(spark, sf, name):
 
 
 def _land_json(spark, parts, path):
-    """Bronze envelopes as one JSON file for each part, streamed one a batch."""
+    """Bronze envelopes as some JSON files for each part, streamed one part a batch."""
+    files = _files(parts)
     for part in parts:
-        part.drop("event_id").coalesce(1).write.mode("append").json(path)
-    return bronze.stream_bronze(spark, path, 1)
+        part.drop("event_id").repartition(files).write.mode("append").json(path)
+    return bronze.stream_bronze(spark, path, files)
 
 
 def _thirds(rows, at):

@@ -166,3 +166,16 @@ def test_latest_table_over_batches(spark, parts, tmp_path):
     query.awaitTermination()
     want = last_per_key(view.select(spark.read.parquet(parts)), ["aircraft_id"], ["event_timestamp"])
     assert rows(table.read(spark)) == rows(want)
+
+
+def test_stream_parts_land_as_several_files_a_batch(spark, monkeypatch):
+    """A part of a stream is written by several tasks and still taken in one batch."""
+    from skyloom.plans import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 20)
+    rows = spark.range(600).selectExpr("id", "timestamp'2024-01-01' + make_dt_interval(int(id % 30)) as event_timestamp")
+    seen = []
+    stream = queries._in_batches(spark, rows, "parts")
+    count = lambda batch, _: seen.append((batch.count(), batch.select(F.input_file_name()).distinct().count(), batch.selectExpr("min(event_timestamp)").first()[0].day))
+    stream.writeStream.foreachBatch(count).trigger(availableNow=True).option("checkpointLocation", queries.lake.fresh_path(spark, "c")).start().awaitTermination()
+    assert [(n, day) for n, _, day in seen] == [(200, 1), (200, 11), (200, 21)] and all(files == 10 for _, files, _ in seen)
