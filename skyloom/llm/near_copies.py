@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import Hashes, mixed, numbered, words
 from skyloom.llm.components import components
 from skyloom.llm.simhash import RADIUS, block_pairs, fingerprint_links
-from skyloom.sources.lake import fits, staged
+from skyloom.sources.lake import broadcast_within, fits, staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -116,15 +116,25 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
 
 def candidate_groups(contents: DataFrame) -> DataFrame:
     """Stored (kind, sig, content) of groups with two or more of the stored ``contents``
-    (content, fp, samples)."""
+    (content, fp, samples), one of those with the same members."""
     reps = staged(contents.filter("size(samples) > 0").groupBy("fp").agg(F.min("content").alias("rep")), "reps")
     found = components(fingerprint_links(reps, RADIUS)).withColumnRenamed("node", "rep")
     whole = contents.filter("size(samples) > 0").join(reps, "fp").join(found, "rep", "left")
     whole = whole.select(F.lit(WHOLE).alias("kind"), F.coalesce("component", "rep").alias("sig"), "content")
     sampled = contents.select(F.posexplode("samples").alias("kind", "sig"), "content")
     every = staged(sampled.unionByName(whole), "groups")
-    several = every.groupBy("kind", "sig").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    return staged(every.join(several, ["kind", "sig"]), "candidates")
+    # Copies meet in most kinds of group. Equal groups, told by their size, ends and two sums of
+    # hashes, are compared once.
+    members = {
+        "n": F.count("*"),
+        "least": F.min("content"),
+        "most": F.max("content"),
+        "one": F.bit_xor(F.xxhash64("content")),
+        "two": F.bit_xor(F.xxhash64(F.lit(1), "content")),
+    }
+    several = every.groupBy("kind", "sig").agg(*[m.alias(name) for name, m in members.items()]).filter("n > 1")
+    different = several.groupBy(*members).agg(F.min(F.struct("kind", "sig")).alias("group"))
+    return staged(every.join(different.select("group.*"), ["kind", "sig"]), "candidates")
 
 
 def verified(docs: DataFrame, places: DataFrame, groups: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -186,10 +196,17 @@ def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, similarity: floa
     node = F.coalesce(F.col("doc_id").cast("bigint"), text_id)
     found = staged(near_copies(docs.select(node.alias("node"), "text"), shingle, similarity), "near")
     kept = found.filter("node = component").groupBy("node").agg(F.count("*").alias("n"))
-    kept = staged(kept.select(F.col("node").alias("kept_node"), "n"), "kept")
+    # Ids go to the texts, not texts to the ids: 64 neighbouring ids are two words of bits.
+    bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
+    marks = kept.groupBy(F.shiftright("node", 6).alias("own_chunk")).agg(
+        F.bit_or(F.when(F.col("n") == 1, bit).otherwise(F.lit(0).cast("long"))).alias("own_once"),
+        F.bit_or(F.when(F.col("n") > 1, bit).otherwise(F.lit(0).cast("long"))).alias("own_several"),
+    )
+    marks = broadcast_within(staged(marks, "kept"), MAX_ROWS)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(node.alias("own_node"), row.alias("own_row"))
-    on = F.col("own_node") == F.col("kept_node")
-    once = rows.join(kept.filter("n = 1"), on, "left_semi").select("own_row.*")
-    several = rows.join(kept.filter("n > 1"), on, "left_semi").groupBy("own_node")
+    rows = docs.select(node.alias("own_node"), row.alias("own_row")).withColumn("own_chunk", F.shiftright("own_node", 6))
+    rows = rows.join(marks, "own_chunk")
+    marked = "shiftright({}, cast(own_node & 63 as int)) & 1 = 1"
+    once = rows.filter(marked.format("own_once")).select("own_row.*")
+    several = rows.filter(marked.format("own_several")).groupBy("own_node")
     return once.unionByName(several.agg(F.min("own_row").alias("own_row")).select("own_row.*"))

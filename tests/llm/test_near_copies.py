@@ -133,3 +133,28 @@ def test_shingles_are_those_of_the_words():
         assert len(near_copies.shingles(common.words(text), hashes)) == len(plain_set(text))
     same = [near_copies.shingles(common.words(t), hashes).tolist() for t in ("a b c d e f", "A  b\tC d e f")]
     assert same[0] == same[1]
+
+
+def test_equal_groups_are_compared_once(spark):
+    """Members that meet under several kinds make one group; other members make others."""
+    rows = [(1, 7, [10, 20, 30]), (2, 7, [10, 20, 31]), (3, 9, [10, 21, 32]), (4, 1 << 40, [99, 98, 97])]
+    contents = spark.createDataFrame(rows, "content long, fp long, samples array<long>")
+    found = {}
+    for r in near_copies.candidate_groups(contents).collect():
+        found.setdefault((r.kind, r.sig), []).append(r.content)
+    assert sorted(sorted(g) for g in found.values()) == [[1, 2], [1, 2, 3]]
+
+
+def test_texts_are_not_shuffled_for_the_ids_that_stay(docs_of, spark):
+    """However many ids there are; ids of both signs, and at both ends of a word of bits."""
+    ids = [-(1 << 62), -65, -64, -1, 0, 1, 62, 63, 64, (1 << 62) - 1]
+    docs = docs_of([(i, f"a text of its own for {i}") for i in ids] + [(63, "a second text of that id")])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_copies.distinct_documents(docs)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        kept = [(r.doc_id, r.text) for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(i for i, _ in kept) == ids and (63, "a second text of that id") in kept
