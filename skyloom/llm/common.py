@@ -42,18 +42,6 @@ def local(df: DataFrame) -> pd.DataFrame:
     return df.toArrow().to_pandas()
 
 
-def sampled_texts(docs: DataFrame, rows: int) -> list[str]:
-    """Up to ``rows`` different texts, those with the least hashes. Only hashes are put in order;
-    the texts that pass the cut are then read, each once however many copies there are."""
-    hashed = docs.filter("text is not null").select("text", F.xxhash64("text").alias("h"))
-    least = hashed.select("h").distinct().orderBy("h").limit(rows)
-    cut = least.agg(F.max("h")).first()[0]
-    if cut is None:
-        return []
-    chosen = hashed.filter(F.col("h") <= cut).groupBy("h").agg(F.min("text").alias("text"))
-    return local(chosen.orderBy("h").select("text"))["text"].tolist()
-
-
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

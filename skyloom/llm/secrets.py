@@ -2,10 +2,12 @@
 
 The rules give the base findings. Every other long run of key characters with a digit is a
 candidate. The network reads the candidate with the text around it, in tiles if it is long, and
-is trained on labelled findings: those of the rules in a bounded sample of the documents,
-generated ones of known kinds, found and clean, and candidates of the sample that no rule finds
-and that a first network takes for clean. Its outputs are calibrated
-on examples held back, and the threshold is the highest that keeps the recall asked for there.
+is trained on labelled findings of all documents: those of the rules, generated ones of known
+kinds, found and clean, and candidates that no rule finds and that a first network takes for
+clean. The examples are dealt to parts, each with generated ones of its own; in every round each
+part trains a copy of the network, and the copies are averaged (McMahan et al., 2017). Outputs
+are calibrated on examples held back, and the threshold is the highest that keeps the recall
+asked for there.
 """
 
 import re
@@ -16,16 +18,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import query, sampled_texts, table, unused
+from skyloom.llm.common import local, query, table, unused
+from skyloom.sources.lake import staged
 
-SAMPLE_ROWS = 3_000
+PART = 4_000
 PER_LABEL = 2_000
 RECALL = 0.97
 FLOOR = 0.5
 SHORTEST = 16
 TILE, AROUND = 64, 16
 EMBED, WIDTH, FILTERS = 8, 5, 24
-EPOCHS, BATCH, RATE = 12, 64, 3e-3
+EPOCHS, ROUNDS, BATCH, RATE = 12, 4, 64, 3e-3
+#: Outputs are told apart in steps of 1 / STEPS; weights are averaged in units of 1 / UNITS.
+STEPS, UNITS = 1024, 1 << 24
 SEED = 5
 REPLACEMENT = "[SECRET]"
 KINDS = ["assign", "access", "hex", "learned"]
@@ -65,17 +70,18 @@ def candidates(text: str, found: list) -> list[tuple[int, int]]:
 
 def tiles(text: str, start: int, end: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Symbols and candidate mask of the tiles of one candidate with the text around each."""
-    out = []
-    for at in range(start, end, TILE):
-        low, high = at - AROUND, at + TILE + AROUND
-        piece = text[max(0, low) : high]
-        code = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        symbols = np.zeros(high - low, np.int64)
-        left = max(0, -low)
-        symbols[left : left + len(code)] = np.where((code >= 32) & (code < 127), code - 31, 96)
-        place = np.arange(low, high)
-        out.append((symbols, (place >= start) & (place < end)))
-    return out
+    return [tile(text, at, start, end) for at in range(start, end, TILE)]
+
+
+def tile(text: str, at: int, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    low, high = at - AROUND, at + TILE + AROUND
+    piece = text[max(0, low) : high]
+    code = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    symbols = np.zeros(high - low, np.int64)
+    left = max(0, -low)
+    symbols[left : left + len(code)] = np.where((code >= 32) & (code < 127), code - 31, 96)
+    place = np.arange(low, high)
+    return symbols, (place >= start) & (place < end)
 
 
 class Network:
@@ -127,21 +133,26 @@ class Network:
 
 def outputs(network: Network, symbols: np.ndarray, mask: np.ndarray) -> np.ndarray:
     parts = [network.forward(symbols[i : i + 256], mask[i : i + 256])[0] for i in range(0, len(symbols), 256)]
-    return np.concatenate(parts) if parts else np.zeros(0)
+    found = np.concatenate(parts) if parts else np.zeros(0)
+    return np.rint(np.clip(found, -50, 50) * STEPS) / STEPS
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def trained(symbols: np.ndarray, mask: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> Network:
-    """Adam on the logistic loss, both labels weighted alike."""
+def trained(
+    symbols: np.ndarray, mask: np.ndarray, y: np.ndarray, rng: np.random.Generator, weights: dict | None = None, epochs: int = EPOCHS
+) -> Network:
+    """Adam on the logistic loss, both labels weighted alike, from ``weights`` if given."""
     network = Network(rng)
+    if weights:
+        network.p = {k: v.copy() for k, v in weights.items()}
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
     second = {k: np.zeros_like(v) for k, v in network.p.items()}
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             i = order[at : at + BATCH]
@@ -156,17 +167,26 @@ def trained(symbols: np.ndarray, mask: np.ndarray, y: np.ndarray, rng: np.random
     return network
 
 
-def calibration(out: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic of the outputs (Platt, 1999), by Newton's method."""
+def calibration(out: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic of the outputs (Platt, 1999), by Newton's method; ``n`` is
+    how often an output and label occur."""
     x = np.column_stack([out, np.ones(len(out))])
-    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    ones, zeros = n @ y, n @ (1 - y)
+    target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     w = np.array([1.0, 0.0])
     for _ in range(30):
         p = sigmoid(x @ w)
-        w = w + np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (target - p))
+        w = w + np.linalg.solve((x * (n * (p * (1 - p) + 1e-6))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (n * (target - p)))
     return float(w[0]), float(w[1])
 
 
+def quantile(values: np.ndarray, n: np.ndarray, share: float) -> float:
+    """The value at ``share`` of those in order, each there ``n`` times; the lower of two."""
+    order = np.argsort(values, kind="stable")
+    upto = np.cumsum(n[order])
+    return float(values[order][np.searchsorted(upto, int(np.floor((upto[-1] - 1) * share)), side="right")])
+
+
 def generated(rng: np.random.Generator, count: int) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label) of ``count`` findings of each label: keys in code and prose;
     numbers, names, addresses, paths and versions."""
@@ -217,46 +237,127 @@ def generated(rng: np.random.Generator, count: int) -> list[tuple[str, int, int,
     return out
 
 
-def arrays(examples: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols and mask of the first tile of each example, and its label."""
-    first = [tiles(text, start, end)[0] for text, start, end, _ in examples]
-    symbols, mask = (np.stack(x) for x in zip(*first))
-    return symbols, mask, np.array([e[3] for e in examples], float)
-
-
-def learnt(docs: DataFrame, sample_rows: int) -> tuple[dict, float, float, float]:
-    """Network weights, calibration and threshold."""
-    rng = np.random.default_rng(SEED)
-    examples, unlabelled = generated(rng, PER_LABEL), []
-    for text in sampled_texts(docs, sample_rows):
-        found = base_findings(text)
-        examples += [(text, f[3], f[2], 1) for f in found if f[0] != "assign" or f[2] - f[3] >= SHORTEST]
-        unlabelled += [(text, start, end, 0) for start, end in candidates(text, found)]
-    network = trained(*arrays(examples), rng)
-    if unlabelled:
-        # What no rule finds is taken for clean only where a first network agrees.
-        symbols, mask, _ = arrays(unlabelled)
-        clean = sigmoid(outputs(network, symbols, mask)) < 0.5
-        examples += [e for e, yes in zip(unlabelled, clean) if yes]
-    symbols, mask, y = arrays(examples)
-    held = rng.random(len(y)) < 0.3
-    network = trained(symbols[~held], mask[~held], y[~held], rng)
-    out = outputs(network, symbols[held], mask[held])
-    slope, offset = calibration(out, y[held])
-    chance = sigmoid(slope * out + offset)[y[held] == 1]
-    return network.p, slope, offset, max(FLOOR, float(np.quantile(chance, 1 - RECALL, method="lower")))
+#: Labels of examples; the last is of candidates, which the first network sorts.
+CLEAN, SECRET, OPEN = 0, 1, 2
+
+
+def examples(docs: DataFrame) -> DataFrame:
+    """Stored different examples of every text: label, symbols of the first tile, and the place in
+    it where the value ends."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                found = base_findings(text)
+                spans = [(f[3], f[2], SECRET) for f in found if f[0] != "assign" or f[2] - f[3] >= SHORTEST]
+                spans += [(*span, OPEN) for span in candidates(text, found)]
+                out += [example(text, *span) for span in spans]
+            yield pd.DataFrame(out, columns=["label", "symbols", "high"])
+
+    texts = docs.select("text").filter("text != ''")
+    return staged(texts.mapInPandas(task, "label int, symbols binary, high int").distinct(), "secret_examples")
+
+
+def example(text: str, start: int, end: int, label: int) -> tuple[int, bytes, int]:
+    symbols, _ = tile(text, start, start, end)
+    return label, symbols.astype(np.uint8).tobytes(), min(AROUND + end - start, len(symbols))
+
+
+def dealt(every: DataFrame) -> DataFrame:
+    """Stored parts of about PART ``examples``, each one row, to which PER_LABEL generated ones of
+    each label come; some of all are held back."""
+    many = max(1, -(-every.count() // PART))
+    rows = every.withColumn("part", F.pmod(F.xxhash64("symbols", "high"), F.lit(many)))
+    numbers = every.sparkSession.range(many).withColumnRenamed("id", "part")  # a part may be empty
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        number = int(rows["part"].iloc[0])
+        rng = np.random.default_rng([SEED, number])
+        own = [example(*made) for made in generated(rng, PER_LABEL)]
+        own += sorted(rows[["label", "symbols", "high"]].dropna().astype({"label": int, "high": int}).itertuples(index=False, name=None))
+        labels, symbols, highs = zip(*own)
+        held = rng.random(len(own)) < 0.3
+        blobs = (bytes(labels), b"".join(symbols), bytes(highs), held.tobytes())
+        return pd.DataFrame([(number, *blobs)], columns=["part", "labels", "symbols", "highs", "held"])
+
+    schema = "part long, labels binary, symbols binary, highs binary, held binary"
+    together = rows.unionByName(numbers, allowMissingColumns=True).repartition(many, "part")
+    return staged(together.groupBy("part").applyInPandas(pack, schema), "secret_parts")
+
+
+def arrays(row, first: Network | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, masks, labels and which are held back, of a part. What no rule finds is taken for
+    clean only where the first network agrees, and left out without one."""
+    size = TILE + 2 * AROUND
+    symbols, place = np.frombuffer(row.symbols, np.uint8).reshape(-1, size).astype(np.int64), np.arange(size)
+    mask = (place >= AROUND) & (place < np.frombuffer(row.highs, np.uint8)[:, None])
+    y, held = np.frombuffer(row.labels, np.uint8).astype(float), np.frombuffer(row.held, bool)
+    kept, unknown = y != OPEN, np.flatnonzero(y == OPEN)
+    if first and len(unknown):
+        kept[unknown] = sigmoid(outputs(first, symbols[unknown], mask[unknown])) < 0.5
+        y[unknown] = CLEAN
+    return symbols[kept], mask[kept], y[kept], held[kept]
+
+
+def fitted(parts: DataFrame, first: Network | None) -> Network:
+    """A network of all examples, or of those not held back if there is a ``first`` one. Averages
+    are of whole units, so that they do not depend on the order of parts."""
+    network = Network(np.random.default_rng(SEED))
+    shapes = {k: v.shape for k, v in network.p.items()}
+    ends = np.cumsum([v.size for v in network.p.values()])
+    for round in range(ROUNDS):
+
+        def task(batches: Iterator[pd.DataFrame], round=round, weights=network.p) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for row in batch.itertuples():
+                    symbols, mask, y, held = arrays(row, first)
+                    if first:
+                        symbols, mask, y = symbols[~held], mask[~held], y[~held]
+                    rng = np.random.default_rng([SEED, round, row.part])
+                    own = trained(symbols, mask, y, rng, weights, EPOCHS // ROUNDS)
+                    flat = np.concatenate([v.ravel() for v in own.p.values()] + [[1.0]])
+                    yield pd.DataFrame({"units": [np.rint(flat * len(y) * UNITS).astype(np.int64)]})
+
+        units = parts.mapInPandas(task, "units array<long>").select(F.posexplode("units").alias("at", "unit"))
+        sums = np.array([r.s for r in units.groupBy("at").agg(F.sum("unit").alias("s")).orderBy("at").collect()], float)
+        mean = np.split(sums[:-1] / sums[-1], ends[:-1])
+        network = Network(np.random.default_rng(SEED))
+        network.p = {k: v.reshape(shape) for (k, shape), v in zip(shapes.items(), mean)}
+    return network
+
+
+def learnt(docs: DataFrame) -> tuple[dict, float, float, float]:
+    """Network weights, calibration and threshold, from all texts."""
+    parts = dealt(examples(docs))
+    first = fitted(parts, None)
+    network = fitted(parts, first)
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                symbols, mask, y, held = arrays(row, first)
+                out = outputs(network, symbols[held], mask[held])
+                yield pd.DataFrame({"step": np.rint(out * STEPS).astype(np.int64), "y": y[held].astype(np.int64)})
+
+    # As many rows as there are steps and labels, however many examples.
+    counts = local(parts.mapInPandas(task, "step long, y long").groupBy("step", "y").agg(F.count("*").alias("n")).orderBy("step", "y"))
+    out, y, n = counts["step"].to_numpy() / STEPS, counts["y"].to_numpy().astype(float), counts["n"].to_numpy()
+    slope, offset = calibration(out, y, n)
+    least = quantile(sigmoid(slope * out[y == 1] + offset), n[y == 1], 1 - RECALL)
+    return network.p, slope, offset, max(FLOOR, least)
 
 
 FOUND = "array<struct<kind: string, start: int, end: int, value: int>>"
 
 
-def scan(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """``docs`` (text, others) with ``findings`` (kind, start, end, start of the value; code
     points, end exclusive; by start, then kind) and ``redacted``, the text with every value
     replaced. Columns of these names in the input are replaced. Null and empty texts have no
     findings; a null text stays null."""
     docs = docs.drop("findings", "redacted")
-    weights, slope, offset, least = learnt(docs, sample_rows)
+    weights, slope, offset, least = learnt(docs)
 
     @F.pandas_udf(f"findings {FOUND}, redacted string")
     def task(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

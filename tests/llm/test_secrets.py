@@ -92,3 +92,41 @@ def test_held_out_recall_and_precision():
     network = secrets.trained(symbols[train], mask[train], y[train], rng)
     chance = secrets.sigmoid(secrets.outputs(network, symbols[~train], mask[~train]))
     assert ((chance >= 0.5) == y[~train]).mean() > 0.95
+
+
+def test_every_text_teaches(docs_of, monkeypatch):
+    """More texts than one part holds: the examples are those of all of them, each different one
+    once, and the network averaged over the parts tells generated findings apart."""
+    rng = np.random.default_rng(3)
+    made = secrets.generated(rng, 1750)
+    keys = {f"{i:x}".rjust(6, "e") + "0123456789abcdef01" for i in range(3_500)}
+    texts = [f"{text} and key {key}" for (text, *_), key in zip(made, sorted(keys))]
+    docs = docs_of([*texts, texts[0], None, ""])
+    found = secrets.examples(docs)
+    want = set()
+    for text in texts:
+        base = secrets.base_findings(text)
+        want |= {secrets.example(text, f[3], f[2], secrets.SECRET) for f in base if f[2] - f[3] >= secrets.SHORTEST or f[0] != "assign"}
+        want |= {secrets.example(text, *span, secrets.OPEN) for span in secrets.candidates(text, base)}
+    assert len(want) > 5_000 and {(r.label, bytes(r.symbols), r.high) for r in found.collect()} == want
+    assert found.count() == len(want)
+
+    monkeypatch.setattr(secrets, "PART", 1_500)
+    monkeypatch.setattr(secrets, "PER_LABEL", 500)
+    parts = secrets.dealt(found)
+    assert parts.count() > 3 and sum(len(r.labels) - 1_000 for r in parts.collect()) == len(want)
+    network = secrets.fitted(parts, None)
+    other = secrets.generated(np.random.default_rng(4), 500)
+    symbols, mask = (np.stack(x) for x in zip(*(secrets.tile(t, a, a, b) for t, a, b, _ in other)))
+    chance = secrets.sigmoid(secrets.outputs(network, symbols, mask))
+    assert ((chance >= 0.5) == np.array([e[3] for e in other], bool)).mean() > 0.93
+
+
+def test_weighted_calibration_and_quantile():
+    """As if each row were there as often as its count says."""
+    rng = np.random.default_rng(5)
+    out, y, n = rng.normal(size=40), (rng.random(40) < 0.5).astype(float), rng.integers(1, 9, 40)
+    one = np.ones(n.sum(), int)
+    assert np.allclose(secrets.calibration(out, y, n), secrets.calibration(np.repeat(out, n), np.repeat(y, n), one))
+    for share in (0.0, 0.03, 0.5, 1.0):
+        assert secrets.quantile(out, n, share) == np.quantile(np.repeat(out, n), share, method="lower")
