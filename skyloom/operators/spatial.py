@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from skyloom.constants import AIRPORT_RADIUS_KM
 from skyloom.functions.geo import cell_at, cell_lat, cell_lon, cover_columns, cover_rows, haversine_km, touches
 from skyloom.operators.keyed import BUSY_ROWS
-from skyloom.sources.lake import fits, staged
+from skyloom.sources.lake import broadcast_within, fits, staged
 
 CELL = ["cell_row", "cell_column"]
 LEAF = ["leaf_level", "leaf_row", "leaf_column", "leaf_salt"]
 MAX_CELLS = 200_000
+#: Cells that split or are dealt to parts: rows of a broadcast, at eight or twelve bytes.
+MAX_BUSY = 4_000_000
 #: Cells of one degree split into four this many times at most: to about two kilometres.
 LEVELS = 6
 
@@ -65,27 +67,28 @@ def adaptive_pairs(points: DataFrame, places: DataFrame, radius_km: float, busy_
     position is null pair with none."""
     located = points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     lat, lon = F.col("latitude"), F.col("longitude")
+    # Cells are looked up by id, one at a time: a search of a busy degree's lists costs every row
+    # as many steps as the degree has busy cells.
     busy = busy_cells(located, busy_rows)
-    small = F.broadcast if fits(busy, MAX_CELLS) else (lambda table: table)
-    ids = [cell_id(level, *cell_at(lat, lon, level)) for level in range(LEVELS)]
-    depth = sum((F.coalesce(F.array_contains("splits", i), F.lit(False)).cast("int") for i in ids), F.lit(0))
+    splits = broadcast_within(busy.select(F.explode("splits").alias("split_id")), MAX_BUSY)
+    salts = broadcast_within(busy.select(F.explode("salts").alias("salt_id", "leaf_parts")), MAX_BUSY)
     # Points are numbered where they are read, so that a task that runs again deals them alike.
-    numbered = located.withColumn("leaf_number", F.monotonically_increasing_id())
-    keyed = numbered.withColumns({"cell_row": cell_lat(lat), "cell_column": cell_lon(lon)}).join(small(busy), CELL, "left")
-    keyed = keyed.withColumn("leaf_level", depth)
+    keyed = located.withColumn("leaf_number", F.monotonically_increasing_id()).withColumn("leaf_level", F.lit(0))
+    for level in range(LEVELS):
+        found = F.col("split_id") == cell_id(level, *cell_at(lat, lon, level))
+        deeper = F.col("leaf_level") + F.col("split_id").isNotNull().cast("int")
+        keyed = keyed.join(splits, found, "left").withColumn("leaf_level", deeper).drop("split_id")
     cells = [cell_at(lat, lon, level) for level in range(LEVELS + 1)]
     for name, part in (("leaf_row", 0), ("leaf_column", 1)):
         keyed = keyed.withColumn(name, F.element_at(F.array(*[c[part] for c in cells]), F.col("leaf_level") + 1))
-    parts = F.coalesce(F.col("salts")[cell_id(F.col("leaf_level"), F.col("leaf_row"), F.col("leaf_column"))], F.lit(1))
-    spread = F.pmod(F.xxhash64("leaf_number"), parts).cast("int")
-    keyed = keyed.withColumn("leaf_salt", spread).select(*points.columns, *LEAF)
+    leaf = F.col("salt_id") == cell_id(F.col("leaf_level"), F.col("leaf_row"), F.col("leaf_column"))
+    spread = F.pmod(F.xxhash64("leaf_number"), F.coalesce("leaf_parts", F.lit(1))).cast("int")
+    keyed = keyed.join(salts, leaf, "left").withColumn("leaf_salt", spread).select(*points.columns, *LEAF)
 
-    covered = place_cells(places, place_lat, place_lon, radius_km).join(small(busy), CELL, "left")
+    covered = place_cells(places, place_lat, place_lon, radius_km)
     covered = covered.withColumns({"leaf_level": F.lit(0), "leaf_row": F.col("cell_row"), "leaf_column": F.col("cell_column")})
     for level in range(LEVELS):
-        here = (F.col("leaf_level") == level) & F.array_contains(
-            "splits", cell_id(level, F.col("leaf_row"), F.col("leaf_column"))
-        )
+        found = (F.col("leaf_level") == level) & (F.col("split_id") == cell_id(level, F.col("leaf_row"), F.col("leaf_column")))
         children = F.filter(
             F.array(*[
                 F.struct(F.lit(level + 1).alias("leaf_level"), (F.col("leaf_row") * 2 + i).alias("leaf_row"), (F.col("leaf_column") * 2 + j).alias("leaf_column"))
@@ -94,9 +97,11 @@ def adaptive_pairs(points: DataFrame, places: DataFrame, radius_km: float, busy_
             lambda c: touches(c["leaf_row"], c["leaf_column"], level + 1, F.col(place_lat), F.col(place_lon), radius_km),
         )
         stay = F.array(F.struct("leaf_level", "leaf_row", "leaf_column"))
-        covered = covered.withColumn("leaf", F.explode(F.when(F.coalesce(here, F.lit(False)), children).otherwise(stay)))
-        covered = covered.withColumns({c: F.col(f"leaf.{c}") for c in LEAF[:3]}).drop("leaf")
-    copies = F.coalesce(F.col("salts")[cell_id(F.col("leaf_level"), F.col("leaf_row"), F.col("leaf_column"))], F.lit(1))
+        covered = covered.join(splits, found, "left")
+        covered = covered.withColumn("leaf", F.explode(F.when(F.col("split_id").isNotNull(), children).otherwise(stay)))
+        covered = covered.withColumns({c: F.col(f"leaf.{c}") for c in LEAF[:3]}).drop("leaf", "split_id")
+    covered = covered.join(salts, leaf, "left")
+    copies = F.coalesce("leaf_parts", F.lit(1))
     covered = covered.withColumn("leaf_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     return keyed.join(covered.select(*places.columns, *LEAF), LEAF).drop(*LEAF)
 

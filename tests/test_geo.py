@@ -98,3 +98,13 @@ def test_points_are_not_shuffled_for_small_place_tables(spark):
     plan = within_radius(points, lake.airports(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_points_look_busy_cells_up_by_id(spark):
+    """No search of lists in any row: its time would grow with the busy cells of the degree."""
+    points = lake.staged(spark.range(400).selectExpr("cast(id as int) p", "50 + id % 20 / 25D latitude", "8 + id % 20 / 25D longitude"), "points")
+    places = spark.createDataFrame([("A", 50.1, 8.1), ("B", 50.5, 8.5)], PLACE)
+    joined = within_radius(points, places, radius_km=5.0, max_broadcast_cells=0, busy_rows=10)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "array_contains" not in plan and "salts#" not in plan.split("Generate explode(salts")[0]
+    assert sorted(r.p for r in joined.collect()) == sorted(r.p for r in within_radius(points, places, radius_km=5.0).collect())
