@@ -166,3 +166,19 @@ def test_families_differ_and_survive_saving(spark, tmp_path, algorithm):
     assert right > 0.8
     ranked = models.importances(model, list("abcde"), spark).orderBy(F.desc("importance")).collect()
     assert {r.feature for r in ranked[:3]} == {"a", "b", "c"} and abs(sum(r.importance for r in ranked) - 1) < 1e-9
+
+
+def test_rows_travel_in_blocks(monkeypatch):
+    """A task's small batches become few blocks, which hold every row with its bins."""
+    import pandas as pd
+
+    monkeypatch.setattr(b, "BLOCK_ROWS", 25)
+    rows = pd.DataFrame({"x": [[i / 2, None, -i] for i in range(70)], "y": np.arange(70.0), "w": 2.0, "k": range(70)})
+    edges = [[3.0, 9.0], [1.0], [-20.0]]
+    stored = pd.concat(list(b.blocks((rows[i : i + 10] for i in range(0, 70, 10)), edges)))
+    held = list(b.opened(stored, 3, 0.5))
+    assert [len(h["y"]) for h in held] == [30, 30, 10]
+    assert np.concatenate([h["k"] for h in held]).tolist() == list(range(70))
+    expected = b.bins_of(np.array([[i / 2, np.nan, -i] for i in range(70)]), edges)
+    assert (np.concatenate([h["x"] for h in held], axis=1) == expected).all()
+    assert all((h["raw"] == 0.5).all() and (h["w"] == 2).all() for h in held)
