@@ -19,16 +19,15 @@ the pairs. The passes that count for the weights add up likewise and come before
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import (
-    Hashes, buckets, chunks, fold, local, mixed, numbered, query, table,
-)
+from skyloom.llm.common import Hashes, buckets, flat, fold, local, mixed, numbered, query, table
 from skyloom.llm.substrings import dealt, joined
 from skyloom.sources.lake import staged
 
@@ -41,6 +40,12 @@ BITS_PER_ENTRY = 32
 BLOCKS_PER_ENTRY, BITS_PER_BLOCK = 3, 5
 MAX_BYTES = 256 << 20
 COMBINED_WORDS = 1_000_000
+CHUNK_BYTES = 1_500_000
+#: Longer words are hashed one by one.
+LONG = 64
+#: Bytes of words, not the space and 0x09-0x0D.
+WORD = ~np.isin(np.arange(256), [32, *range(9, 14)])
+ALL = np.uint64(2**64 - 1)
 EM_ROUNDS = 20
 #: Steps of a factor of two, and the factors of two, that ratios are counted in.
 RATIO_STEPS, RATIO_REACH = 32, 80
@@ -140,15 +145,57 @@ def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def portions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows some at a time, about CHUNK_BYTES characters of text, however long the texts are."""
+    for batch in batches:
+        size = np.cumsum([len(t) if t else 0 for t in batch["text"]])
+        cuts = np.flatnonzero(np.diff(size // CHUNK_BYTES)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, len(batch)]):
+            if end > begin:
+                yield batch.iloc[begin:end]
+
+
+def word_hashes(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at ``starts``, eight bytes of all words at a time; the few long
+    ones one by one. ``text`` goes on for eight bytes after the last word."""
+    eights = np.ndarray(len(text) - 7, "<u8", text, strides=1)
+    out = mixed(sizes.astype(np.uint64) * PAIR)
+    live = np.flatnonzero(sizes <= LONG)
+    for k in range(0, LONG, 8):
+        if k:
+            live = live[sizes[live] > k]
+        left = np.minimum(sizes[live] - k, 8).astype(np.uint64)
+        part = eights[starts[live] + k] & (ALL >> (np.uint64(64) - np.uint64(8) * left))
+        out[live] = mixed(out[live] + part)
+    for i in np.flatnonzero(sizes > LONG):
+        out[i] = xxhash.xxh64_intdigest(text[starts[i] : starts[i] + sizes[i]])
+    return out
+
+
+def ended(hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of texts of so ``many`` words with an end after each text, and the text's number."""
+    out = np.full(len(hashes) + len(many), END, np.uint64)
+    words = np.ones(len(out), bool)
+    words[np.cumsum(many + 1) - 1] = False
+    out[words] = hashes
+    return out, np.repeat(np.arange(len(many)), many + 1)
+
+
 def tokens(held: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, an end after each text, and the number of the text of each."""
-    doc = np.repeat(np.arange(len(held)), [len(found) + 1 for found in held])
-    ends = np.cumsum([len(found) + 1 for found in held]) - 1
-    out = np.full(len(doc), END, np.uint64)
-    inside = np.ones(len(doc), bool)
-    inside[ends] = False
-    out[inside] = hashes.of([w for found in held for w in found])
-    return out, doc
+    """Tokens of texts that are split already, named by ``hashes``."""
+    return ended(hashes.of(flat(held)), np.array([len(found) for found in held], np.int64))
+
+
+def text_tokens(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, an end after each text, and the number of the text of each; texts are
+    split and words hashed as one array of bytes."""
+    held = [t.encode().lower() if t else b"" for t in texts]
+    text = b"\n".join([b"", *held, b" " * 8])
+    inside = WORD[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    many = np.diff(np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in held)])))
+    return ended(word_hashes(text, starts, sizes), many)
 
 
 def histories(token: np.ndarray) -> np.ndarray:
@@ -167,7 +214,7 @@ def counted(texts: DataFrame, min_count: int) -> DataFrame:
     parts = buckets(texts.sparkSession)
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, held = Hashes(), []
+        held = []
 
         def flushed():
             rows = {}
@@ -181,8 +228,8 @@ def counted(texts: DataFrame, min_count: int) -> DataFrame:
             return out.astype(object).where(out.notna(), b"")
 
         size = 0
-        for _, found in chunks(batches):
-            token, _ = tokens(found, hashes)
+        for rows in portions(batches):
+            token, _ = text_tokens(rows["text"])
             w = np.unique(token, return_counts=True)
             p = np.unique(pair_hash(histories(token), token), return_counts=True)
             held.append((w, p))
@@ -365,14 +412,14 @@ def levelled(docs: DataFrame, model) -> DataFrame:
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head, words = model.value
-        words, hashes = Filter(*words), Hashes()
-        for rows, held in chunks(batches):
-            token, doc = tokens(held, hashes)
+        words = Filter(*words)
+        for rows in portions(batches):
+            token, doc = text_tokens(rows["text"])
             rare = np.flatnonzero(~in_head(head, token)[1])
             unique, back = np.unique(token[rare], return_inverse=True)
             level = words.level(unique)[back].astype(np.int16)
             out = rows[["row_id"]].copy()
-            out["levels"] = np.split(level, np.searchsorted(doc[rare], np.arange(1, len(held))))
+            out["levels"] = np.split(level, np.searchsorted(doc[rare], np.arange(1, len(rows))))
             yield out
 
     return docs.select("row_id", "text").mapInPandas(task, "row_id long, levels array<smallint>")
@@ -381,9 +428,8 @@ def levelled(docs: DataFrame, model) -> DataFrame:
 def scanned(batches: Iterator[pd.DataFrame], m: Model, turn: tuple[int, int], parts: int):
     """Rows some at a time, with their tokens, the texts' numbers, what the model says of each
     token, and whether its pair lies in the buckets of the turn."""
-    hashes = Hashes()
-    for rows, held in chunks(batches):
-        token, doc = tokens(held, hashes)
+    for rows in portions(batches):
+        token, doc = text_tokens(rows["text"])
         known = np.concatenate(rows["levels"].tolist()) if "levels" in rows else None
         said = m.parts(token, known)
         bucket = bucket_of(pair_hash(histories(token), token), parts)
@@ -396,8 +442,7 @@ def cells(docs: DataFrame, model, turn: tuple[int, int], parts: int) -> DataFram
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, total = Model(*model.value), np.zeros(64 * RATIO_CELLS, np.int64)
         for _, _, _, (alone, pair, before, _, _), mine in scanned(batches, m, turn, parts):
-            found, times = np.unique(m.ratios(alone[mine], pair[mine], before[mine]), return_counts=True)
-            total[found] += times
+            total += np.bincount(m.ratios(alone[mine], pair[mine], before[mine]), minlength=len(total))
         yield pd.DataFrame({"cell": np.flatnonzero(total), "n": total[total > 0]})
 
     return docs.mapInPandas(task, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -136,3 +137,17 @@ def test_weights_raise_the_likelihood():
     w = np.linspace(0.01, 0.99, 99)
     best = w[np.argmax(np.log(1 - w) + np.log(w * 8 + 1 - w))]
     assert weights[5] == pytest.approx(best, abs=0.02)
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """As many tokens as plain splitting finds, in order, one hash a word: odd bytes, long words, no words."""
+    texts = ["A b\x00 b\x00\x00\tc\x0bd a", None, "", " ", "x" * 64 + " " + "X" * 65 + " " + "x" * 65, " \u00e9\u00a0\u00df \x1cq\x0c",
+             "abcdefgh abcdefghi ABCDEFGH", "\n\n", "\u00c9 \u00e9"]
+    plain = [t for text in texts for t in tokens(text)]
+    token, doc = bloom_lm.text_tokens(texts)
+    assert np.bincount(doc).tolist() == [len(tokens(text)) for text in texts]
+    assert len(set(zip(plain, token.tolist()))) == len(set(plain)) == len(set(token.tolist()))
+    monkeypatch.setattr(bloom_lm, "CHUNK_BYTES", 10)
+    rows = list(bloom_lm.portions([pd.DataFrame({"text": texts}), pd.DataFrame({"text": texts[:0]})]))
+    assert len(rows) > 3 and pd.concat(rows)["text"].tolist() == texts
+    assert np.concatenate([bloom_lm.text_tokens(r["text"])[0] for r in rows]).tolist() == token.tolist()
