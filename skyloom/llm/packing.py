@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import numbered, query, table
-from skyloom.llm.tokenizing import encoder
+from skyloom.llm.tokenizing import encoder, forget
 from skyloom.sources.lake import staged
 
 LENGTH = 4096
@@ -279,6 +279,7 @@ def pack(
     lists = pieces.groupBy("row_id").agg(F.collect_list(place).alias("pieces"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             out = []
             for row in batch.itertuples():

@@ -54,6 +54,14 @@ def encoder(path: str) -> "Encoder":
     return kept[path]
 
 
+def forget() -> None:
+    """Drops the encoders of this Python process, whose caches take over 100 MB each: for tasks
+    that come after the last text was encoded."""
+    import tokenizers
+
+    vars(tokenizers).pop("_encoders", None)
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer

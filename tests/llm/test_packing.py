@@ -95,3 +95,15 @@ def test_least_squares():
 def test_combinations_fill():
     columns = packing.combinations(16, 3)
     assert (np.arange(1, 17) @ columns == 16).all() and len(set(map(tuple, columns.T))) == columns.shape[1]
+
+
+def test_forgotten_encoders_are_made_anew():
+    """The caches of a process go once its texts are encoded; ids are the same afterwards."""
+    first = tokenizing.encoder(PATH)
+    ids = first.encode("a b c").tolist()
+    assert tokenizing.encoder(PATH) is first
+    tokenizing.forget()
+    again = tokenizing.encoder(PATH)
+    assert again is not first and again.encode("a b c").tolist() == ids
+    tokenizing.forget()
+    tokenizing.forget()
