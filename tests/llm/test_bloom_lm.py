@@ -147,6 +147,9 @@ def test_words_are_hashed_together(monkeypatch):
     token, doc = bloom_lm.text_tokens(texts)
     assert np.bincount(doc).tolist() == [len(tokens(text)) for text in texts]
     assert len(set(zip(plain, token.tolist()))) == len(set(plain)) == len(set(token.tolist()))
+    lines = [("abc\u00e9" * n)[:n] for n in range(70)]
+    split = [tokens(line)[:-1] for line in lines]
+    assert (bloom_lm.text_tokens(lines)[0] == bloom_lm.tokens(split, bloom_lm.Hashes())[0]).all()
     monkeypatch.setattr(bloom_lm, "CHUNK_BYTES", 10)
     rows = list(bloom_lm.portions([pd.DataFrame({"text": texts}), pd.DataFrame({"text": texts[:0]})]))
     assert len(rows) > 3 and pd.concat(rows)["text"].tolist() == texts
