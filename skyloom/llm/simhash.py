@@ -4,8 +4,10 @@ Fingerprints of whole texts are compared once per distinct value. A tree over a
 of them cuts Hamming space into shards: at each vantage point a fingerprint goes to the inside
 (distance up to the node's limit) or the outside. Two fingerprints that link differ in distance
 to the vantage point by at most the link radius, so only the inside ones within that margin of
-the limit are sent to the outside too, and every linking pair meets in some shard. A shard of
-any size is compared in blocks, and a block returns a spanning forest, not its pairs.
+the limit are sent to the outside too, and every linking pair meets in some shard. Each level
+sends some rows twice, so the tree stops at DEPTH levels. The bits of a fingerprint are cut into
+one segment more than may differ: two that link are equal in one. Inside a shard the rows with an
+equal segment are compared, and a group returns a spanning forest, not its pairs.
 """
 
 from collections.abc import Iterator
@@ -16,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import local, numbered, query, table, words
+from skyloom.llm.common import local, mixed, numbered, query, table, words
 from skyloom.llm.components import components
 from skyloom.sources.lake import staged
 
@@ -24,7 +26,10 @@ SHINGLE = 3
 RADIUS = 2
 SAMPLE = 20_000
 LEAF = 4096
+DEPTH = 4
 BLOCK = 2048
+CROWDED = 1 << 14
+PAIRS = 1 << 20
 SEED = 42
 SLICE = 1 << 18
 
@@ -132,33 +137,73 @@ def block_pairs(rows: DataFrame, group: str, key: str, block: int) -> DataFrame:
     return dealt.withColumn("pair", pair).select(*rows.columns, "mine", "pair.i", "pair.j")
 
 
+def segments(many: int) -> list[np.uint64]:
+    """Masks that cut 64 bits into ``many`` runs."""
+    cuts = [64 * k // many for k in range(many + 1)]
+    return [np.uint64((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:])]
+
+
+def close_pairs(keys: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending ``keys``: a spanning forest, as positions of members and of the least member
+    of their tree, of the pairs with an equal key whose values differ in at most ``radius`` bits."""
+    ends = np.searchsorted(keys, keys, "right")
+    at, step, least = np.arange(len(keys)), 1, np.arange(len(keys))
+    held, size = [], 0
+    while True:
+        at = at[at + step < ends[at]]
+        if len(at):
+            near = at[distance(values[at], values[at + step]) <= radius]
+            held.append((near, near + step))
+            size += len(near)
+        if size > PAIRS or not len(at):
+            a, b = (np.concatenate(x) for x in zip(*held)) if held else (at, at)
+            least, held, size = joined(least, a, b), [], 0
+        if not len(at):
+            members = np.flatnonzero(least != np.arange(len(least)))
+            return members, least[members]
+        step += 1
+
+
+def joined(least: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least position of every tree once links (a, b) have joined the trees of ``least``."""
+    while True:
+        x, y = least[a], least[b]
+        if (x == y).all():
+            return least
+        least = least.copy()
+        np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+        while (least[least] != least).any():
+            least = least[least]
+
+
 def fingerprint_links(reps: DataFrame, radius: int = RADIUS, leaf: int = LEAF, sample_rows: int = SAMPLE) -> DataFrame:
     """Spanning links (a, b) between the ids of stored ``reps`` (fp, rep) whose fingerprints
     differ in at most ``radius`` bits."""
     total = reps.count()
     sample = local(reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows))["fp"]
-    depth = max(0, int(np.ceil(np.log2(max(1, total) / leaf))))
+    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, total) / leaf)))))
     tree = grow(sample.to_numpy().view(np.uint64), depth, np.random.default_rng(SEED))
+    parts = segments(radius + 1)
+    many = len(parts) * total // BLOCK + 1
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = batch["fp"].to_numpy().view(np.uint64)
             for number, at in route(tree, values, radius):
-                yield batch.iloc[at].assign(shard=np.int64(number))
+                for k, part in enumerate(parts):
+                    key = mixed(mixed(values[at] & part) ^ np.uint64(number * len(parts) + k))
+                    bucket = (key % np.uint64(many)).astype(np.int64)
+                    yield batch.iloc[at].assign(key=key.view(np.int64), bucket=bucket)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = pdf["fp"].to_numpy().view(np.uint64)
-        linked = np.empty((len(values), len(values)), bool)
-        for at in range(0, len(values), 256):
-            linked[at : at + 256] = distance(values[at : at + 256, None], values[None, :]) <= radius
-        members, roots = forest(linked)
+        pdf = pdf.sort_values("key")
+        a, b = close_pairs(pdf["key"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64), radius)
         ids = pdf["rep"].to_numpy()
-        out = pd.DataFrame({"a": ids[members], "b": ids[roots]})
-        return out[out["a"] != out["b"]]
+        return pd.DataFrame({"a": ids[a], "b": ids[b]})
 
-    routed = staged(reps.mapInPandas(shards, "fp long, rep long, shard long"), "shards")
-    dealt = block_pairs(routed, "shard", "fp", BLOCK)
-    return dealt.groupBy("shard", "i", "j").applyInPandas(search, "a long, b long")
+    routed = staged(reps.mapInPandas(deal, "fp long, rep long, key long, bucket long"), "shards")
+    dealt = block_pairs(routed, "bucket", "fp", CROWDED).drop("mine")
+    return dealt.groupBy("bucket", "i", "j").applyInPandas(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -78,6 +78,45 @@ def test_tree_finds_every_pair(spark, leaf):
     assert all(found.get(i, i) == c for i, c in want.items())
 
 
+def test_rows_dealt_grow_with_the_fingerprints(spark, monkeypatch):
+    """Random fingerprints, which a tree sends to both sides often: five times as many make five
+    times the rows that are compared."""
+    dealt, real = [], simhash.block_pairs
+
+    def counted(rows, *args):
+        out = real(rows, *args)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "block_pairs", counted)
+    rng = np.random.default_rng(3)
+    for many in (20_000, 100_000):
+        values = rng.integers(-(1 << 63), 1 << 63, many)
+        reps = spark.createDataFrame([(int(v), i) for i, v in enumerate(values)], "fp long, rep long")
+        simhash.fingerprint_links(stored(spark, reps), leaf=1024).count()
+    assert 4.5 * dealt[0] < dealt[1] < 6 * dealt[0]
+
+
+@pytest.mark.parametrize("radius", [0, 2, 5])
+def test_close_pairs_span_all(radius, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS", 50)
+    rng = np.random.default_rng(radius)
+    keys = np.sort(rng.integers(0, 20, 400))
+    values = rng.integers(0, 1 << 9, 400, np.uint64)
+    want = {(i, j) for i in range(400) for j in range(i) if keys[i] == keys[j] and (values[i] ^ values[j]).bit_count() <= radius}
+
+    def trees(pairs):
+        least = list(range(400))
+        for _ in range(400):
+            before = list(least)
+            for i, j in pairs:
+                least[i] = least[j] = min(least[i], least[j])
+            if least == before:
+                return least
+
+    assert trees(zip(*simhash.close_pairs(keys, values, radius))) == trees(want)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 300)]
