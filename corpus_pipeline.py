@@ -11,6 +11,9 @@ from skyloom.llm import decontaminate, languages, near_copies, packing, secrets
 from skyloom.llm.common import for_texts
 from skyloom.sources.lake import staged
 
+#: Words a worker remembers while packing: fewer than in op1, as executors have run four stages before.
+CACHED_WORDS = 50_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language go on, with its name where they had none; those without a letter
@@ -41,7 +44,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of training sequences with their token ids."""
     from public_tokenizers import path
 
-    return packing.pack(docs, path("word_bpe_49k.json"))
+    return packing.pack(docs, path("word_bpe_49k.json"), cached=CACHED_WORDS)
 
 
 STAGES = [

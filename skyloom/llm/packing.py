@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import numbered, query, table
-from skyloom.llm.tokenizing import encoder, forget
-from skyloom.sources.lake import staged
+from skyloom.llm.tokenizing import CACHED, encoder, forget
+from skyloom.sources.lake import broadcast_within, staged
 
 LENGTH = 4096
 GRID = 64
@@ -28,6 +28,7 @@ END_ID = 2
 SPARE = 1.1
 BLOCK_BITS = 14
 CELL = 1 << 16
+MAX_MARKS = 4_000_000
 
 
 def combinations(grid: int = GRID, parts: int = PARTS) -> np.ndarray:
@@ -249,31 +250,43 @@ def arranged(sizes: DataFrame, length: int = LENGTH, grid: int = GRID) -> DataFr
     return pieces.unionByName(whole).unionByName(overlaps(holes, fillers, end))
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """row_id, doc_id, ``n`` and ``ids`` (unsigned 16 or 32 bits) of every row, stored."""
+def tokenised(docs: DataFrame, path: str, end_id: int, cached: int = CACHED) -> DataFrame:
+    """row_id, doc_id, ``n``, ``crc`` and ``ids`` (unsigned 16 or 32 bits) of every row, stored."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(path)
+        own = encoder(path, cached)
         kind = "<u2" if own.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for batch in batches:
-            ids = [np.append(own.encode(t), end_id).astype(kind) for t in batch["text"]]
+            ids = [np.append(own.encode(t), end_id).astype("<u4") for t in batch["text"]]
             out = batch[["row_id", "doc_id"]].assign(n=[len(x) for x in ids], width=np.dtype(kind).itemsize)
-            yield out.assign(ids=[x.tobytes() for x in ids])
+            yield out.assign(crc=[zlib.crc32(x.tobytes()) for x in ids], ids=[x.astype(kind).tobytes() for x in ids])
 
     rows = numbered(docs, F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return staged(rows.mapInPandas(task, "row_id long, doc_id long, n long, width int, ids binary"), "tokens")
+    schema = "row_id long, doc_id long, n long, width int, crc long, ids binary"
+    return staged(rows.mapInPandas(task, schema), "tokens")
+
+
+def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose row_id is in stored ``wanted``, without a shuffle of rows while the row
+    numbers, as bits of 64 neighbouring ones, are few enough to be broadcast."""
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(row_id & 63 as int))")).alias("bits")
+    marks = wanted.groupBy(F.shiftright("row_id", 6).alias("chunk")).agg(bits)
+    marks = broadcast_within(staged(marks, "marks"), MAX_MARKS)
+    found = rows.withColumn("chunk", F.shiftright("row_id", 6)).join(marks, "chunk")
+    return found.filter("shiftright(bits, cast(row_id & 63 as int)) & 1 = 1").drop("chunk", "bits")
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True
+    docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True, cached: int = CACHED
 ) -> DataFrame:
     """Pieces of every row of ``docs`` (doc_id, text, others): doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset, and ``ids`` if asked for. ``tokenizer`` is a file of the
     tokenizers library that every executor has at this path.
 
     A document is its ids and then ``end_id``, so null and empty texts are one token. Every id
-    is in exactly one piece; rows may repeat or share a doc_id."""
-    tokens = tokenised(docs, tokenizer, end_id)
+    is in exactly one piece; rows may repeat or share a doc_id. Without ``ids`` only those of
+    documents that are cut are shuffled. ``cached`` words are remembered by a worker."""
+    tokens = tokenised(docs, tokenizer, end_id, cached)
     pieces = arranged(tokens.select("row_id", "n"), length)
     place = F.struct("start", "length", "sequence_id", "offset")
     lists = pieces.groupBy("row_id").agg(F.collect_list(place).alias("pieces"))
@@ -294,7 +307,19 @@ def pack(
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" * with_ids
     columns = [c.split()[0] for c in schema.split(", ")]
-    return tokens.join(lists.hint("shuffle_hash"), "row_id").drop("row_id").mapInPandas(cut, schema)
+    def parts(rows: DataFrame, lists: DataFrame) -> DataFrame:
+        return rows.join(lists.hint("shuffle_hash"), "row_id").drop("row_id").mapInPandas(cut, schema)
+
+    if with_ids:
+        return parts(tokens, lists)
+    lists = staged(lists, "pieces")
+    several = lists.filter("size(pieces) > 1")
+    whole = lists.filter("size(pieces) = 1").select("row_id", F.col("pieces")[0].alias("piece"))
+    whole = tokens.select("row_id", "doc_id", "n", "crc").join(whole, "row_id")
+    whole = whole.select(
+        "doc_id", "piece.start", "piece.length", F.col("crc").alias("ids_crc32"), F.col("n").alias("doc_tokens"), "piece.sequence_id", "piece.offset"
+    )
+    return whole.unionByName(parts(among(tokens, several), several))
 
 
 @query

@@ -44,14 +44,14 @@ class Recent(dict):
             self.clear()
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, cached: int = CACHED) -> "Encoder":
     """The encoder of this Python process, which a worker keeps from task to task."""
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    if (path, cached) not in kept:
+        kept[path, cached] = Encoder(path, cached)
+    return kept[path, cached]
 
 
 def forget() -> None:
@@ -63,13 +63,13 @@ def forget() -> None:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.names, self.pieces = self.tokenizer.model, byte_names(), regex.compile(PIECES)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_piece, self.of_word = {}, Recent(CACHED)
+        self.cached, self.of_piece, self.of_word = cached, {}, Recent(cached)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -109,7 +109,7 @@ class Encoder:
             return np.empty(0, "<u4")
         if SPLITTERS.search(text):  # str.split takes these for white space
             return np.frombuffer(self.whole(text), "<u4")
-        if len(self.of_piece) > CACHED:
+        if len(self.of_piece) > self.cached:
             self.of_piece.clear()
         self.of_word.turn()
         words = text.split()

@@ -66,6 +66,26 @@ def test_edges(docs_of):
     assert sum(p.length for p in pieces) == 7 and sum(p.length for p in pieces if p.doc_id is None) == 1
 
 
+def test_only_cut_documents_are_shuffled(docs_of, monkeypatch):
+    """Without ids the pieces are the same, and the ids of documents in one piece stay where they are."""
+    texts = [" ".join(["word"] * n) for n in [5000, 9000, 4095, 4096, 0, *range(1, 300)]]
+    seen, real = [], packing.among
+
+    def watched(rows, wanted):
+        out = real(rows, wanted)
+        seen.append((out.count(), wanted.count()))
+        return out
+
+    monkeypatch.setattr(packing, "among", watched)
+    with_ids = packing.pack(docs_of(texts), PATH).drop("ids").collect()
+    pieces = packing.pack(docs_of(texts), PATH, with_ids=False).collect()
+    assert check(pieces, dict(enumerate(texts))) == 0
+    assert sorted(map(tuple, pieces)) == sorted(map(tuple, with_ids))
+    ids = [p.doc_id for p in pieces]
+    cut = {i for i in ids if ids.count(i) > 1}
+    assert seen == [(len(cut), len(cut))] and 3 <= len(cut) < 100
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_lengths_fill_sequences(spark, seed):
     """Common and rare lengths, a short sequence so that many are made."""
