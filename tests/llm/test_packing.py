@@ -127,3 +127,14 @@ def test_forgotten_encoders_are_made_anew():
     assert again is not first and again.encode("a b c").tolist() == ids
     tokenizing.forget()
     tokenizing.forget()
+
+
+def test_an_encoder_remembers_as_many_words_as_asked():
+    """More texts do not take more memory, and ids are right whatever is forgotten."""
+    own = tokenizing.Encoder(PATH, 50)
+    for k in range(40):
+        text = " ".join(f"word{chr(97 + k % 26)}{chr(97 + i)}{'x' * (k // 26)}" for i in range(20))
+        assert own.encode(text).tolist() == ids_of(text)
+        assert len(own.of_word) + len(own.of_word.older) <= 140 and len(own.of_piece) <= 70
+    assert tokenizing.encoder(PATH, 50) is not tokenizing.encoder(PATH)
+    tokenizing.forget()
