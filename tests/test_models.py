@@ -274,3 +274,14 @@ def test_wide_vectors_move_in_bounded_pieces(spark, monkeypatch):
     for i in range(50):
         order = [j for j in np.argsort(away[i], kind="stable") if j != i][:5]
         assert sorted(found[i]) == [(away[i, j], j) for j in order]
+
+
+def test_reference_ids_with_a_step(spark, monkeypatch):
+    """Ids with a step in common are dealt to all groups; a group without a visitor gives no rows."""
+    monkeypatch.setattr(neighbours, "SIDE_ROWS", 16)
+    x = np.random.default_rng(6).normal(size=(320, 3))
+    table = neighbours.staged(spark.createDataFrame([(64 * i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>"), "p")
+    found = neighbours.local_outlier_factor(table, ["id"], "x", k=5, reference=table.filter("id % 320 = 0"))
+    assert found.filter("lof > 0").count() == 320
+    sides = neighbours.dealt(np.arange(0, 64_000, 64), np.full(1000, 20))
+    assert np.bincount(sides, minlength=20).min() > 20
