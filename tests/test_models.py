@@ -285,3 +285,24 @@ def test_reference_ids_with_a_step(spark, monkeypatch):
     assert found.filter("lof > 0").count() == 320
     sides = neighbours.dealt(np.arange(0, 64_000, 64), np.full(1000, 20))
     assert np.bincount(sides, minlength=20).min() > 20
+
+
+def test_rows_and_boxes_are_measured_together(monkeypatch):
+    """Far fewer calls than boxes; ties, copies and rows near nothing as when all are compared."""
+    calls = []
+    for owner, name in ((neighbours, "estimates"), (neighbours.Leaves, "cells")):
+        plain = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda *a, plain=plain: calls.append(1) or plain(*a))
+    rng = np.random.default_rng(7)
+    ref = np.concatenate([rng.integers(0, 9, (3_000, 3)), rng.normal(4, 0.1, (1_000, 3)), np.full((9, 3), 2.0)]).astype(float)
+    ids = rng.permutation(len(ref))
+    some = np.concatenate([np.arange(0, 4_009, 9), [4_008]])
+    x, own = np.vstack([ref[some], [[1e6, 0.0, 0.0]]]), np.append(ids[some], -1)
+    for metric in ("euclidean", "manhattan"):
+        row, other, away, tried = neighbours.nearest(x, own, np.full(len(x), np.inf), ref, ids, 7, metric)
+        far = neighbours.distances(x, ref, metric)
+        for i in range(len(x)):
+            order = [j for j in np.lexsort((ids, far[i])) if ids[j] != own[i]][:7]
+            assert other[row == i].tolist() == ids[order].tolist() and away[row == i].tolist() == far[i, order].tolist()
+        assert tried.max() <= len(ref)
+    assert len(calls) < 60
