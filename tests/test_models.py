@@ -248,6 +248,49 @@ def test_outlier_factor_keeps_all_columns(spark, normal):
     assert out.columns == ["id", "x", "_id", "tile", "lof"] and out.filter("_id = 7 and lof > 0").count() == 50
 
 
+def test_trials_of_a_metric_share_a_search(spark, normal, monkeypatch):
+    """Five outlier factors by three names of two metrics: two searches, and the flags of each trial alone."""
+    frame = neighbours.staged(normal.limit(150), "f")
+    searches, plain = [], neighbours.compared
+    monkeypatch.setattr(neighbours, "compared", lambda rows, base, k, metric: searches.append(k) or plain(rows, base, k, metric))
+    settings, scored = anomaly.search(frame, ["id"], FEATURES, ["lof"], trials=5)
+    drawn = [{**r.params, "k": int(r.params["k"]), "contamination": float(r.params["contamination"])} for r in settings.orderBy("trial").collect()]
+    assert len(searches) == len({p["metric"] == "manhattan" for p in drawn}) and max(searches) == max(p["k"] for p in drawn)
+    found = {(r.trial, round(r.anomaly_score, 9)): r.n for r in scored.groupBy("trial", F.round("anomaly_score", 9).alias("anomaly_score")).agg(F.count("*").alias("n")).collect()}
+    for trial in (0, 4):
+        alone = anomaly.detect(frame, ["id"], FEATURES, "lof", drawn[trial]).collect()
+        assert {(trial, round(r.anomaly_score, 9)) for r in alone} == {key for key in found if key[0] == trial}
+
+
+def test_anomaly_trials_draws_all_settings(spark, monkeypatch):
+    """The query leaves the number of trials as it is by default."""
+    from skyloom.plans import queries
+
+    asked = []
+    monkeypatch.setattr(queries, "_anomaly_frame", lambda spark, sf: spark.createDataFrame([(1,)], "a int"))
+    monkeypatch.setattr(queries.anomaly, "search", lambda *a, **named: asked.append(named) or (None, spark.createDataFrame([(0, "lof", True)], "trial int, algorithm string, is_anomaly boolean")))
+    queries.anomaly_trials(spark, "nowhere")
+    assert [named.get("trials", C.TRIALS) for named in asked] == [C.TRIALS]
+
+
+def test_rows_go_down_trees_in_blocks(monkeypatch):
+    """Scores of rows dealt in blocks are those of each row walked alone, missing values too."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3))
+    x[7, 1] = np.nan
+    parts = [isolation.grow(x[rng.choice(7, 6)] if t else x[:1], np.arange(3), rng) for t in range(4)]
+    nodes = isolation.pd.concat([isolation.pd.DataFrame(p, columns=["node", "feature", "threshold", "left", "right", "depth"]).assign(tree=t) for t, p in enumerate(parts)])
+    forest = isolation.assemble(nodes, list("abc"), 6)
+    monkeypatch.setattr(isolation, "BLOCK_ROWS", 64)
+    total = np.zeros(len(x))
+    for i, row in enumerate(x):
+        for at in forest.roots:
+            while forest.feature[at] >= 0:
+                at = forest.left[at] if row[forest.feature[at]] < forest.threshold[at] else forest.right[at]
+            total[i] += forest.depth[at]
+    assert isolation.path_scores(x, *forest[1:]).tolist() == (2.0 ** (-total / 4 / isolation.average_path(6))).tolist()
+
+
 def test_detector_search_honours_its_arguments(spark, normal):
     settings, scored = anomaly.search(normal, ["id"], FEATURES, ["isolation_forest"], trials=1, effort=0.05)
     assert settings.count() == 1 and scored.count() == 1000
