@@ -273,6 +273,19 @@ def test_anomaly_trials_draws_all_settings(spark, monkeypatch):
     assert [named.get("trials", C.TRIALS) for named in asked] == [C.TRIALS]
 
 
+def test_trial_table_runs_all_rounds(spark, monkeypatch):
+    """The query leaves the rounds and trees as they are drawn."""
+    from skyloom.plans import queries
+
+    asked = []
+    row = spark.createDataFrame([(0, "lgbm", 0, 1, 0.5), (0, "lgbm", 0, 0, 0.1)], "trial int, algorithm string, fold int, label int, score double")
+    monkeypatch.setattr(queries, "_delay_frame", lambda spark, sf: None)
+    monkeypatch.setattr(queries.sampling, "folds", lambda *a, **named: None)
+    monkeypatch.setattr(queries.models, "search", lambda *a, **named: asked.append(named) or (None, row))
+    assert queries.trial_table(spark, "nowhere").count() == 1
+    assert [(named.get("effort", 1.0), named["trials"]) for named in asked] == [(1.0, len(models.FAMILIES))]
+
+
 def test_rows_go_down_trees_in_blocks(monkeypatch):
     """Scores of rows dealt in blocks are those of each row walked alone, missing values too."""
     rng = np.random.default_rng(8)
